@@ -102,9 +102,8 @@ def _outside_all(html: Column, names: str) -> Column:
 def unescape(text: Column) -> Column:
     """Resolve named and numeric character references in one pass."""
     named = {**name2codepoint, "apos": 39}
-    names = F.create_map(
-        *[F.lit(x) for name, code in named.items() for x in (f"&{name};", chr(code))]
-    )
+    pairs = "\n".join(f"&{name};\t{chr(code)}" for name, code in named.items())
+    names = F.str_to_map(F.lit(pairs), F.lit("\n"), F.lit("\t"))
 
     def resolve(token: Column) -> Column:
         is_hex = F.substring(token, 3, 1).isin("x", "X")
@@ -174,11 +173,10 @@ def _body(html: Column) -> Column:
 
 def page_title(html: Column) -> Column:
     """Text of the first ``h1`` of the document, else of ``title``, else a fixed word."""
-    return (
-        F.when(_has(html, "h1"), _text_nodes(_first_content(html, "h1"), ""))
-        .when(_has(html, "title"), _text_nodes(_first_content(html, "title"), ""))
-        .otherwise(F.lit(UNTITLED))
+    titled = F.when(_has(html, "h1"), _first_content(html, "h1")).when(
+        _has(html, "title"), _first_content(html, "title")
     )
+    return F.coalesce(_text_nodes(titled, ""), F.lit(UNTITLED))
 
 
 def with_title_and_text(pages: DataFrame, html: str = "html") -> DataFrame:
