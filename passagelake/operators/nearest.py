@@ -88,7 +88,7 @@ class _Best:
         # What a candidate has to reach: closeness, and for equals a lower id.
         self.floor = np.full(len(queries), -np.inf)
         self.floor_id = np.full(len(queries), None, dtype=object)
-        self.rows = pd.DataFrame({"q": [], "id": [], "score": []})
+        self.rows = pd.DataFrame({"q": [], "id": np.array([], dtype=object), "score": []})
 
     def offer(self, ids: np.ndarray, items: np.ndarray, which: np.ndarray | None = None) -> None:
         which = np.arange(len(self.queries)) if which is None else which
@@ -139,7 +139,10 @@ def closest(vectors: np.ndarray, centers: np.ndarray, metric: str) -> np.ndarray
 
 def _batch(schema: pa.Schema, qids, ids, scores) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(x, type=f.type, from_pandas=True) for x, f in zip((qids, ids, scores), schema)],
+        [
+            pa.array(np.asarray(values), type=column.type)
+            for values, column in zip((qids, ids, scores), schema)
+        ],
         schema=schema,
     )
 
