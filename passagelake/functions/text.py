@@ -39,7 +39,6 @@ def chunk_id(slug: Column, idx: Column) -> Column:
 
 def preview(text: Column, width: int = PREVIEW_WIDTH) -> Column:
     """One line of at most ``width`` characters, cut between words or after a hyphen."""
-    line = strip(F.regexp_replace(text, f"[{WHITESPACE}]+", " "))
     room = width - len(PREVIEW_PLACEHOLDER)
     letter = r"[\p{L}\p{M}_]"
     cut = (
@@ -48,11 +47,19 @@ def preview(text: Column, width: int = PREVIEW_WIDTH) -> Column:
         r"|(?<=[\p{L}\p{N}_!\"'&.,?])(?=-{2,}[\p{L}\p{N}_])"
         r"|(?<=[\p{L}\p{N}_!\"'&.,?]-{2,60})(?=[\p{L}\p{N}_]))"
     )
-    head = F.regexp_extract(line, cut, 1)
-    shortened = F.when(head == "", F.lit(PREVIEW_PLACEHOLDER.strip())).otherwise(
-        F.concat(head, F.lit(PREVIEW_PLACEHOLDER))
-    )
-    return F.when(F.length(line) <= width, line).otherwise(shortened)
+
+    def shortened(line: Column) -> Column:
+        head = F.regexp_extract(line, cut, 1)
+        return F.when(F.length(line) <= width, line).otherwise(
+            F.when(head == "", F.lit(PREVIEW_PLACEHOLDER.strip())).otherwise(
+                F.concat(head, F.lit(PREVIEW_PLACEHOLDER))
+            )
+        )
+
+    spaced = F.translate(text, WHITESPACE, " " * len(WHITESPACE))
+    line = F.btrim(F.regexp_replace(spaced, " {2,}", " "))
+    # The lambda reads the line several times but has it computed once.
+    return F.get(F.transform(F.array(line), shortened), F.lit(0))
 
 
 def score_text(score: Column) -> Column:

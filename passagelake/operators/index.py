@@ -12,7 +12,15 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window, functions as F
 
 from passagelake.config import METRIC, NLIST, NPROBE, SMALL_SIDE_ROWS
-from passagelake.operators.nearest import closest, matrix_of, nearest, nearest_in, prepared
+from passagelake.operators.nearest import (
+    by_tiles,
+    closest,
+    matrix_of,
+    nearest,
+    nearest_in,
+    prepared,
+    with_vectors,
+)
 from passagelake.session import checkpointed, small_table
 
 
@@ -44,13 +52,13 @@ def train_centroids(
     ``lloyd`` starts from the vectors with the lowest ids and is repeatable
     anywhere; ``mllib`` starts from k-means|| seeds.
     """
-    vectors = collection.select("id", "embedding").where(F.size("embedding") > 0)
+    vectors = collection.select("id", "embedding")
     if method == "mllib":
         return _mllib(vectors, nlist, iters, seed, metric)
     if method != "lloyd":
         raise ValueError(f"method is 'lloyd' or 'mllib', not {method!r}")
     # Only nlist rows are left to number.
-    first = vectors.orderBy("id").limit(nlist)
+    first = vectors.where(F.size("embedding") > 0).orderBy("id").limit(nlist)
     number = F.row_number().over(Window.orderBy("id")) - 1
     centroids = first.select(
         number.alias("cid"), F.col("embedding").cast("array<double>").alias("c")
@@ -62,7 +70,9 @@ def train_centroids(
 
 def _mllib(vectors: DataFrame, nlist: int, iters: int, seed: int, metric: str) -> DataFrame:
     measure = "euclidean" if metric == "l2" else "cosine"
-    points = vectors.select(array_to_vector("embedding").alias("features"))
+    points = vectors.where(F.size("embedding") > 0).select(
+        array_to_vector("embedding").alias("features")
+    )
     if measure == "cosine":
         # A vector without length has no angle.
         points = points.where(F.exists(vector_to_array("features"), lambda x: x != 0))
@@ -82,7 +92,7 @@ def _lloyd_step(
     """Move each centroid to the mean of its vectors; one without vectors stays."""
     known = _small_centroids(centroids, small_rows)
     if known is None:
-        placed = _assign_large(vectors, centroids, metric, small_rows)
+        placed = _assign_large(vectors, centroids, metric).where("cid is not null")
         moved = mean_vectors(placed, "cid").withColumnRenamed("c", "mean")
     else:
         centroids = vectors.sparkSession.createDataFrame(known)
@@ -108,6 +118,7 @@ def _bucket_means(vectors: DataFrame, known: pa.Table, metric: str) -> DataFrame
         cids, centers, targets = shared.value
         counts, totals = np.zeros(len(cids), dtype=np.int64), np.zeros_like(centers)
         for batch in batches:
+            batch = with_vectors(batch, "embedding")
             if not batch.num_rows:
                 continue
             matrix = matrix_of(batch.column("embedding"))
@@ -131,17 +142,14 @@ def _bucket_means(vectors: DataFrame, known: pa.Table, metric: str) -> DataFrame
     return merged.select("cid", F.transform("total", lambda x: x / F.col("n")).alias("mean"))
 
 
-def _assign_large(
-    collection: DataFrame, centroids: DataFrame, metric: str, small_rows: int
-) -> DataFrame:
+def _assign_large(collection: DataFrame, centroids: DataFrame, metric: str) -> DataFrame:
     """Buckets when the centroids are too many for one task."""
-    chosen = nearest(
+    chosen = by_tiles(
         collection.select(F.col("id").alias("qid"), F.col("embedding").alias("qv")),
-        _as_items(centroids),
-        k=1, metric=metric, small_rows=small_rows,
+        _as_items(centroids), k=1, metric=metric,
     )
     return collection.join(
-        chosen.select(F.col("qid").alias("id"), F.col("id").alias("cid")), "id"
+        chosen.select(F.col("qid").alias("id"), F.col("id").alias("cid")), "id", "left"
     )
 
 
@@ -151,24 +159,28 @@ def assign_buckets(
     metric: str = METRIC,
     small_rows: int = SMALL_SIDE_ROWS,
 ) -> DataFrame:
-    """The collection with ``cid``, the bucket of each row's vector.
+    """The collection with ``cid``, the bucket of each row's vector; null without one.
 
     Only the vectors travel to Python; the other columns stay where they are.
     """
-    collection = collection.drop("cid").where(F.size("embedding") > 0)
+    collection = collection.drop("cid")
     known = _small_centroids(centroids, small_rows)
     if known is None:
-        return _assign_large(collection, centroids, metric, small_rows)
+        return _assign_large(collection, centroids, metric)
     shared = collection.sparkSession.sparkContext.broadcast(
         (known["cid"].to_numpy(), prepared(matrix_of(known["c"]), metric))
     )
 
     def bucket(vectors: pa.Array) -> pa.Array:
         cids, targets = shared.value
-        if not len(vectors):
-            return pa.array([], pa.int32())
-        rows = closest(prepared(matrix_of(vectors), metric), targets, metric)
-        return pa.array(cids[rows], pa.int32())
+        asked = with_vectors(
+            pa.table({"row": pa.array(range(len(vectors)), pa.int64()), "v": vectors}), "v"
+        )
+        found = np.full(len(vectors), -1, dtype=np.int32)
+        if asked.num_rows:
+            rows = closest(prepared(matrix_of(asked["v"]), metric), targets, metric)
+            found[asked["row"].to_numpy()] = cids[rows]
+        return pa.array(found, mask=found < 0)
 
     return collection.withColumn("cid", F.arrow_udf(bucket, "int")(F.col("embedding")))
 
@@ -214,7 +226,6 @@ def with_probes(
     small_rows: int = SMALL_SIDE_ROWS,
 ) -> DataFrame:
     """Each query row once per bucket to be scanned for it, the bucket in ``cid``."""
-    queries = queries.where(F.size("qv") > 0)
     items = _as_items(centroids)
     known = small_table(items, small_rows)
     if known is None:

@@ -19,6 +19,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from passagelake.config import (
@@ -52,6 +53,12 @@ def matrix_of(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return flat.reshape(rows, -1) if rows else np.empty((0, 0))
 
 
+def with_vectors(rows, column: str):
+    """The rows of a batch or table that have a vector."""
+    # Left to the task: a filter in the plan would compute derived vectors twice.
+    return rows.filter(pc.greater(pc.list_value_length(rows[column]), 0))
+
+
 def _unit(matrix: np.ndarray) -> np.ndarray:
     """Rows scaled to length one; rows without length stay zero."""
     norms = np.sqrt(np.einsum("ij,ij->i", matrix, matrix))
@@ -188,6 +195,7 @@ def for_few_queries(
 ) -> DataFrame:
     """Nearest items of the queries in ``known``, the fetched rows of ``queries``."""
     schema = _result_schema(queries, items)
+    known = with_vectors(known, "qv")
     if not known.num_rows:
         return items.sparkSession.createDataFrame([], schema).select(
             "qid", F.lit(0).alias("rk"), "id", "score"
@@ -210,6 +218,9 @@ def for_few_queries(
         qids, vectors, members = shared.value
         best = _Best(vectors, k, metric)
         for batch in batches:
+            batch = with_vectors(batch, "embedding")
+            if not batch.num_rows:
+                continue
             ids = batch.column("id").to_numpy(zero_copy_only=False)
             matrix = prepared(matrix_of(batch.column("embedding")), metric)
             if members is None:
@@ -244,20 +255,26 @@ def nearest_in(
         T.StructField("id", id_type), T.StructField("score", T.DoubleType()),
     ]))
     arrow_type = arrow_schema(T.StructType([T.StructField("hits", result)])).field(0).type
+    known = with_vectors(known, "embedding")
     shared = SparkSession.active().sparkContext.broadcast((
         known["id"].to_numpy(zero_copy_only=False), prepared(matrix_of(known["embedding"]), metric)
     ))
 
     def answer(vectors: pa.Array) -> pa.Array:
         ids, items = shared.value
-        best = _Best(prepared(matrix_of(vectors), metric), k, metric)
-        best.offer(ids, items)
+        asked = pa.table({"row": pa.array(range(len(vectors)), pa.int64()), "qv": vectors})
+        asked = with_vectors(asked, "qv")
+        counts = np.zeros(len(vectors), dtype=np.int64)
+        best = _Best(prepared(matrix_of(asked["qv"]), metric), k, metric)
+        if asked.num_rows and len(items):
+            best.offer(ids, items)
+            answered = asked["row"].to_numpy()[best.rows["q"].to_numpy(dtype=int)]
+            counts = np.bincount(answered, minlength=len(vectors))
         rows = best.rows
-        counts = np.bincount(rows["q"].to_numpy(dtype=int), minlength=len(vectors))
         offsets = np.concatenate([[0], np.cumsum(counts)])
         hit_type = arrow_type.value_type
         hits = pa.StructArray.from_arrays(
-            [pa.array(rows[f.name], type=f.type) for f in hit_type], fields=list(hit_type)
+            [pa.array(np.asarray(rows[f.name]), type=f.type) for f in hit_type], fields=list(hit_type)
         )
         return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), hits, type=arrow_type)
 
@@ -312,6 +329,7 @@ def by_tiles(
     out = arrow_schema(schema)
 
     def meet(q: pa.Table, i: pa.Table) -> pa.Table:
+        q, i = with_vectors(q, "qv"), with_vectors(i, "embedding")
         if not q.num_rows or not i.num_rows:
             return out.empty_table()
         best = _Best(prepared(matrix_of(q["qv"]), metric), k, metric)
@@ -341,8 +359,6 @@ def nearest(
     are.  Vectors that are null or empty are left out on either side.
     """
     check_arguments(k, metric)
-    queries = queries.where(F.size("qv") > 0)
-    items = items.where(F.size("embedding") > 0)
     if items_first and not cell:
         known = small_table(items.select("id", "embedding"), small_rows)
         if known is not None:

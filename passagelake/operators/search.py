@@ -43,8 +43,6 @@ def _search(
     small_rows: int, cell: str | None = None,
 ) -> DataFrame:
     check_arguments(k, metric)
-    queries = queries.where(F.size("qv") > 0)
-    rows = rows.where(F.size("embedding") > 0)
     known = small_table(queries.select("qid", "qv", *([cell] if cell else [])), small_rows)
     if known is None:
         return with_fields(by_tiles(queries, rows, k, metric, cell), rows, fields)

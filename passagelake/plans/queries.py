@@ -39,7 +39,7 @@ from passagelake.operators.search import (
     recall_at_k,
     single_query_search,
 )
-from passagelake.plans.stages import build_chunks, stage_shares
+from passagelake.plans.stages import Chain, build_chunks, stage_shares
 from passagelake.schema import duplicate_keys, validate_schema
 from passagelake.session import scratch_path
 from passagelake.sources.tables import (
@@ -238,7 +238,7 @@ def duplicate_ids(spark: SparkSession, sf: str) -> DataFrame:
 
 def embed_hashing(spark: SparkSession, sf: str) -> DataFrame:
     vectors = embed(_document_pages(spark, sf).select("slug", "text"))
-    long = vectors.select("slug", F.posexplode("embedding").alias("b", "w"))
+    long = vectors.select("slug", F.posexplode_outer("embedding").alias("b", "w"))
     return long.where("w <> 0").select(
         "slug", F.col("b").cast("bigint").alias("b"), F.round(F.col("w").cast("double"), 6).alias("w")
     )
@@ -255,7 +255,7 @@ def _half_embedded(spark: SparkSession, sf: str) -> DataFrame:
 
 def embed_missing_only(spark: SparkSession, sf: str) -> DataFrame:
     vectors = embed(_half_embedded(spark, sf), dim=VECTOR_DIM)
-    long = vectors.select("slug", F.posexplode("embedding").alias("b", "w"))
+    long = vectors.select("slug", F.posexplode_outer("embedding").alias("b", "w"))
     return long.where("w <> 0").select(
         "slug", F.col("b").cast("bigint").alias("b"), F.round(F.col("w").cast("double"), 6).alias("w")
     )
@@ -451,6 +451,15 @@ def generate_answers(spark: SparkSession, sf: str) -> DataFrame:
     return prompts.answers_with_sources(prompts.generate(built, quoting_generator), hits)
 
 
+def chain_answers(spark: SparkSession, sf: str) -> DataFrame:
+    """Every stage in order, through stored tables; all buckets are probed."""
+    chain = Chain(spark, scratch_path(spark, "chain"), site_prefix=SITE_PREFIX)
+    answers, _ = chain.run(
+        _pages(spark, sf), quoting_generator, _text_queries(spark, sf), nprobe=chain.nlist
+    )
+    return answers
+
+
 def embed_udf(spark: SparkSession, sf: str) -> DataFrame:
     """A caller's encoder: letter counts as a vector of 26 numbers."""
     from string import ascii_lowercase
@@ -522,5 +531,6 @@ QUERIES: dict[str, Query] = {
     "build_prompts": build_prompts,
     "answer_sources": answer_sources,
     "generate_answers": generate_answers,
+    "chain_answers": chain_answers,
     "stage_timings": stage_timings,
 }

@@ -7,13 +7,19 @@ from collections.abc import Callable
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from passagelake import config
 from passagelake.operators.chunks import chunk_pages
 from passagelake.operators.embedding import embed, embed_queries
 from passagelake.operators.index import assign_buckets, train_centroids
-from passagelake.operators.pages import extract_pages, first_per_slug, split_bad_pages, with_slug
+from passagelake.operators.pages import (
+    extract_pages,
+    first_per_slug,
+    new_pages,
+    split_bad_pages,
+    with_slug,
+)
 from passagelake.operators.prompts import answers_with_sources, build_prompts, generate
 from passagelake.operators.search import exact_search, ivf_search
 from passagelake.sources.tables import (
@@ -21,6 +27,7 @@ from passagelake.sources.tables import (
     load_collection,
     read_table,
     require,
+    spread,
     table_exists,
     write_table,
 )
@@ -34,10 +41,7 @@ def stage_shares(timings: DataFrame, total: Column | float | None = None) -> Dat
     ``total`` is the wall clock from end to end; without it, the stages' sum.
     """
     if total is None:
-        # One pre-aggregated row, so the timings are not moved to one task.
-        sums = timings.agg(F.sum("elapsed").alias("_total"))
-        timings = timings.join(F.broadcast(sums))
-        total = F.col("_total")
+        total = timings.agg(F.sum("elapsed")).scalar()
     elif not isinstance(total, Column):
         total = F.lit(float(total))
     percent = F.when(total > 0, 100 * F.col("elapsed") / total).otherwise(F.lit(0.0))
@@ -112,8 +116,6 @@ class Chain:
 
     def clean_pages(self, pages: DataFrame) -> str:
         """Append the pages whose slug is not stored yet."""
-        from passagelake.operators.pages import new_pages
-
         target = self._at("pages")
         with self._timed("pages"):
             if table_exists(self.spark, target):
@@ -127,18 +129,18 @@ class Chain:
 
     def chunk(self, size: int = config.CHUNK_SIZE, overlap: int = config.CHUNK_OVERLAP) -> str:
         with self._timed("chunks"):
-            pages = require(self.spark, self._at("pages"), "clean_pages")
+            pages = spread(require(self.spark, self._at("pages"), "clean_pages"))
             return write_table(chunk_pages(pages, size, overlap), self._at("chunks"))
 
     def embed(self) -> str:
         with self._timed("vectors"):
-            chunks = require(self.spark, self._at("chunks"), "chunk")
+            chunks = spread(require(self.spark, self._at("chunks"), "chunk"))
             vectors = embed(chunks, self.encoder_factory, self.dim, encoder_id=self.encoder_id)
             return write_table(vectors, self._at("vectors"))
 
     def index(self) -> str:
         with self._timed("index"):
-            vectors = require(self.spark, self._at("vectors"), "embed")
+            vectors = spread(require(self.spark, self._at("vectors"), "embed"))
             centroids = write_table(train_centroids(vectors, self.nlist), self._at("centroids"))
             rows = vectors.select("id", "url", "title", "text", "embedding")
             placed = assign_buckets(rows, read_table(self.spark, centroids))
@@ -156,17 +158,19 @@ class Chain:
         )
 
     def answer(
-        self, queries: DataFrame, generator_factory: Callable, k: int = config.TOP_K
+        self, queries: DataFrame, generator_factory: Callable, k: int = config.TOP_K,
+        nprobe: int = config.NPROBE,
     ) -> DataFrame:
         """``(qid, answer, sources)``."""
         # Prompts and sources both read the hits; the search runs once.
-        hits = read_table(self.spark, write_table(self.search(queries, k), self._at("hits")))
+        found = write_table(self.search(queries, k, nprobe), self._at("hits"))
+        hits = read_table(self.spark, found)
         prompts = build_prompts(queries, hits, config.system_prompt(self.subject))
         return answers_with_sources(generate(prompts, generator_factory), hits)
 
     def run(
         self, pages: DataFrame, generator_factory: Callable, queries: DataFrame | None = None,
-        k: int = config.TOP_K,
+        k: int = config.TOP_K, nprobe: int = config.NPROBE,
     ) -> tuple[DataFrame, DataFrame]:
         """All stages in order: (stored answers, time shares)."""
         start = time.perf_counter()
@@ -177,7 +181,7 @@ class Chain:
         self.embed()
         self.index()
         with self._timed("answers"):
-            answers = self.answer(queries, generator_factory, k)
+            answers = self.answer(queries, generator_factory, k, nprobe)
             write_table(answers, self._at("answers"))
         total = time.perf_counter() - start
         timings = self.spark.createDataFrame(

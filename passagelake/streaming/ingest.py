@@ -15,7 +15,7 @@ from passagelake.operators.pages import (
     with_slug,
 )
 from passagelake.schema import RAW_PAGE
-from passagelake.sources.tables import read_table, table_exists, write_table
+from passagelake.sources.tables import table_exists, write_table
 
 
 def ingest_stream(
@@ -39,15 +39,14 @@ def ingest_stream(
     )
 
     def store(batch: DataFrame, number: int) -> None:
-        earlier = None
         if table_exists(spark, target):
             # The folder of this very batch may hold a failed attempt.
-            earlier = read_table(spark, target).where(f"batch <> {number}")
-        if earlier is None:
+            earlier = spark.read.schema("slug string, batch bigint").parquet(target)
+            stored = earlier.where(f"batch <> {number}").select("slug").distinct()
+            fresh = new_pages(batch, stored, site_prefix)
+        else:
             good, _ = split_bad_pages(batch)
             fresh = first_per_slug(with_slug(good, site_prefix))
-        else:
-            fresh = new_pages(batch, earlier.select("slug").distinct(), site_prefix)
         vectors = embed(chunk_pages(extract_pages(fresh, site_prefix)))
         write_table(vectors, f"{target}/batch={number}")
 
