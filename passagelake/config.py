@@ -48,7 +48,7 @@ SMALL_SIDE_BYTES = 128 * 1024 * 1024
 
 # Rows of one cell that meet in one task when both sides are shuffled.
 TILE_QUERIES = 4_096
-TILE_ITEMS = 65_536
+TILE_ITEMS = 32_768
 
 # Largest file piece written per insert batch.
 INSERT_BATCH_ROWS = 50_000

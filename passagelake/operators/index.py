@@ -18,6 +18,7 @@ from passagelake.operators.nearest import (
     matrix_of,
     nearest,
     nearest_in,
+    numbered,
     prepared,
     with_vectors,
 )
@@ -63,9 +64,15 @@ def train_centroids(
     centroids = first.select(
         number.alias("cid"), F.col("embedding").cast("array<double>").alias("c")
     )
+    if nlist > small_rows:
+        for _ in range(iters):
+            centroids = checkpointed(_step_by_tiles(vectors, centroids, metric))
+        return centroids
+    # Few centroids are fetched after each pass, so that no pass is run again.
+    known = centroids.toArrow()
     for _ in range(iters):
-        centroids = _lloyd_step(vectors, centroids, metric, small_rows)
-    return centroids
+        known = _lloyd_step(vectors, known, metric).toArrow()
+    return vectors.sparkSession.createDataFrame(known.sort_by("cid"))
 
 
 def _mllib(vectors: DataFrame, nlist: int, iters: int, seed: int, metric: str) -> DataFrame:
@@ -86,21 +93,21 @@ def _small_centroids(centroids: DataFrame, small_rows: int) -> pa.Table | None:
     return None if known is None else known.sort_by("cid")
 
 
-def _lloyd_step(
-    vectors: DataFrame, centroids: DataFrame, metric: str, small_rows: int
-) -> DataFrame:
-    """Move each centroid to the mean of its vectors; one without vectors stays."""
-    known = _small_centroids(centroids, small_rows)
-    if known is None:
-        placed = _assign_large(vectors, centroids, metric).where("cid is not null")
-        moved = mean_vectors(placed, "cid").withColumnRenamed("c", "mean")
-    else:
-        centroids = vectors.sparkSession.createDataFrame(known)
-        moved = _bucket_means(vectors, known, metric)
-    stepped = centroids.join(moved, "cid", "left").select(
-        "cid", F.coalesce("mean", "c").alias("c")
+def _moved(centroids: DataFrame, means: DataFrame) -> DataFrame:
+    """Each centroid at the mean of its vectors; one without vectors stays."""
+    return centroids.join(means, "cid", "left").select("cid", F.coalesce("mean", "c").alias("c"))
+
+
+def _lloyd_step(vectors: DataFrame, known: pa.Table, metric: str) -> DataFrame:
+    known = known.sort_by("cid")
+    return _moved(
+        vectors.sparkSession.createDataFrame(known), _bucket_means(vectors, known, metric)
     )
-    return checkpointed(stepped) if known is None else stepped
+
+
+def _step_by_tiles(vectors: DataFrame, centroids: DataFrame, metric: str) -> DataFrame:
+    placed = _assign_large(vectors, centroids, metric).where("cid is not null")
+    return _moved(centroids, mean_vectors(placed, "cid").withColumnRenamed("c", "mean"))
 
 
 def _bucket_means(vectors: DataFrame, known: pa.Table, metric: str) -> DataFrame:
@@ -118,10 +125,9 @@ def _bucket_means(vectors: DataFrame, known: pa.Table, metric: str) -> DataFrame
         cids, centers, targets = shared.value
         counts, totals = np.zeros(len(cids), dtype=np.int64), np.zeros_like(centers)
         for batch in batches:
-            batch = with_vectors(batch, "embedding")
+            batch, matrix = with_vectors(batch, "embedding")
             if not batch.num_rows:
                 continue
-            matrix = matrix_of(batch.column("embedding"))
             nearest_center = closest(prepared(matrix, metric), targets, metric)
             order = np.argsort(nearest_center, kind="stable")
             met, starts = np.unique(nearest_center[order], return_index=True)
@@ -173,12 +179,10 @@ def assign_buckets(
 
     def bucket(vectors: pa.Array) -> pa.Array:
         cids, targets = shared.value
-        asked = with_vectors(
-            pa.table({"row": pa.array(range(len(vectors)), pa.int64()), "v": vectors}), "v"
-        )
+        asked, matrix = with_vectors(numbered(vectors), "v")
         found = np.full(len(vectors), -1, dtype=np.int32)
         if asked.num_rows:
-            rows = closest(prepared(matrix_of(asked["v"]), metric), targets, metric)
+            rows = closest(prepared(matrix, metric), targets, metric)
             found[asked["row"].to_numpy()] = cids[rows]
         return pa.array(found, mask=found < 0)
 

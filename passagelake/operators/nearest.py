@@ -34,6 +34,9 @@ from passagelake.session import small_table
 
 METRICS = ("cosine", "ip", "l2")
 
+# Cells whose tile counts may be broadcast: three numbers each.
+GRID_ROWS = 262_144
+
 _BLOCK_SCORES = 2_000_000
 _BLOCK_ROWS = 16_384
 _SLACK = 1e-7
@@ -43,20 +46,31 @@ _SLACK = 1e-7
 
 
 def matrix_of(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    """Rows of a list column as a matrix; every row has the same length."""
+    """Rows of a list column as a matrix."""
     if isinstance(vectors, pa.ChunkedArray):
         vectors = vectors.combine_chunks()
-    rows = len(vectors)
+    if not len(vectors):
+        return np.empty((0, 0))
+    lengths = pc.min_max(pc.list_value_length(vectors)).as_py()
+    if lengths["min"] != lengths["max"]:
+        raise ValueError(f"vectors have {lengths['min']} to {lengths['max']} numbers")
     flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    if rows and flat.size % rows:
-        raise ValueError("vectors differ in length")
-    return flat.reshape(rows, -1) if rows else np.empty((0, 0))
+    return flat.reshape(len(vectors), lengths["min"])
 
 
 def with_vectors(rows, column: str):
-    """The rows of a batch or table that have a vector."""
+    """The rows of a batch or table that have a complete vector, and their matrix."""
     # Left to the task: a filter in the plan would compute derived vectors twice.
-    return rows.filter(pc.greater(pc.list_value_length(rows[column]), 0))
+    rows = rows.filter(pc.greater(pc.list_value_length(rows[column]), 0))
+    matrix = matrix_of(rows[column])
+    finite = np.isfinite(matrix).all(axis=1)
+    if not finite.all():
+        rows, matrix = rows.filter(pa.array(finite)), matrix[finite]
+    return rows, matrix
+
+
+def numbered(vectors: pa.Array) -> pa.Table:
+    return pa.table({"row": pa.array(range(len(vectors)), pa.int64()), "v": vectors})
 
 
 def _unit(matrix: np.ndarray) -> np.ndarray:
@@ -110,7 +124,10 @@ class _Best:
             cut = len(items) - self.k
             floor = np.maximum(floor, np.partition(near, cut, axis=1)[:, cut])
         # The slack lets every true candidate through; rounded scores decide.
-        q, i = np.nonzero(near >= floor[:, None] - _SLACK)
+        slack = _SLACK
+        if self.metric == "l2":
+            slack += 1e-12 * ((items * items).sum(1).max() + (self.queries * self.queries).sum(1).max())
+        q, i = np.nonzero(near >= floor[:, None] - slack)
         if self.metric == "l2":
             score = np.round(_l2_pairs(self.queries, which[q], items, i), SCORE_DIGITS)
             reach = -score * score
@@ -195,7 +212,7 @@ def for_few_queries(
 ) -> DataFrame:
     """Nearest items of the queries in ``known``, the fetched rows of ``queries``."""
     schema = _result_schema(queries, items)
-    known = with_vectors(known, "qv")
+    known, matrix = with_vectors(known, "qv")
     if not known.num_rows:
         return items.sparkSession.createDataFrame([], schema).select(
             "qid", F.lit(0).alias("rk"), "id", "score"
@@ -203,7 +220,7 @@ def for_few_queries(
     qids, first = np.unique(
         known["qid"].to_numpy(zero_copy_only=False), return_index=True
     )
-    vectors = prepared(matrix_of(known["qv"].take(pa.array(first))), metric)
+    vectors = prepared(matrix[first], metric)
     members = None
     if cell:
         rows = np.searchsorted(qids, known["qid"].to_numpy(zero_copy_only=False))
@@ -218,11 +235,11 @@ def for_few_queries(
         qids, vectors, members = shared.value
         best = _Best(vectors, k, metric)
         for batch in batches:
-            batch = with_vectors(batch, "embedding")
+            batch, matrix = with_vectors(batch, "embedding")
             if not batch.num_rows:
                 continue
+            matrix = prepared(matrix, metric)
             ids = batch.column("id").to_numpy(zero_copy_only=False)
-            matrix = prepared(matrix_of(batch.column("embedding")), metric)
             if members is None:
                 best.offer(ids, matrix)
                 continue
@@ -255,17 +272,16 @@ def nearest_in(
         T.StructField("id", id_type), T.StructField("score", T.DoubleType()),
     ]))
     arrow_type = arrow_schema(T.StructType([T.StructField("hits", result)])).field(0).type
-    known = with_vectors(known, "embedding")
-    shared = SparkSession.active().sparkContext.broadcast((
-        known["id"].to_numpy(zero_copy_only=False), prepared(matrix_of(known["embedding"]), metric)
-    ))
+    known, matrix = with_vectors(known, "embedding")
+    shared = SparkSession.active().sparkContext.broadcast(
+        (known["id"].to_numpy(zero_copy_only=False), prepared(matrix, metric))
+    )
 
     def answer(vectors: pa.Array) -> pa.Array:
         ids, items = shared.value
-        asked = pa.table({"row": pa.array(range(len(vectors)), pa.int64()), "qv": vectors})
-        asked = with_vectors(asked, "qv")
+        asked, matrix = with_vectors(numbered(vectors), "v")
         counts = np.zeros(len(vectors), dtype=np.int64)
-        best = _Best(prepared(matrix_of(asked["qv"]), metric), k, metric)
+        best = _Best(prepared(matrix, metric), k, metric)
         if asked.num_rows and len(items):
             best.offer(ids, items)
             answered = asked["row"].to_numpy()[best.rows["q"].to_numpy(dtype=int)]
@@ -316,6 +332,9 @@ def by_tiles(
     # One row per cell: how many tiles each side of it has.  A crowded cell just
     # has more tiles, so no task grows with it.
     grid = tiles(queries, tile_queries, "_nq").join(tiles(items, tile_items, "_ni"), key)
+    counts = small_table(grid, GRID_ROWS)
+    if counts is not None:
+        grid = F.broadcast(items.sparkSession.createDataFrame(counts))
 
     def placed(df: DataFrame, own: str, other: str, ident: str, mine: str, theirs: str) -> DataFrame:
         return df.join(grid, key).select(
@@ -329,11 +348,12 @@ def by_tiles(
     out = arrow_schema(schema)
 
     def meet(q: pa.Table, i: pa.Table) -> pa.Table:
-        q, i = with_vectors(q, "qv"), with_vectors(i, "embedding")
+        q, asked = with_vectors(q, "qv")
+        i, offered = with_vectors(i, "embedding")
         if not q.num_rows or not i.num_rows:
             return out.empty_table()
-        best = _Best(prepared(matrix_of(q["qv"]), metric), k, metric)
-        best.offer(i["id"].to_numpy(), prepared(matrix_of(i["embedding"]), metric))
+        best = _Best(prepared(asked, metric), k, metric)
+        best.offer(i["id"].to_numpy(), prepared(offered, metric))
         rows = best.rows
         qids = q["qid"].to_numpy()[rows["q"].to_numpy(dtype=int)]
         return pa.Table.from_batches([_batch(out, qids, rows["id"], rows["score"])])

@@ -32,7 +32,7 @@ from passagelake.sources.tables import (
     write_table,
 )
 
-DEFAULT_QUESTION = "How do I submit a multi-node GPU job?"
+DEFAULT_QUESTION = "How do I submit a job that runs on several nodes?"
 
 
 def stage_shares(timings: DataFrame, total: Column | float | None = None) -> DataFrame:

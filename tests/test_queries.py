@@ -24,9 +24,13 @@ def test_entry_points(spark):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
     got = QUERIES[name](spark, FOLDER).toPandas()
-    assert len(got)
-    if name in ORACLE:
-        assert difference(got, duck.execute(ORACLE[name]).df()) is None
+    if name not in ORACLE:
+        assert len(got)
+        return
+    want = duck.execute(ORACLE[name]).df()
+    # In the smallest tables every document has a vector.
+    assert len(want) or name == "missing_vectors"
+    assert difference(got, want) is None
 
 
 def test_mllib_buckets_cover_the_collection(spark):

@@ -103,6 +103,40 @@ def test_many_blocks_in_one_task(data, frames, monkeypatch):
     assert got == [(r[0], r[2]) for r in brute(*data, 5, "cosine")]
 
 
+def test_rows_without_a_usable_vector_are_left_out(spark, data, frames):
+    queries, items = frames
+    bad = spark.createDataFrame(
+        [("x1", "u", "t 1", "", None), ("x2", "u", "t 1", "", []), ("x3", "u", "t 1", "", [1.0] * 5 + [None]),
+         ("x4", "u", "t 1", "", [float("nan")] * 6)], items.schema)
+    odd = spark.createDataFrame([("q98", None), ("q99", [])], queries.schema)
+    for way in WAYS.values():
+        found = nearest(queries.union(odd), items.union(bad).repartition(3), **way)
+        assert rows(found) == brute(*data, 5, "cosine")
+    trained = I.train_centroids(items.union(bad), nlist=9, iters=2)
+    assert centers(trained) == pytest.approx(lloyd(data[2], data[3], 9, 2))
+    placed = I.assign_buckets(items.union(bad), trained)
+    assert {r["id"] for r in placed.where("cid is null").collect()} == {"x1", "x2", "x3", "x4"}
+
+
+def test_vectors_of_different_width_are_refused(spark, frames):
+    rows_ = [("a", [1.0, 2.0]), ("b", [1.0, 2.0, 3.0, 4.0])]
+    mixed = spark.createDataFrame(rows_, "id string, embedding array<float>").coalesce(1)
+    query = spark.createDataFrame([("q", [1.0, 2.0])], "qid string, qv array<double>")
+    with pytest.raises(Exception, match="vectors have 2 to 4 numbers"):
+        nearest(query, mixed).collect()
+
+
+def test_long_vectors_keep_l2_exact(spark):
+    rng = np.random.default_rng(1)
+    v = 1e6 + rng.normal(size=(300, 4)) * 1e-2
+    ids = [f"r{n:03d}" for n in range(300)]
+    items = spark.createDataFrame(list(zip(ids, v.tolist())), "id string, embedding array<double>")
+    query = spark.createDataFrame([("q", v[17].tolist())], "qid string, qv array<double>")
+    got = [r["id"] for r in nearest(query, items, 20, "l2").orderBy("rk").collect()]
+    gaps = np.sqrt(((v - v[17]) ** 2).sum(1))
+    assert got == [ids[n] for n in np.argsort(np.round(gaps, 9), kind="stable")[:20]]
+
+
 def test_bad_arguments(frames):
     with pytest.raises(ValueError, match="metric"):
         nearest(*frames, metric="dot")
