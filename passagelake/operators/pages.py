@@ -21,10 +21,10 @@ def page_problem() -> Column:
 
 def split_bad_pages(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(readable pages, unreadable pages with a ``reason``)."""
-    reason = page_problem()
-    return pages.where(reason.isNull()), pages.withColumn("reason", reason).where(
-        "reason is not null"
-    )
+    # Plain null checks, which reach the file scan.
+    good = pages.where("url is not null and html is not null")
+    bad = pages.where("url is null or html is null")
+    return good, bad.withColumn("reason", page_problem())
 
 
 def extract_pages(pages: DataFrame, site_prefix: str = "") -> DataFrame:

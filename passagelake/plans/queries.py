@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from passagelake.functions.text import chunk_id, context_block, preview, score_band, score_text, slugify
+from passagelake.config import EMBED_DIM
+from passagelake.functions.text import (
+    chunk_id,
+    context_block,
+    preview,
+    score_band,
+    score_text,
+    slugify,
+)
 from passagelake.functions.vectors import (
     cosine_similarity,
     inner_product,
@@ -39,9 +47,9 @@ from passagelake.operators.search import (
     recall_at_k,
     single_query_search,
 )
-from passagelake.plans.stages import Chain, build_chunks, stage_shares
+from passagelake.plans.stages import Chain, build_chunks, search_text, stage_shares
 from passagelake.schema import duplicate_keys, validate_schema
-from passagelake.session import scratch_path
+from passagelake.session import broadcast_if_small, scratch_path
 from passagelake.sources.tables import (
     create_collection,
     insert_rows,
@@ -115,14 +123,14 @@ def _label_queries(collection: DataFrame) -> DataFrame:
     )
 
 
-def _stored_index(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+def _stored_index(rows: DataFrame, dim: int) -> tuple[DataFrame, DataFrame]:
     """(collection stored by bucket, centroids)."""
-    rows = _collection(spark, sf)
+    spark = rows.sparkSession
     centroids = read_table(
         spark, write_table(train_centroids(rows), scratch_path(spark, "centroids"))
     )
     placed = assign_buckets(rows, centroids)
-    target = create_collection(placed, scratch_path(spark, "collection"), VECTOR_DIM)
+    target = create_collection(placed, scratch_path(spark, "collection"), dim)
     return load_collection(spark, target), centroids
 
 
@@ -268,7 +276,7 @@ def still_missing(spark: SparkSession, sf: str) -> DataFrame:
 def vector_functions(spark: SparkSession, sf: str) -> DataFrame:
     """Each vector against its label's mean, by every measure."""
     rows = _collection(spark, sf, "label")
-    means = mean_vectors(rows, "label")
+    means = broadcast_if_small(mean_vectors(rows, "label"))
     v, c = F.col("embedding"), F.col("c")
     unit = l2_normalize(c)
     return rows.join(means, "label").select(
@@ -282,7 +290,8 @@ def vector_functions(spark: SparkSession, sf: str) -> DataFrame:
 
 def score_bands(spark: SparkSession, sf: str) -> DataFrame:
     rows = _collection(spark, sf, "label")
-    scored = rows.join(mean_vectors(rows, "label"), "label").select(
+    means = broadcast_if_small(mean_vectors(rows, "label"))
+    scored = rows.join(means, "label").select(
         "id", cosine_similarity(F.col("embedding"), F.col("c")).alias("score")
     )
     return scored.select(
@@ -354,13 +363,13 @@ def probe_selection(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ivf_topk(spark: SparkSession, sf: str) -> DataFrame:
-    stored, centroids = _stored_index(spark, sf)
+    stored, centroids = _stored_index(_collection(spark, sf), VECTOR_DIM)
     queries = _label_queries(_collection(spark, sf, "label"))
     return _hits(ivf_search(queries, stored, centroids))
 
 
 def ivf_recall(spark: SparkSession, sf: str) -> DataFrame:
-    stored, centroids = _stored_index(spark, sf)
+    stored, centroids = _stored_index(_collection(spark, sf), VECTOR_DIM)
     queries = _label_queries(_collection(spark, sf, "label"))
     exact = exact_search(queries, stored, fields=[])
     approx = ivf_search(queries, stored, centroids, fields=[])
@@ -371,7 +380,7 @@ def ivf_recall(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def collection_statistics(spark: SparkSession, sf: str) -> DataFrame:
-    return collection_stats(_stored_index(spark, sf)[0])
+    return collection_stats(_stored_index(_collection(spark, sf), VECTOR_DIM)[0])
 
 
 def _renewed(rows: DataFrame) -> DataFrame:
@@ -407,6 +416,14 @@ def text_search(spark: SparkSession, sf: str) -> DataFrame:
     return _hits(_text_hits(spark, sf))
 
 
+def text_search_ivf(spark: SparkSession, sf: str) -> DataFrame:
+    """The same questions against the stored, bucketed chunks."""
+    target = write_table(embed(_chunks(spark, sf)), scratch_path(spark, "vectors"))
+    rows = spread(read_table(spark, target)).select("id", "url", "title", "text", "embedding")
+    stored, centroids = _stored_index(rows, EMBED_DIM)
+    return _hits(search_text(_text_queries(spark, sf), stored, centroids))
+
+
 def text_search_shown(spark: SparkSession, sf: str) -> DataFrame:
     shown = described_hits(_text_hits(spark, sf))
     return shown.withColumn("rk", F.col("rk").cast("bigint"))
@@ -526,6 +543,7 @@ QUERIES: dict[str, Query] = {
     "collection_lifecycle": collection_lifecycle,
     "upsert_collection": upsert_collection,
     "text_search": text_search,
+    "text_search_ivf": text_search_ivf,
     "text_search_shown": text_search_shown,
     "context_blocks": context_blocks,
     "build_prompts": build_prompts,

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from passagelake.config import SMALL_SIDE_BYTES, SMALL_SIDE_ROWS
 
@@ -51,3 +51,13 @@ def small_table(
         return None
     table = df.toArrow()
     return table if table.nbytes <= size else None
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """``df`` fetched and marked for broadcast if small, else as it is.
+
+    Sizes of aggregates are only guessed before they run; without this, a large
+    table may be shuffled to meet a handful of rows.
+    """
+    table = small_table(df)
+    return df if table is None else F.broadcast(df.sparkSession.createDataFrame(table, df.schema))
