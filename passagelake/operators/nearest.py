@@ -61,7 +61,9 @@ def matrix_of(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
 def with_vectors(rows, column: str):
     """The rows of a batch or table that have a complete vector, and their matrix."""
     # Left to the task: a filter in the plan would compute derived vectors twice.
-    rows = rows.filter(pc.greater(pc.list_value_length(rows[column]), 0))
+    filled = pc.fill_null(pc.greater(pc.list_value_length(rows[column]), 0), False)
+    if not pc.all(filled, min_count=0).as_py():
+        rows = rows.filter(filled)
     matrix = matrix_of(rows[column])
     finite = np.isfinite(matrix).all(axis=1)
     if not finite.all():

@@ -16,14 +16,14 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a local session may leave it unset; it then gets a temporary folder.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="passagelake-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="passagelake-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -33,9 +33,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage by a reliable checkpoint in the shared folder."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+    context = df.sparkSession.sparkContext
+    folder = shared_folder(df.sparkSession)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
     return df.checkpoint()
 
 

@@ -117,6 +117,12 @@ def test_insert_batches_bound_file_sizes(spark, tmp_path):
     assert S.read_table(spark, target).count() == 25
 
 
+def test_spread_leaves_large_inputs_alone(spark):
+    few, many = spark.range(100).coalesce(1), spark.range(100).repartition(20)
+    assert S.spread(few).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert S.spread(many).rdd.getNumPartitions() == 20
+
+
 def test_empty_input_names_the_step(spark, tmp_path):
     S.write_table(rows(spark, "a").where("false"), str(tmp_path / "e"))
     with pytest.raises(ValueError, match="is empty. Run chunk first"):
