@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from passagelake.session import scratch_path
@@ -24,6 +25,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def file_store(folder: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a folder, and its path there; for tasks that write own formats."""
+    if folder.startswith(("/", "file:")):
+        return pafs.LocalFileSystem(), "/" + folder.removeprefix("file:").lstrip("/")
+    return pafs.FileSystem.from_uri(folder)
+
+
 def partitions(spark: SparkSession, size: int, each: int) -> int:
     """Shuffle partitions for ``size`` units of data, ``each`` in one, never fewer than set."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // each))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from passagelake.llm.exact_dedup import exact_dedup
 from passagelake.llm.mixing import mix_sources
+from passagelake.llm.token_files import token_roundtrip
 from passagelake.llm.url_filter import filter_urls
 from passagelake.llm.warc import warc_roundtrip
 
@@ -19,6 +20,15 @@ URL_RULES = (
     ("org", "/fr/", "allow"),
 )
 
+#: Vocabulary file of the token query, and the id that ends a document.
+TOKENIZER, END_ID = "word_bpe_49k.json", 1
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
 
 def _read(spark: SparkSession, sf: str, table: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{table}.parquet").select(*columns)
@@ -28,6 +38,11 @@ def op1_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup(_read(spark, sf, "documents", "doc_id", "text"))
 
 
+def op2_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    documents = _read(spark, sf, "documents", "doc_id", "text")
+    return token_roundtrip(documents, tokenizer_path(), END_ID, by_words=True, width=2)
+
+
 def op6_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     rules = spark.createDataFrame(list(URL_RULES), "host string, path string, verdict string")
     return filter_urls(_read(spark, sf, "pages", "page_id", "url"), rules)
@@ -43,7 +58,7 @@ def op10_mixing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_exact_dedup, op6_url_filter, op9_warc, op10_mixing)
+    f.__name__: f for f in (op1_exact_dedup, op2_token_files, op6_url_filter, op9_warc, op10_mixing)
 }
 
 LLM_ORACLE: dict[str, str] = {

@@ -21,17 +21,15 @@ from __future__ import annotations
 
 import gzip
 import hashlib
-import io
 import uuid
 import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from passagelake.llm.common import pieces, stored
+from passagelake.llm.common import file_store, pieces, stored
 from passagelake.session import scratch_path
 
 LEAST_BYTES = 100
@@ -80,7 +78,7 @@ def warc_record(page_id: int | None, url: str | None, payload: bytes, digest: st
 
 def _writer(folder: str):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = pafs.FileSystem.from_uri(folder)
+        store, root = file_store(folder)
         store.create_dir(root, recursive=True)
         context = TaskContext.get()
         path = f"{root}/part-{context.partitionId():06d}.warc.gz"
@@ -141,7 +139,7 @@ def parse_record(data: bytes) -> dict:
 
 def _reader(folder: str):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, _ = pafs.FileSystem.from_uri(folder)
+        store, _ = file_store(folder)
         names = [f.split()[0] for f in RECORDS.split(", ")]
         kinds = pa.schema([(n, pa.int64() if n in ("page_id", "payload_bytes") else pa.string()) for n in names])
 
@@ -198,5 +196,4 @@ def read_archives(spark: SparkSession, files: DataFrame, folder: str) -> DataFra
 def warc_roundtrip(pages: DataFrame, least_bytes: int = LEAST_BYTES, folder: str | None = None) -> DataFrame:
     """Write the archives of ``pages`` and read them back."""
     folder = folder or scratch_path(pages.sparkSession, "warc")
-    folder = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
     return read_archives(pages.sparkSession, write_archives(pages, folder, least_bytes), folder)
