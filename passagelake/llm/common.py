@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from passagelake.session import scratch_path
 
@@ -77,7 +77,7 @@ class Words:
         return len(self.starts) - 1
 
 
-def crc32_of(column: str) -> "F.Column":
+def crc32_of(column: str) -> Column:
     """crc32 of a value written as text."""
     return F.crc32(F.col(column).cast("string").cast("binary"))
 

@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from passagelake.llm import language_id
+from passagelake.llm.common import crc32_of
 from passagelake.llm.exact_dedup import exact_dedup
 from passagelake.llm.mixing import mix_sources
+from passagelake.llm.simhash import hex_fingerprint, near_duplicates
 from passagelake.llm.token_files import token_roundtrip
 from passagelake.llm.url_filter import filter_urls
 from passagelake.llm.warc import warc_roundtrip
@@ -43,11 +46,24 @@ def op2_token_files(spark: SparkSession, sf: str) -> DataFrame:
     return token_roundtrip(documents, tokenizer_path(), END_ID, by_words=True, width=2)
 
 
+def op5_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    documents = _read(spark, sf, "documents", "doc_id", "text", "lang")
+    held = language_id.held_out(crc32_of("doc_id"))
+    model = language_id.train(documents.where(~held).select("text", "lang"))
+    asked = documents.select("doc_id", held.alias("held_out"), "text")
+    return language_id.identify(asked, model).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op6_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     rules = spark.createDataFrame(list(URL_RULES), "host string, path string, verdict string")
     return filter_urls(_read(spark, sf, "pages", "page_id", "url"), rules)
 
 
+def op7_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    found = near_duplicates(_read(spark, sf, "documents", "doc_id", "text"))
+    return found.select("doc_id", hex_fingerprint().alias("fingerprint"), "component_id")
+
+
 def op9_warc(spark: SparkSession, sf: str) -> DataFrame:
     return warc_roundtrip(_read(spark, sf, "pages", "page_id", "url", "html"))
 
@@ -58,7 +74,10 @@ def op10_mixing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_exact_dedup, op2_token_files, op6_url_filter, op9_warc, op10_mixing)
+    f.__name__: f
+    for f in (
+        op1_exact_dedup, op2_token_files, op5_language_id, op6_url_filter, op7_simhash, op9_warc, op10_mixing,
+    )
 }
 
 LLM_ORACLE: dict[str, str] = {
