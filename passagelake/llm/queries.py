@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from passagelake.llm import language_id
+from passagelake.llm import class_lm, language_id
 from passagelake.llm.common import crc32_of
 from passagelake.llm.exact_dedup import exact_dedup
 from passagelake.llm.mixing import mix_sources
@@ -64,6 +64,14 @@ def op7_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+def op8_class_lm(spark: SparkSession, sf: str) -> DataFrame:
+    documents = _read(spark, sf, "documents", "doc_id", "text")
+    scored = class_lm.score_texts(documents, class_lm.held_out())
+    return scored.select(
+        "doc_id", class_lm.held_out().alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op9_warc(spark: SparkSession, sf: str) -> DataFrame:
     return warc_roundtrip(_read(spark, sf, "pages", "page_id", "url", "html"))
 
@@ -76,7 +84,8 @@ def op10_mixing(spark: SparkSession, sf: str) -> DataFrame:
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_exact_dedup, op2_token_files, op5_language_id, op6_url_filter, op7_simhash, op9_warc, op10_mixing,
+        op1_exact_dedup, op2_token_files, op5_language_id, op6_url_filter, op7_simhash, op8_class_lm,
+        op9_warc, op10_mixing,
     )
 }
 
