@@ -11,6 +11,7 @@ from passagelake.llm.common import crc32_of
 from passagelake.llm.exact_dedup import exact_dedup
 from passagelake.llm.mixing import mix_sources
 from passagelake.llm.simhash import hex_fingerprint, near_duplicates
+from passagelake.llm.substring_dedup import substring_dedup
 from passagelake.llm.token_files import token_roundtrip
 from passagelake.llm.url_filter import filter_urls
 from passagelake.llm.warc import warc_roundtrip
@@ -46,6 +47,10 @@ def op2_token_files(spark: SparkSession, sf: str) -> DataFrame:
     return token_roundtrip(documents, tokenizer_path(), END_ID, by_words=True, width=2)
 
 
+def op3_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return substring_dedup(_read(spark, sf, "documents", "doc_id", "text"))
+
+
 def op5_language_id(spark: SparkSession, sf: str) -> DataFrame:
     documents = _read(spark, sf, "documents", "doc_id", "text", "lang")
     held = language_id.held_out(crc32_of("doc_id"))
@@ -84,7 +89,7 @@ def op10_mixing(spark: SparkSession, sf: str) -> DataFrame:
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_exact_dedup, op2_token_files, op5_language_id, op6_url_filter, op7_simhash, op8_class_lm,
+        op1_exact_dedup, op2_token_files, op3_substring_dedup, op5_language_id, op6_url_filter, op7_simhash, op8_class_lm,
         op9_warc, op10_mixing,
     )
 }
