@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from passagelake.llm import class_lm, language_id
 from passagelake.llm.common import crc32_of
+from passagelake.llm.decontaminate import contaminated
 from passagelake.llm.exact_dedup import exact_dedup
 from passagelake.llm.mixing import mix_sources
 from passagelake.llm.simhash import hex_fingerprint, near_duplicates
@@ -51,6 +52,12 @@ def op3_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return substring_dedup(_read(spark, sf, "documents", "doc_id", "text"))
 
 
+def op4_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    return contaminated(
+        _read(spark, sf, "documents", "doc_id", "text"), _read(spark, sf, "benchmark", "item_id", "text")
+    )
+
+
 def op5_language_id(spark: SparkSession, sf: str) -> DataFrame:
     documents = _read(spark, sf, "documents", "doc_id", "text", "lang")
     held = language_id.held_out(crc32_of("doc_id"))
@@ -89,8 +96,8 @@ def op10_mixing(spark: SparkSession, sf: str) -> DataFrame:
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_exact_dedup, op2_token_files, op3_substring_dedup, op5_language_id, op6_url_filter, op7_simhash, op8_class_lm,
-        op9_warc, op10_mixing,
+        op1_exact_dedup, op2_token_files, op3_substring_dedup, op4_decontaminate, op5_language_id,
+        op6_url_filter, op7_simhash, op8_class_lm, op9_warc, op10_mixing,
     )
 }
 
