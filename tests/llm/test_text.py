@@ -1,0 +1,174 @@
+"""Decontamination, language identification and the class model."""
+
+import math
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+import regex
+from pyspark.sql import functions as F
+
+from conftest import edge_texts, prose, rows_of
+from passagelake.llm import class_lm, decontaminate, language_id
+from passagelake.llm.common import crc32_of
+
+
+def normal(text):
+    return [w for w in regex.split(r"[^\p{L}\p{N}]+", (text or "").lower()) if w]
+
+
+def shingles(words):
+    return Counter(tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4)))
+
+
+def expected_leaks(docs, items):
+    out = {}
+    for item, text in items:
+        w = normal(text)
+        if not w:
+            continue
+        own = shingles(w)
+        for doc, body in docs:
+            d = normal(body)
+            if not d:
+                continue
+            for start in range(-len(w), len(d)):
+                window = d[max(start, 0) : max(start + len(w), 0)]
+                if not window:
+                    continue
+                got = shingles(window)
+                alike = (own & got).total() / (own | got).total()
+                if alike >= 0.8:
+                    out[doc, item] = max(out.get((doc, item), 0), round(alike, 9))
+    return out
+
+
+def test_decontamination(spark, documents, nothing):
+    item, other = prose(50, 45), prose(51, 30)
+    changed = item.split()
+    changed[20] = "different"
+    moved = item.split()
+    moved[1] = "different"
+    rows = [
+        (1, prose(52, 80) + " " + item.upper() + "%%% " + prose(53, 20)),
+        (2, prose(54, 7) + "\n" + " ".join(changed)), (3, " ".join(moved) + " " + prose(55, 60)), (4, prose(56, 200)),
+        (5, None), (6, ""), (7, item[: len(item) // 2]), (8, other + " " + item + " " + other), (8, other), (9, "few words"),
+        (None, item),
+    ]
+    items = [(1, item), (2, other), (2, other), (3, None), (4, "??"), (5, "few words"), (None, prose(57, 25))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.contaminated(docs, bench)
+    got = {(r.doc_id, r.item_id): round(r.similarity, 9) for r in found.collect()}
+    assert got == expected_leaks(rows, items)
+    assert {(1, 1), (3, 1), (8, 1), (8, 2), (9, 5), (None, 1)} <= set(got) and (4, 1) not in got
+    assert decontaminate.contaminated(nothing, bench).count() == 0
+    assert decontaminate.contaminated(docs, bench.limit(0)).count() == 0
+    assert decontaminate.contaminated(documents, bench).count() == 0
+
+
+def test_blocks_find_all_pairs_within_the_radius(spark):
+    chooser = np.random.default_rng(3)
+    prints = [int(x) for x in chooser.integers(-(2**62), 2**62, 12)]
+    asked = [(f"{k}/{d}", p ^ sum(1 << int(b) for b in chooser.choice(63, d, replace=False)))
+             for k, p in enumerate(prints) for d in (0, 5, 11, 12, 20)]
+    windows = spark.createDataFrame(asked, "window string, fp long")
+    items = spark.createDataFrame(list(enumerate(prints)), "item long, item_fp long")
+    found = decontaminate.near_pairs(windows, items, 11, 4)
+    want = {(w, k) for w, f in asked for k, p in enumerate(prints) if ((f ^ p) & (2**64 - 1)).bit_count() <= 11}
+    assert {(r.window, r.item) for r in found.collect()} == want
+
+
+LETTERS = {"aa": "abcde ", "bb": "defgh ", "cc": "nñopé "}
+
+
+def made_up(lang, seed, n=300):
+    import random
+
+    return "".join(random.Random(f"{lang}{seed}").choices(LETTERS[lang], k=n))
+
+
+def test_language(spark, nothing):
+    rows = [(lang, made_up(lang, s)) for lang in LETTERS for s in range(20)]
+    training = spark.createDataFrame([*rows, (None, "aaaa"), ("aa", None)], "lang string, text string")
+    model = language_id.train(training)
+    assert model.languages == ["aa", "bb", "cc"] and (model.false_rates() < 0.05).all()
+    asked = [(k, lang, made_up(lang, 1000 + k)) for k, lang in enumerate(list(LETTERS) * 5)]
+    asked += [(90, "und", None), (91, "und", ""), (92, "und", "12 --"), (93, None, "中文 текст"), (94, None, "x")]
+    docs = spark.createDataFrame(asked, "doc_id long, want string, text string").withColumn("score2", F.lit(1))
+    got = {r.doc_id: r for r in language_id.identify(docs, model).collect()}
+    assert len(got) == len(asked)
+    for k, want, _ in asked:
+        assert 0 <= got[k].score <= 1
+        assert got[k].lang_pred == (want or model.fallback)
+    none = language_id.train(nothing)
+    assert {r.lang_pred for r in language_id.identify(docs, none).collect()} == {"und"}
+    assert language_id.identify(nothing.select("doc_id", "text"), model).count() == 0
+
+
+def test_more_languages_than_a_word_has_bits():
+    gram = np.arange(70) << 21
+    model = language_id.LanguageModel.of([f"{i:02}" for i in range(70)], "00", np.arange(70), gram + (97 << 42))
+    assert model.slots.shape[0] == 2
+
+
+@pytest.mark.parametrize("options", [{}, {"frequent": 4, "placed": 3, "exchanged": 2}])
+def test_class_model(documents, options):
+    rows = edge_texts()
+    held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 5 == 1
+    tokens = [(i, [*(t or "").encode().lower().split(), b" "]) for i, t in rows]
+    counts = Counter(w for i, ws in tokens if not held(i) for w in ws)
+    total, distinct = counts.total(), len(counts)
+    scored = class_lm.score_texts(documents, class_lm.held_out(), **options)
+    got = rows_of(scored, "doc_id", "n_tokens", "n_known", "train_tokens", F.round("base_score", 6))
+    base = lambda ws: sum(math.log10((counts[w] + 0.5) / (total + 0.5 * (distinct + 1))) for w in ws)
+    want = sorted(((i, len(ws), sum(counts[w] > 0 for w in ws), total, round(base(ws), 6)) for i, ws in tokens), key=repr)
+    assert [g[:4] for g in got] == [w[:4] for w in want]
+    assert np.allclose([g[4] for g in got], [w[4] for w in want])
+    assert all(r.score < 0 for r in scored.collect())
+
+
+def test_class_probabilities_add_up(spark):
+    texts = spark.createDataFrame([(prose(s, 60),) for s in range(40)], "text string").cache()
+    counts = class_lm.word_counts(texts)
+    model = class_lm.train(texts, counts, frequent=30, placed=20, exchanged=10, classes=4)
+    lex = model.lexicon
+    assert np.allclose((10**model.transitions).sum(axis=1), 1)
+    rare = counts.where(~F.col("word").isin([bytearray(w) for w in lex.words.value])).toPandas()["n"]
+    scale = model.other_total + 0.5 * (model.other_distinct + 1)
+    for c in range(4 + 2):
+        mass = (10 ** model.emissions[: lex.size][model.classes[: lex.size] == c]).sum()
+        if c == 4:  # all other words, and one for the unseen
+            mass += ((rare + 0.5) / scale).sum() + 0.5 / scale
+        if c == 5:
+            mass += 10 ** model.emissions[lex.end]
+        assert mass == pytest.approx(1) or not (model.classes == c).any()
+
+
+def test_exchange_finds_alternating_classes(spark):
+    """Words of two kinds that always alternate."""
+    import random
+
+    chooser = random.Random(2)
+    texts = [(" ".join(chooser.choice(("a", "b", "c")) + " " + chooser.choice(("x", "y", "z")) for _ in range(40)),) for _ in range(30)]
+    df = spark.createDataFrame(texts, "text string").cache()
+    lex = class_lm.lexicon(class_lm.word_counts(df), 30, 6)
+    numbers = np.arange(8)
+    pairs = class_lm.pair_counts(df, lex, numbers, numbers)
+    found = class_lm.exchange(pairs, 6, 2, 20)
+    kinds = defaultdict(set)
+    for word, c in zip(lex.words.value, found, strict=False):
+        kinds[int(c)].add(word.decode())
+    assert sorted(map(sorted, kinds.values())) == [["a", "b", "c"], ["x", "y", "z"]]
+
+
+def test_scores_on_no_training_text(documents, nothing):
+    assert class_lm.score_texts(nothing, class_lm.held_out()).count() == 0
+    scored = class_lm.score_texts(documents, F.lit(True)).collect()
+    assert len(scored) == len(edge_texts()) and {r.train_tokens for r in scored} == {0}
+
+
+def test_crc_of_ids(spark):
+    row = spark.range(12, 13).select(crc32_of("id").alias("c")).first()
+    assert row.c == zlib.crc32(b"12")
