@@ -23,7 +23,7 @@ _OPEN = "\ufdd1"
 _CLOSE = "\ufdd2"
 
 # The rest of a tag after its name; quoted attribute values may hold ">".
-_TAIL = r"(?:(?:[^>\"']++|\"[^\"]*+\"|'[^']*+'){0,200}+>|[^>]*+>)"
+_TAIL = r"(?:(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|[^>]*+>)"
 _NAME_END = r"(?=[\s/>])"
 
 # Elements whose text is never page text.
@@ -32,7 +32,7 @@ _SILENT = "script|style|template|rp|rt"
 _CHROME = "nav|header|footer"
 _CHROME_CLASS = "headerlink"
 
-_ENTITY = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+_ENTITY = r"&(?:#[0-9]++|#[xX][0-9a-fA-F]++|[A-Za-z][A-Za-z0-9]{1,31});"
 
 
 def _open_tag(names: str) -> str:
@@ -43,6 +43,11 @@ def _close_tag(names: str) -> str:
     return rf"(?is)</(?:{names})\s*>"
 
 
+def _without_empty(html: Column, names: str) -> Column:
+    """Drop tags that close themselves, such as ``<nav/>``."""
+    return F.regexp_replace(html, rf"{_open_tag(names)}(?<=/>)", _NODE)
+
+
 def _mark_elements(html: Column, names: str) -> Column:
     marked = F.regexp_replace(html, _open_tag(names), _OPEN)
     return F.regexp_replace(marked, _close_tag(names), _CLOSE)
@@ -93,7 +98,7 @@ def _outside_all(html: Column, names: str) -> Column:
         return _state(depth, F.lit(False), kept)
 
     start = _state(F.lit(0), F.lit(False), F.array().cast("array<string>"))
-    marked = F.concat(F.lit(_CLOSE), _mark_elements(html, names))
+    marked = F.concat(F.lit(_CLOSE), _mark_elements(_without_empty(html, names), names))
     return F.aggregate(
         _segments(marked), start, step, lambda acc: F.array_join(acc["kept"], _NODE)
     )
@@ -107,7 +112,9 @@ def unescape(text: Column) -> Column:
 
     def resolve(token: Column) -> Column:
         is_hex = F.substring(token, 3, 1).isin("x", "X")
-        digits = F.regexp_extract(token, r"^&#[xX]?([0-9a-fA-F]+);$", 1)
+        digits = F.regexp_extract(token, r"^&#[xX]?0*+([0-9a-fA-F]*);$", 1)
+        # More digits than the last code point has are beyond it.
+        digits = F.when(F.length(digits).between(1, 7), digits).otherwise(F.lit("0"))
         code = F.when(is_hex, F.conv(digits, 16, 10)).otherwise(digits).cast("bigint")
         usable = (
             (code > 0) & (code <= 0x10FFFF)

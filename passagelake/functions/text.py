@@ -45,7 +45,7 @@ def preview(text: Column, width: int = PREVIEW_WIDTH) -> Column:
         rf"(?s)^(.{{1,{room}}})(?:(?= )"
         rf"|(?<={letter}{letter}-|{letter}-{letter}-)(?={letter}-?{letter})"
         r"|(?<=[\p{L}\p{N}_!\"'&.,?])(?=-{2,}[\p{L}\p{N}_])"
-        r"|(?<=[\p{L}\p{N}_!\"'&.,?]-{2,60})(?=[\p{L}\p{N}_]))"
+        rf"|(?<=[\p{{L}}\p{{N}}_!\"'&.,?]-{{2,{room}}})(?=[\p{{L}}\p{{N}}_]))"
     )
 
     def shortened(line: Column) -> Column:

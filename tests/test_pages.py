@@ -53,6 +53,13 @@ CASES = {
     "ruby and template": ("<article>a<template><p>t</p></template><rp>(</rp>b</article>", ("Untitled", "a\nb")),
     "upper case": ("<ARTICLE><NAV>n</NAV><P>x</P></ARTICLE>", ("Untitled", "x")),
     "empty": ("", ("Untitled", "")),
+    "many attributes": (
+        "<article><img " + " ".join(f"a{n}='{n}'" for n in range(400)) + ' z="a > b">hello</article>',
+        ("Untitled", "hello")),
+    "long references": (
+        "<p>&#00000038;&#x0000026;&#0000000000000000000065;&#99999999999999999999;&#x110000;", ("Untitled", "&&A\ufffd\ufffd")),
+    "furniture that closes itself": (
+        "<article><nav/><p>kept</p><header class='a>b'  /><footer>f</footer></article>", ("Untitled", "kept")),
 }
 
 

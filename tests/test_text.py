@@ -41,6 +41,8 @@ def test_preview_like_textwrap(spark):
         "a" * 268 + " multi-node job " + "b" * 30, "a" * 270 + " 12-34-56 " + "b" * 30,
         "a" * 272 + " b--c " + "d" * 20, "é" * 100 + " " + "ö" * 175 + " " + "ü" * 40,
         "q " * 139 + "qq rest", "ends here " * 28 + "x", "a" * 274 + "--bcd " + "e" * 20,
+        *("ab " * 40 + "word" + "-" * n + "next " + "c" * 160 for n in (59, 60, 61, 62, 100)),
+        "x" + "-" * 274 + "y " + "z" * 30, "x" + "-" * 275 + "y " + "z" * 30,
     ]
     want = [
         textwrap.shorten(t.replace("\n", " "), width=280, placeholder=" ...") for t in texts
