@@ -117,10 +117,8 @@ def mix_sources(docs: DataFrame, most: int = 3, block: int | None = None) -> Dat
         Window.unboundedPreceding, -1
     )
     start = F.col("base") + F.coalesce(F.col("inside"), F.lit(0))
-    placed = stored(
-        streamed.withColumn("inside", F.sum("size").over(inside)).join(sums, ["number", "chunk"])
-        .select("doc_id", "source", "size", "number", "source_size", "target", start.alias("start")),
-        "stream",
+    placed = streamed.withColumn("inside", F.sum("size").over(inside)).join(sums, ["number", "chunk"]).select(
+        "doc_id", "source", "size", "number", "source_size", "target", start.alias("start")
     )
     # The blocks that each document meets in each round of its source's stream.
     rounds = placed.where("size > 0").select(
