@@ -26,14 +26,18 @@ columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
 import zlib
-from collections.abc import Callable, Iterator
+from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -46,24 +50,69 @@ FRAME_TOKENS = 1 << 16
 INDEX_MAGIC, SEEK_MAGIC, SEEKABLE = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 FILES = "path string, documents long, tokens long"
 TOKENS = "doc_id long, start long, n_tokens long, ids_crc32 long"
-#: Words a task remembers, and the longest of them in bytes.
-REMEMBERED, LONGEST = 300_000, 48
+#: Words a worker remembers (and as many pieces), and the longest of them in bytes.
+REMEMBERED, LONGEST = 600_000, 48
 
 
 class Encoder:
-    """Ids of texts by a tokenizer file; ``end_id`` follows every text."""
+    """Ids of texts by a tokenizer file; ``end_id`` follows every text.
+
+    Words are encoded once and remembered.  If the file's normaliser only composes,
+    folds blanks and lower-cases, and its pieces are the matches of a pattern, words of
+    printable ASCII are cut by that pattern, and their pieces are remembered too.
+    """
 
     def __init__(self, path: str, end_id: int, by_words: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism
-        from tokenizers import Tokenizer
+        import tokenizers
 
-        self.tokenizer = Tokenizer.from_file(path)
         self.end, self.by_words = struct.pack("<I", end_id), by_words
-        self.known: dict[bytes, bytes] = {}
+        # Functions travel by value and have no module on executors; what a worker
+        # process has loaded and encoded is kept on the library's, for its later tasks.
+        held = tokenizers.__dict__.setdefault("_encoders", {})
+        if path not in held:
+            with open(path, encoding="utf-8") as file:
+                spec = json.load(file)
+            added = b"|".join(re.escape(t["content"].encode()) for t in spec["added_tokens"])
+            fits = re.compile((rb"(?!.*(?:%s))" % added if added else b"") + rb"[!-~]+").fullmatch
+            held[path] = tokenizers.Tokenizer.from_file(path), self._pattern(spec), fits, {}, {}
+        self.tokenizer, self.pattern, self.fits, self.known, self.pieces = held[path]
+
+    @staticmethod
+    def _pattern(spec: dict) -> regex.Pattern | None:
+        steps = (spec["normalizer"] or {}).get("normalizers", [])
+        cuts = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
+        fits = (
+            [n["type"] for n in steps] == ["NFC", "Replace", "Lowercase"]
+            and steps[1]["pattern"] == {"Regex": r"\s+"} and steps[1]["content"] == " "
+            and [c["type"] for c in cuts] == ["Split", "ByteLevel"]
+            and cuts[0]["behavior"] == "Removed" and cuts[0]["invert"] and "Regex" in cuts[0]["pattern"]
+            and not cuts[1]["use_regex"] and not cuts[1]["add_prefix_space"]
+        )
+        return regex.compile(cuts[0]["pattern"]["Regex"] + "|\n") if fits else None
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        return [array("I", e.ids).tobytes() for e in found]
+
+    def _piece(self, piece: str) -> bytes:
+        code = array("I", [t.id for t in self.tokenizer.model.tokenize(piece)]).tobytes()
+        if len(piece) <= LONGEST:
+            self.pieces[piece] = code
+        return code
+
+    def _plain(self, words: list[bytes]) -> list[bytes]:
+        """Codes of words of printable ASCII, by the pieces of the pattern."""
+        known, codes, code = self.pieces, [], b""
+        if len(known) > REMEMBERED:
+            known.clear()
+        for piece in self.pattern.findall((b"\n".join(words) + b"\n").decode().lower()):
+            if piece == "\n":
+                codes.append(code)
+                code = b""
+            else:
+                code += known.get(piece) or self._piece(piece)
+        return codes
 
     def _words(self, words: list[bytes]) -> list[bytes]:
         known = self.known
@@ -71,7 +120,12 @@ class Encoder:
             known.clear()
         codes = list(map(known.get, words))
         new = [i for i, c in enumerate(codes) if c is None]
-        for i, code in zip(new, self._encoded([words[i].decode() for i in new]), strict=True):
+        plain, others = [], []
+        for i in new:
+            (plain if self.pattern and self.fits(words[i]) else others).append(i)
+        found = self._plain([words[i] for i in plain]) if plain else []
+        found += self._encoded([words[i].decode() for i in others])
+        for i, code in zip(plain + others, found, strict=True):
             codes[i] = code
             if len(words[i]) <= LONGEST:
                 known[words[i]] = code
@@ -84,7 +138,7 @@ class Encoder:
             return np.frombuffer(b"".join(codes), "<u4"), np.array([len(c) // 4 for c in codes], np.int64)
         words = Words(texts)
         codes = [*self._words(words.vocabulary), self.end]
-        sizes = np.array([len(c) // 4 for c in codes], np.int64)
+        sizes = np.fromiter(map(len, codes), np.int64, len(codes)) // 4
         pool = np.frombuffer(b"".join(codes), "<u4")
         order = np.insert(words.ids, words.starts[1:], len(codes) - 1)  # each text, then the end
         ends = np.cumsum(sizes[order])
