@@ -9,9 +9,9 @@ import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from passagelake.config import METRIC, NLIST, NPROBE, SMALL_SIDE_ROWS
+from passagelake.config import METRIC, NLIST, NPROBE, SMALL_SIDE_BYTES, SMALL_SIDE_ROWS
 from passagelake.operators.nearest import (
     by_tiles,
     closest,
@@ -22,7 +22,7 @@ from passagelake.operators.nearest import (
     prepared,
     with_vectors,
 )
-from passagelake.session import checkpointed, small_table
+from passagelake.session import broadcast_if_small, checkpointed, small_table
 
 
 def _vector_mean(column: str):
@@ -50,21 +50,25 @@ def train_centroids(
 ) -> DataFrame:
     """``(cid, c)``: centroids of ``nlist`` buckets over the whole collection.
 
-    ``lloyd`` starts from the vectors with the lowest ids and is repeatable
-    anywhere; ``mllib`` starts from k-means|| seeds.
+    ``lloyd`` starts from the vectors whose ids have the lowest MD5, which neighbours and
+    copies don't share, and is repeatable anywhere; ``mllib`` starts from k-means|| seeds.
+    The collection is read once per pass by jobs that run here and now: store vectors
+    that an encoder derives before they are trained on.
     """
     vectors = collection.select("id", "embedding")
     if method == "mllib":
         return _mllib(vectors, nlist, iters, seed, metric)
     if method != "lloyd":
         raise ValueError(f"method is 'lloyd' or 'mllib', not {method!r}")
-    # Only nlist rows are left to number.
-    first = vectors.where(F.size("embedding") > 0).orderBy("id").limit(nlist)
-    number = F.row_number().over(Window.orderBy("id")) - 1
-    centroids = first.select(
-        number.alias("cid"), F.col("embedding").cast("array<double>").alias("c")
-    )
-    if nlist > small_rows:
+    usable = vectors.where((F.size("embedding") > 0) & F.col("id").isNotNull())
+    order = (F.md5(F.col("id").cast("string").cast("binary")), "id")
+    # Only nlist ids are left to number; their vectors are fetched by a join.
+    chosen = usable.select("id").distinct().orderBy(*order).limit(nlist)
+    numbered_ids = chosen.withColumn("cid", F.row_number().over(Window.orderBy(*order)) - 1)
+    seeds = usable.join(broadcast_if_small(numbered_ids), "id").dropDuplicates(["cid"])
+    centroids = seeds.select("cid", F.col("embedding").cast("array<double>").alias("c"))
+    width = usable.agg(F.max(F.size("embedding"))).first()[0] or 0
+    if nlist > small_rows or 2 * 8 * nlist * width > SMALL_SIDE_BYTES:
         for _ in range(iters):
             centroids = checkpointed(_step_by_tiles(vectors, centroids, metric))
         return centroids
@@ -148,15 +152,22 @@ def _bucket_means(vectors: DataFrame, known: pa.Table, metric: str) -> DataFrame
     return merged.select("cid", F.transform("total", lambda x: x / F.col("n")).alias("mean"))
 
 
+def _digest(column: str) -> Column:
+    """Tells different vectors apart."""
+    return F.md5(F.col(column).cast("string").cast("binary"))
+
+
 def _assign_large(collection: DataFrame, centroids: DataFrame, metric: str) -> DataFrame:
-    """Buckets when the centroids are too many for one task."""
-    chosen = by_tiles(
-        collection.select(F.col("id").alias("qid"), F.col("embedding").alias("qv")),
-        _as_items(centroids), k=1, metric=metric,
-    )
-    return collection.join(
-        chosen.select(F.col("qid").alias("id"), F.col("id").alias("cid")), "id", "left"
-    )
+    """Buckets when the centroids are too many for one task.
+
+    Each different vector is placed once and meets its rows by a digest, so that rows stay
+    as many as they are, whatever their ids.
+    """
+    digest = _digest("embedding")
+    different = collection.select(digest.alias("qid"), F.col("embedding").alias("qv")).dropDuplicates(["qid"])
+    chosen = by_tiles(different, _as_items(centroids), k=1, metric=metric)
+    found = chosen.select(F.col("qid").alias("_digest"), F.col("id").alias("cid"))
+    return collection.withColumn("_digest", digest).join(found, "_digest", "left").drop("_digest")
 
 
 def assign_buckets(
@@ -233,7 +244,9 @@ def with_probes(
     items = _as_items(centroids)
     known = small_table(items, small_rows)
     if known is None:
-        probes = probe(queries, centroids, nprobe, metric, small_rows)
-        return queries.join(probes.select("qid", "cid"), "qid")
+        different = queries.select(_digest("qv").alias("qid"), "qv").dropDuplicates(["qid"])
+        probes = probe(different, centroids, nprobe, metric, small_rows)
+        found = probes.select(F.col("qid").alias("_digest"), "cid")
+        return queries.withColumn("_digest", _digest("qv")).join(found, "_digest").drop("_digest")
     hits = nearest_in(F.col("qv"), known, items.schema["id"].dataType, nprobe, metric)
     return queries.withColumn("cid", F.explode(F.transform(hits, lambda h: h["id"])))

@@ -10,6 +10,10 @@ named, both have that column too and a query only meets items of its own cells.
   meets in one task, and again only the best k per query go further.
 
 Pairs are never materialised: tasks multiply blocks of vectors.
+
+All ways give the same answer.  Rows that share a ``qid`` (null is a value like others)
+are one query with several vectors: an item counts once, with its best score.  Rows that
+share an ``id`` are one item with several vectors.  Items without an id are left out.
 """
 
 from __future__ import annotations
@@ -37,6 +41,9 @@ METRICS = ("cosine", "ip", "l2")
 # Cells whose tile counts may be broadcast: three numbers each.
 GRID_ROWS = 262_144
 
+# Scores a task may keep for all queries together.
+FEW_SCORES = 2_097_152
+
 _BLOCK_SCORES = 2_000_000
 _BLOCK_ROWS = 16_384
 _SLACK = 1e-7
@@ -62,6 +69,8 @@ def with_vectors(rows, column: str):
     """The rows of a batch or table that have a complete vector, and their matrix."""
     # Left to the task: a filter in the plan would compute derived vectors twice.
     filled = pc.fill_null(pc.greater(pc.list_value_length(rows[column]), 0), False)
+    if "id" in rows.schema.names:
+        filled = pc.and_(filled, pc.is_valid(rows["id"]))
     if not pc.all(filled, min_count=0).as_py():
         rows = rows.filter(filled)
     matrix = matrix_of(rows[column])
@@ -122,7 +131,8 @@ class _Best:
     def _offer_block(self, ids: np.ndarray, items: np.ndarray, which: np.ndarray) -> None:
         near = _closeness(self.queries[which], items, self.metric)
         floor = self.floor[which]
-        if len(items) > self.k and np.isinf(floor).any():
+        # The k-th best of a block bounds it only if the block has k different ids.
+        if len(items) > self.k and np.isinf(floor).any() and pd.Index(ids).is_unique:
             cut = len(items) - self.k
             floor = np.maximum(floor, np.partition(near, cut, axis=1)[:, cut])
         # The slack lets every true candidate through; rounded scores decide.
@@ -145,6 +155,7 @@ class _Best:
     def _merge(self, found: pd.DataFrame) -> None:
         rows = found if self.rows.empty else pd.concat([self.rows, found])
         rows = rows.sort_values(["q", "score", "id"], ascending=[True, self.metric == "l2", True])
+        rows = rows.drop_duplicates(["q", "id"])
         place = rows.groupby("q").cumcount()
         self.rows = rows[place < self.k]
         last = rows[place == self.k - 1]
@@ -201,8 +212,11 @@ def rank_hits(hits: DataFrame, k: int, metric: str = METRIC) -> DataFrame:
     """Best k per query as ``(qid, rk, id, score)``; ties go to the lower id."""
     order = F.col("score").asc() if metric == "l2" else F.col("score").desc()
     by_query = Window.partitionBy("qid").orderBy(order, "id")
+    by_item = Window.partitionBy("qid", "id").orderBy(order)
+    # One shuffle, by query, serves both windows.
+    once = hits.repartition("qid").withColumn("n", F.row_number().over(by_item)).where("n = 1")
     return (
-        hits.withColumn("rk", F.row_number().over(by_query))
+        once.withColumn("rk", F.row_number().over(by_query))
         .where(F.col("rk") <= k)
         .select("qid", "rk", "id", "score")
     )
@@ -210,26 +224,36 @@ def rank_hits(hits: DataFrame, k: int, metric: str = METRIC) -> DataFrame:
 
 def for_few_queries(
     known: pa.Table, queries: DataFrame, items: DataFrame, k: int, metric: str,
-    cell: str | None = None,
+    cell: str | None = None, pairs: pa.Table | None = None,
 ) -> DataFrame:
-    """Nearest items of the queries in ``known``, the fetched rows of ``queries``."""
+    """Nearest items of the queries in ``known``, the fetched rows of ``queries``.
+
+    Their cells are in ``known``, or in ``pairs``: ``(row, cell)`` by position in it.
+    """
     schema = _result_schema(queries, items)
+    known = known.append_column("_row", pa.array(range(known.num_rows), pa.int64()))
+    if cell and pairs is None:
+        pairs = known.select(["_row", cell])
     known, matrix = with_vectors(known, "qv")
     if not known.num_rows:
         return items.sparkSession.createDataFrame([], schema).select(
             "qid", F.lit(0).alias("rk"), "id", "score"
         )
-    qids, first = np.unique(
-        known["qid"].to_numpy(zero_copy_only=False), return_index=True
-    )
+    # A vector that a query has in several rows is scored once.
+    places: dict[tuple, int] = {}
+    keys = zip(known["qid"].to_pylist(), map(np.ndarray.tobytes, matrix))
+    rows = np.array([places.setdefault(key, len(places)) for key in keys])
+    first = np.unique(rows, return_index=True)[1]
+    qids = np.array([qid for qid, _ in places] + [None], dtype=object)[:-1]
     vectors = prepared(matrix[first], metric)
     members = None
     if cell:
-        rows = np.searchsorted(qids, known["qid"].to_numpy(zero_copy_only=False))
-        members = {
-            c: np.unique(g) for c, g in pd.Series(rows).groupby(known[cell].to_numpy())
-        }
-        items = in_cells(items, known, cell)
+        at = dict(zip(known["_row"].to_pylist(), rows.tolist()))
+        met = pd.Series([at.get(r, -1) for r in pairs[pairs.column_names[0]].to_pylist()])
+        met = met[(met >= 0).to_numpy()]
+        cells = pairs[cell].to_pandas()[met.index]
+        members = {c: np.unique(g) for c, g in met.groupby(cells)}
+        items = in_cells(items, pairs, cell)
     shared = items.sparkSession.sparkContext.broadcast((qids, vectors, members))
     out = arrow_schema(schema)
 
@@ -303,12 +327,8 @@ def _few_items(
     queries: DataFrame, known: pa.Table, id_type: T.DataType, k: int, metric: str
 ) -> DataFrame:
     hits = nearest_in(F.col("qv"), known, id_type, k, metric)
-    return queries.select("qid", F.posexplode(hits)).select(
-        "qid",
-        (F.col("pos") + 1).alias("rk"),
-        F.col("col.id").alias("id"),
-        F.col("col.score").alias("score"),
-    )
+    found = queries.select("qid", F.explode(hits).alias("hit"))
+    return rank_hits(found.select("qid", "hit.id", "hit.score"), k, metric)
 
 
 def by_tiles(
@@ -339,9 +359,10 @@ def by_tiles(
         grid = F.broadcast(items.sparkSession.createDataFrame(counts))
 
     def placed(df: DataFrame, own: str, other: str, ident: str, mine: str, theirs: str) -> DataFrame:
+        vector = "qv" if ident == "qid" else "embedding"
         return df.join(grid, key).select(
             *df.columns,
-            F.pmod(F.xxhash64(ident), F.col(own)).cast("int").alias(mine),
+            F.pmod(F.xxhash64(ident, vector), F.col(own)).cast("int").alias(mine),
             F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(theirs),
         )
 
@@ -357,7 +378,7 @@ def by_tiles(
         best = _Best(prepared(asked, metric), k, metric)
         best.offer(i["id"].to_numpy(), prepared(offered, metric))
         rows = best.rows
-        qids = q["qid"].to_numpy()[rows["q"].to_numpy(dtype=int)]
+        qids = np.array(q["qid"].to_pylist() + [None], dtype=object)[rows["q"].to_numpy(dtype=int)]
         return pa.Table.from_batches([_batch(out, qids, rows["id"], rows["score"])])
 
     grouped = left.groupBy(key, "_tq", "_ti").cogroup(right.groupBy(key, "_tq", "_ti"))
@@ -378,7 +399,8 @@ def nearest(
     """``(qid, rk, id, score)``: the ``k`` nearest items of each query.
 
     ``items_first`` says that the items are expected to be the few, as centroids
-    are.  Vectors that are null or empty are left out on either side.
+    are.  Vectors that are null or empty are left out on either side.  The sides are
+    measured, by jobs of their own, while the plan is built.
     """
     check_arguments(k, metric)
     if items_first and not cell:
@@ -386,6 +408,6 @@ def nearest(
         if known is not None:
             return _few_items(queries, known, items.schema["id"].dataType, k, metric)
     known = small_table(queries.select("qid", "qv", *([cell] if cell else [])), small_rows)
-    if known is not None:
+    if known is not None and known.num_rows * k <= FEW_SCORES:
         return for_few_queries(known, queries, items, k, metric, cell)
     return by_tiles(queries, items, k, metric, cell, tile_queries, tile_items)

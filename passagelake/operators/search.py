@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -9,7 +10,13 @@ from passagelake.config import METRIC, NPROBE, SMALL_SIDE_ROWS, TOP_K
 from passagelake.functions.text import preview, rank_text, score_band, score_text
 from passagelake.operators.embedding import check_same_encoder
 from passagelake.operators.index import with_probes
-from passagelake.operators.nearest import by_tiles, check_arguments, for_few_queries, in_cells
+from passagelake.operators.nearest import (
+    FEW_SCORES,
+    by_tiles,
+    check_arguments,
+    for_few_queries,
+    in_cells,
+)
 from passagelake.session import small_table
 
 OUTPUT_FIELDS = ["text", "url", "title"]
@@ -40,17 +47,28 @@ def with_fields(
 
 def _search(
     queries: DataFrame, rows: DataFrame, k: int, metric: str, fields: list[str],
-    small_rows: int, cell: str | None = None,
+    small_rows: int, probes: tuple[DataFrame, int] | None = None,
 ) -> DataFrame:
+    """``probes`` are the centroids, and how many buckets each query looks into."""
     check_arguments(k, metric)
-    known = small_table(queries.select("qid", "qv", *([cell] if cell else [])), small_rows)
-    if known is None:
+    queries = queries.select("qid", "qv")
+    centroids, nprobe = probes or (None, 0)
+    cell = "cid" if probes else None
+    known = small_table(queries, small_rows)
+    if known is None or known.num_rows * max(k, nprobe) > FEW_SCORES:
+        if probes:
+            queries = with_probes(queries, centroids, nprobe, metric, small_rows)
         return with_fields(by_tiles(queries, rows, k, metric, cell), rows, fields)
-    if cell:
+    pairs = None
+    if probes:
+        # Vectors are fetched once; a probe is a row number and a bucket.
+        numbers = pa.array(range(known.num_rows), pa.int64())
+        asked = queries.sparkSession.createDataFrame(pa.table({"qid": numbers, "qv": known["qv"]}))
+        pairs = with_probes(asked, centroids, nprobe, metric, small_rows).select("qid", "cid").toArrow()
         # Both the scoring and the fetch keep to the probed buckets.
-        rows = in_cells(rows, known, cell)
-    hits = for_few_queries(known, queries, rows, k, metric, cell)
-    few = pc.count_distinct(known["qid"]).as_py() * k <= FEW_HITS
+        rows = in_cells(rows, pairs, cell)
+    hits = for_few_queries(known, queries, rows, k, metric, cell, pairs)
+    few = pc.count_distinct(known["qid"], mode="all").as_py() * k <= FEW_HITS
     return with_fields(hits, rows, fields, few)
 
 
@@ -90,8 +108,7 @@ def ivf_search(
     """
     check_same_encoder(queries, collection)
     rows = _filtered(collection, where)
-    celled = with_probes(queries.select("qid", "qv"), centroids, nprobe, metric, small_rows)
-    return _search(celled, rows, k, metric, fields, small_rows * nprobe, cell="cid")
+    return _search(queries, rows, k, metric, fields, small_rows, (centroids, nprobe))
 
 
 def single_query_search(

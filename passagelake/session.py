@@ -6,7 +6,7 @@ import tempfile
 import uuid
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from passagelake.config import SMALL_SIDE_BYTES, SMALL_SIDE_ROWS
 
@@ -20,7 +20,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder
-    if not context.master.startswith("local"):
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="passagelake-"))
     return context.getCheckpointDir()
@@ -46,12 +46,27 @@ def small_table(
     """``df`` on the driver, or None if it is larger than a task may be sent whole.
 
     Rows are counted first, by one column and no further than the limit, so that a
-    large input costs a look at some of its partitions and is never fetched.
+    large input costs a look at some of its partitions.  Bytes are added up next, where
+    the tasks are; vectors whose width the column's metadata tells are not computed
+    for that.  Only what is within both limits is fetched.
     """
-    if len(df.select(df.columns[0]).take(rows + 1)) > rows:
+    found = len(df.select(df.columns[0]).take(rows + 1))
+    if found > rows:
         return None
-    table = df.toArrow()
-    return table if table.nbytes <= size else None
+    known = sum(8 * found * f.metadata.get("dim", 0) for f in df.schema)
+    open_ = [_bytes_of(f) for f in df.schema if "dim" not in f.metadata]
+    if open_:
+        known += df.agg(F.sum(sum(open_[1:], open_[0]))).first()[0] or 0
+    return df.toArrow() if known <= size else None
+
+
+def _bytes_of(field: T.StructField) -> Column:
+    """About the bytes that a value of this column takes."""
+    if isinstance(field.dataType, T.ArrayType):
+        return F.coalesce(8 * F.size(field.name), F.lit(0))
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(field.name), F.lit(0))
+    return F.lit(8)
 
 
 def broadcast_if_small(df: DataFrame) -> DataFrame:
