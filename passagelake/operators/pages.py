@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from passagelake.functions.html import with_title_and_text
 from passagelake.functions.text import slugify
+from passagelake.session import broadcast_if_small
 
 
 def with_slug(pages: DataFrame, site_prefix: str = "") -> DataFrame:
@@ -50,12 +51,15 @@ def new_pages(
 ) -> DataFrame:
     """Raw pages whose slug is neither stored yet nor taken by an earlier page.
 
-    Slugs are made unique first; the anti-join then finds them already
-    partitioned by slug and moves the pages no second time.
+    Slugs and ids decide; the pages' text moves only for those that are new.
     """
     good, _ = split_bad_pages(pages)
-    firsts = first_per_slug(with_slug(good, site_prefix), order_by)
-    return firsts.join(existing.select("slug"), "slug", "left_anti")
+    slugged = with_slug(good, site_prefix)
+    firsts = slugged.groupBy("slug").agg(F.min(order_by).alias("_first"))
+    fresh = firsts.join(existing.select("slug"), "slug", "left_anti")
+    fresh = broadcast_if_small(fresh.withColumnRenamed("slug", "_slug"))
+    chosen = (F.col("slug") == F.col("_slug")) & F.col(order_by).eqNullSafe(F.col("_first"))
+    return first_per_slug(slugged.join(fresh, chosen).select(*slugged.columns), order_by)
 
 
 def merge_pages(existing: DataFrame, new: DataFrame) -> DataFrame:
