@@ -10,6 +10,7 @@ SEPARATORS = ["\n\n", "\n", ". ", "? ", "! ", "; ", ", ", " ", ""]
 # Vectors and index.
 EMBED_DIM = 384
 EMBED_BATCH = 32
+GENERATE_BATCH = 16
 METRIC = "cosine"
 NLIST = 16
 NPROBE = 8

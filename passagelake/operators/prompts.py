@@ -7,10 +7,10 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from passagelake.config import NO_CONTEXT_ANSWER, system_prompt
+from passagelake.config import GENERATE_BATCH, NO_CONTEXT_ANSWER, system_prompt
 from passagelake.functions.text import context_block, messages, user_message
 
-Generator = Callable[[list[dict]], str]
+Generator = Callable[[list[list[dict]]], list[str]]
 
 
 def _in_rank_order(value: Column) -> Column:
@@ -52,20 +52,27 @@ def source_lists(hits: DataFrame) -> DataFrame:
     return hits.groupBy("qid").agg(F.array_join(_in_rank_order(line), "\n").alias("sources"))
 
 
-def generate(prompts: DataFrame, generator_factory: Callable[[], Generator]) -> DataFrame:
+def generate(
+    prompts: DataFrame, generator_factory: Callable[[], Generator], batch: int = GENERATE_BATCH
+) -> DataFrame:
     """``(qid, answer)``: one stripped answer per prompt.
 
-    ``generator_factory`` makes, inside the task, a function from a message list
-    to text.  A query without context gets the fixed answer and no call.
+    ``generator_factory`` makes, inside the task, a function from up to ``batch`` message
+    lists to as many texts.  A query without context gets the fixed answer and no call.
     """
 
     def answer(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         generator = generator_factory()  # once per task
         for column in columns:
-            yield pa.array(
-                [None if chat is None else generator(chat).strip() for chat in column.to_pylist()],
-                pa.string(),
-            )
+            chats = column.to_pylist()
+            wanted = [i for i, chat in enumerate(chats) if chat is not None]
+            answers: list[str | None] = [None] * len(chats)
+            for start in range(0, len(wanted), batch):
+                rows = wanted[start : start + batch]
+                texts = generator([chats[i] for i in rows])
+                for i, text in zip(rows, texts, strict=True):
+                    answers[i] = text.strip()
+            yield pa.array(answers, pa.string())
 
     answer.__annotations__ = {"columns": Iterator[pa.Array], "return": Iterator[pa.Array]}
     text = F.arrow_udf(answer, "string")(F.col("messages"))

@@ -58,7 +58,7 @@ from passagelake.sources.tables import (
     read_page_lines,
     read_table,
     spread,
-    upsert,
+    upsert_rows,
     write_clean_pages,
     write_table,
 )
@@ -104,6 +104,11 @@ def _chunks(spark: SparkSession, sf: str) -> DataFrame:
     return chunk_pages(_document_pages(spark, sf))
 
 
+def _stored_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    """Chunks from a table: searches read them to score, and again for the hits' text."""
+    return read_table(spark, write_table(_chunks(spark, sf), scratch_path(spark, "chunks")))
+
+
 def _collection(spark: SparkSession, sf: str, *extra: str) -> DataFrame:
     """The vector table as a collection; its label is the title."""
     vectors = spread(_table(spark, sf, "embeddings", "vec_id", "embedding", "label"))
@@ -141,7 +146,7 @@ def _text_queries(spark: SparkSession, sf: str) -> DataFrame:
 
 def _text_hits(spark: SparkSession, sf: str) -> DataFrame:
     return exact_search(
-        embed_queries(_text_queries(spark, sf)), embed(_chunks(spark, sf))
+        embed_queries(_text_queries(spark, sf)), embed(_stored_chunks(spark, sf))
     )
 
 
@@ -392,8 +397,14 @@ def _renewed(rows: DataFrame) -> DataFrame:
 
 
 def upsert_collection(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored, bucketed collection after the second delivery."""
     rows = _collection(spark, sf)
-    return upsert(rows, _renewed(rows)).select("id", "url", "title", "text")
+    centroids = read_table(spark, write_table(train_centroids(rows), scratch_path(spark, "centroids")))
+    target = create_collection(
+        assign_buckets(rows, centroids), scratch_path(spark, "collection"), VECTOR_DIM
+    )
+    upsert_rows(_renewed(rows), target, VECTOR_DIM, centroids)
+    return load_collection(spark, target).select("id", "url", "title", "text")
 
 
 def collection_lifecycle(spark: SparkSession, sf: str) -> DataFrame:
@@ -449,22 +460,26 @@ def answer_sources(spark: SparkSession, sf: str) -> DataFrame:
     return prompts.answer_sources(_text_hits(spark, sf)).withColumn("i", F.col("i").cast("bigint"))
 
 
-def quoting_generator() -> Callable[[list[dict]], str]:
+def quoting_generator() -> prompts.Generator:
     """Stands in for a model: answers with the first line of the first passage."""
 
-    def answer(chat: list[dict]) -> str:
-        passage = chat[-1]["content"].removeprefix("Context:\n[1] ")
-        return passage.split("\n", 1)[0]
+    def answer(chats: list[list[dict]]) -> list[str]:
+        passages = [chat[-1]["content"].removeprefix("Context:\n[1] ") for chat in chats]
+        return [passage.split("\n", 1)[0] for passage in passages]
 
     return answer
 
 
 def generate_answers(spark: SparkSession, sf: str) -> DataFrame:
-    """Answers with sources; only good matches count as context, so some have none."""
-    found = _text_hits(spark, sf).where(F.round("score", 6) >= 0.55)
-    target = write_table(found, scratch_path(spark, "hits"))
+    """Answers with sources.  Each question is asked again, under a negative number, of a
+    source that holds nothing: those have no context."""
+    asked, chunks = _text_queries(spark, sf), embed(_stored_chunks(spark, sf))
+    again = asked.withColumn("qid", -1 - F.col("qid"))
+    found = exact_search(embed_queries(asked), chunks)
+    nothing = exact_search(embed_queries(again), chunks, where=F.col("title") == "no such source")
+    target = write_table(found.unionByName(nothing), scratch_path(spark, "hits"))
     hits = read_table(spark, target)
-    built = prompts.build_prompts(_text_queries(spark, sf), hits)
+    built = prompts.build_prompts(asked.unionByName(again), hits)
     return prompts.answers_with_sources(prompts.generate(built, quoting_generator), hits)
 
 

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from passagelake.config import EMBED_DIM, INSERT_BATCH_ROWS
-from passagelake.schema import CLEAN_PAGE, check_fields, checked
+from passagelake.schema import CLEAN_PAGE, check_fields, checked, duplicate_keys
+from passagelake.session import broadcast_if_small, scratch_path
+
+_BROKEN = "_corrupt_record"
 
 
 def _is_path(target: str) -> bool:
@@ -58,17 +61,47 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def read_clean_pages(spark: SparkSession, folder: str, step: str = "the page step") -> DataFrame:
-    """``(slug, url, title, text)`` from one JSON document per file; the stem is the slug."""
+    """``(slug, url, title, text)`` from one JSON document per file; the stem is the slug.
+
+    The job that reads a file which is no such document fails and names it;
+    ``split_clean_pages`` sets those files apart.
+    """
+    pages = _page_files(spark, folder, step)
+    message = F.concat(F.lit("page file "), "slug", F.lit(" is not a JSON document"))
+    slug = F.when(~_broken(), F.col("slug")).otherwise(F.raise_error(message).cast("string"))
+    return pages.select(slug.alias("slug"), "url", "title", "text")
+
+
+def split_clean_pages(
+    spark: SparkSession, folder: str, step: str = "the page step"
+) -> tuple[DataFrame, DataFrame]:
+    """(clean pages, ``(slug, reason)`` of files that are no JSON documents)."""
+    pages = _page_files(spark, folder, step)
+    good = pages.where(~_broken()).select("slug", "url", "title", "text")
+    bad = pages.where(_broken()).select("slug", F.lit("not a JSON document").alias("reason"))
+    return good, bad
+
+
+def _broken() -> Column:
+    """Whether a file could not be parsed.  Spark refuses a scan of the broken text alone, so
+    a field stands beside it."""
+    return F.length(F.concat_ws("", F.col(_BROKEN), F.substring("url", 1, 0))) > 0
+
+
+def _page_files(spark: SparkSession, folder: str, step: str) -> DataFrame:
     if not table_exists(spark, folder):
         raise ValueError(f"{folder} not found. Run {step} first.")
     pages = (
-        spark.read.schema(CLEAN_PAGE)
+        spark.read.schema(T.StructType([*CLEAN_PAGE, T.StructField(_BROKEN, T.StringType())]))
         .option("multiLine", True)
+        .option("columnNameOfCorruptRecord", _BROKEN)
         .option("pathGlobFilter", "*.json")
         .json(folder)
     )
     stem = F.regexp_extract("_metadata.file_name", r"^(.*)\.json$", 1)
-    pages = pages.select(F.url_decode(stem).alias("slug"), "url", "title", "text")
+    # File names come with %XX; a plus sign in them is one.
+    slug = F.url_decode(F.replace(stem, F.lit("+"), F.lit("%2B")))
+    pages = pages.select(slug.alias("slug"), "url", "title", "text", _BROKEN)
     if pages.isEmpty():
         raise ValueError(f"No pages found in {folder}. Run {step} first.")
     return pages
@@ -102,14 +135,22 @@ def _write_collection(
     writer.parquet(target) if _is_path(target) else writer.saveAsTable(target)
 
 
+def _refuse(keys: DataFrame, why: str) -> None:
+    found = keys.select("id").head(1)
+    if found:
+        raise ValueError(f"key {found[0][0]!r} is {why}")
+
+
 def create_collection(
     collection: DataFrame, target: str, dim: int = EMBED_DIM, batch_rows: int = INSERT_BATCH_ROWS
 ) -> str:
     """Drop what is at ``target`` and write the collection anew.
 
     Rows are checked while they are written; with ``cid`` present the table is
-    laid out by bucket, so that a search reads probed buckets only.
+    laid out by bucket, so that a search reads probed buckets only.  Repeated keys are
+    refused before anything is written.
     """
+    _refuse(duplicate_keys(collection.select("id")), "repeated in the rows")
     _write_collection(collection, target, "overwrite", dim, batch_rows)
     return target
 
@@ -117,10 +158,12 @@ def create_collection(
 def insert_rows(
     rows: DataFrame, target: str, dim: int = EMBED_DIM, batch_rows: int = INSERT_BATCH_ROWS
 ) -> str:
-    """Append checked rows.  Keys are taken as given; ``upsert`` replaces."""
+    """Append checked rows.  Keys that repeat or are stored are refused; ``upsert_rows`` replaces."""
     stored = read_table(rows.sparkSession, target)
     if set(stored.columns) != set(rows.columns):
         raise ValueError(f"the collection has {stored.columns}, the rows {rows.columns}")
+    _refuse(duplicate_keys(rows.select("id")), "repeated in the rows")
+    _refuse(stored.select("id").join(broadcast_if_small(rows.select("id")), "id", "left_semi"), "already stored")
     _write_collection(rows.select(*stored.columns), target, "append", dim, batch_rows)
     return target
 
@@ -139,8 +182,52 @@ def load_collection(
 
 
 def upsert(collection: DataFrame, rows: DataFrame) -> DataFrame:
-    """``rows`` plus every stored row whose key they do not replace."""
+    """``rows`` plus every stored row whose key they do not replace.
+
+    Both have the same columns.  Of rows that share a key, the one that is last by
+    text, url and title is taken.
+    """
     check_fields(collection)
     check_fields(rows)
-    kept = collection.join(rows.select("id"), "id", "left_anti")
-    return kept.select(*rows.columns).unionByName(rows)
+    if set(collection.columns) != set(rows.columns):
+        raise ValueError(f"the collection has {collection.columns}, the rows {rows.columns}")
+    order = Window.partitionBy("id").orderBy(F.desc("text"), F.desc("url"), F.desc("title"))
+    rows = rows.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
+    keys = broadcast_if_small(rows.select("id"))
+    return collection.join(keys, "id", "left_anti").select(*collection.columns).unionByName(rows)
+
+
+def upsert_rows(
+    rows: DataFrame, target: str, dim: int = EMBED_DIM, centroids: DataFrame | None = None,
+    batch_rows: int = INSERT_BATCH_ROWS,
+) -> str:
+    """Store ``upsert`` of the collection at a path: only the buckets it touches are rewritten.
+
+    Rows without a bucket get theirs from ``centroids``.
+    """
+    spark = rows.sparkSession
+    stored = read_table(spark, target)
+    if "cid" in stored.columns and "cid" not in rows.columns:
+        if centroids is None:
+            raise ValueError("the collection has buckets: give rows with cid, or the centroids")
+        from passagelake.operators.index import assign_buckets
+
+        rows = assign_buckets(rows, centroids)
+    # The new rows are read several times; what replaces a table can't read it.
+    rows = read_table(spark, write_table(checked(rows, dim), scratch_path(spark, "upsert")))
+    if "cid" not in stored.columns:
+        merged = write_table(upsert(stored, rows), scratch_path(spark, "upsert"))
+        _write_collection(read_table(spark, merged), target, "overwrite", dim, batch_rows)
+        return target
+    held = stored.join(broadcast_if_small(rows.select("id")), "id", "left_semi").select("cid")
+    touched = [r[0] for r in held.union(rows.select("cid")).distinct().collect()]  # bucket numbers
+    part = stored.where(F.col("cid").isin(touched))
+    merged = read_table(spark, write_table(upsert(part, rows), scratch_path(spark, "upsert")))
+    full = {r[0] for r in merged.select("cid").distinct().collect()}
+    merged.hint("rebalance", "cid").write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).option("maxRecordsPerFile", batch_rows).partitionBy("cid").parquet(target)
+    for cid in set(touched) - full:  # a bucket that lost its last row has no rows to overwrite it
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{target}/cid={cid}")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return target

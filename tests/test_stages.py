@@ -43,7 +43,7 @@ def test_prompts(asked, hits):
 
 def test_answers(asked, hits):
     def factory():
-        return lambda chat: f"  {len(chat)} messages\n"
+        return lambda chats: [f"  {len(chat)} messages\n" for chat in chats]
 
     answers = P.generate(P.build_prompts(asked, hits), factory)
     got = {r["qid"]: tuple(r)[1:] for r in P.answers_with_sources(answers, hits).collect()}
@@ -76,6 +76,11 @@ def test_clean_page_files(spark, tmp_path):
         (folder / f"{slug}.json").write_text(json.dumps(page, ensure_ascii=False, indent=2), encoding="utf-8")
     got = S.read_clean_pages(spark, str(folder))
     assert {r["slug"]: {k: r[k] for k in ("url", "title", "text")} for r in got.collect()} == pages
+    (folder / "x+y.json").write_text("{broken", encoding="utf-8")
+    with pytest.raises(Exception, match="is not a JSON document"):
+        S.read_clean_pages(spark, str(folder)).collect()
+    got, broken = S.split_clean_pages(spark, str(folder))
+    assert got.count() == 2 and [tuple(r) for r in broken.collect()] == [("x+y", "not a JSON document")]
     lines = S.write_clean_pages(got, str(tmp_path / "lines"))
     assert S.read_page_lines(spark, lines).exceptAll(got).isEmpty()
     written = "".join(p.read_text(encoding="utf-8") for p in (tmp_path / "lines").glob("*.json"))
@@ -104,13 +109,42 @@ def test_collection_life(spark, tmp_path, named):
         S.insert_rows(rows(spark, "d").drop("url"), target, 2)
     with pytest.raises(Exception, match="embedding_dim"):
         S.insert_rows(rows(spark, "d"), target, 3)
-    merged = S.upsert(S.read_table(spark, target), rows(spark, "b", "d", text="new"))
+    for repeated in (rows(spark, "e", "e"), rows(spark, "a")):
+        with pytest.raises(ValueError, match="repeated in the rows|already stored"):
+            S.insert_rows(repeated, target, 2)
+    with pytest.raises(ValueError, match="repeated in the rows"):
+        S.create_collection(rows(spark, "e", "e"), target, 2)
+    with pytest.raises(ValueError, match="the collection has"):
+        S.upsert(S.read_table(spark, target).withColumn("cid", F.lit(1)), rows(spark, "b"))
+    delivery = rows(spark, "b", "d", text="new").union(rows(spark, "d", text="early"))
+    merged = S.upsert(S.read_table(spark, target), delivery)
     assert {r["id"]: r["text"] for r in merged.collect()} == {"a": "x", "b": "new", "c": "x", "d": "new"}
     if named:
         S.drop_collection(spark, target)
         assert not S.table_exists(spark, target)
 
 
+def test_upsert_rewrites_touched_buckets(spark, tmp_path):
+    target = str(tmp_path / "c")
+    placed = spark.createDataFrame(
+        [(i, "u", "t", "old", [1.0, float(c)], c) for i, c in (("a", 0), ("b", 1), ("c", 2), ("d", 2))],
+        "id string, url string, title string, text string, embedding array<float>, cid int",
+    )
+    S.create_collection(placed, target, 2)
+    untouched = sorted(p.name for p in (tmp_path / "c" / "cid=0").iterdir())
+    centroids = spark.createDataFrame([(c, [1.0, float(c)]) for c in range(3)], "cid int, c array<double>")
+    moved = spark.createDataFrame(
+        [("b", "u", "t", "new", [1.0, 2.0]), ("e", "u", "t", "new", [1.0, 2.0])],
+        "id string, url string, title string, text string, embedding array<float>",
+    )
+    with pytest.raises(ValueError, match="give rows with cid"):
+        S.upsert_rows(moved, target, 2)
+    S.upsert_rows(moved, target, 2, centroids)
+    got = {r["id"]: (r["text"], r["cid"]) for r in S.load_collection(spark, target).collect()}
+    assert got == {"a": ("old", 0), "b": ("new", 2), "c": ("old", 2), "d": ("old", 2), "e": ("new", 2)}
+    assert sorted(p.name for p in (tmp_path / "c" / "cid=0").iterdir()) == untouched
+
+
 def test_insert_batches_bound_file_sizes(spark, tmp_path):
     target = S.create_collection(rows(spark, *map(str, range(25))).coalesce(1), str(tmp_path / "c"), 2, 10)
     assert len(list((tmp_path / "c").glob("*.parquet"))) == 3
@@ -139,7 +173,7 @@ def test_chain(spark, tmp_path):
     )
 
     def factory():
-        return lambda chat: chat[1]["content"][-40:]
+        return lambda chats: [chat[1]["content"][-40:] for chat in chats]
 
     answers, shares = chain.run(pages, factory, queries)
     assert answers.count() == queries.count()
