@@ -1,4 +1,4 @@
-"""The operators as queries over the given tables, with SQL where SQL can say them."""
+"""The operators as queries over the given tables."""
 
 from __future__ import annotations
 
@@ -11,6 +11,7 @@ from passagelake.llm.common import crc32_of
 from passagelake.llm.decontaminate import contaminated
 from passagelake.llm.exact_dedup import exact_dedup
 from passagelake.llm.mixing import mix_sources
+from passagelake.llm.oracle import LLM_ORACLE  # noqa: F401
 from passagelake.llm.simhash import hex_fingerprint, near_duplicates
 from passagelake.llm.substring_dedup import substring_dedup
 from passagelake.llm.token_files import token_roundtrip
@@ -100,50 +101,3 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_url_filter, op7_simhash, op8_class_lm, op9_warc, op10_mixing,
     )
 }
-
-LLM_ORACLE: dict[str, str] = {
-    "op1_exact_dedup": """
-        WITH d AS (
-            SELECT doc_id, length(coalesce(text, '')) AS n,
-                   regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g') AS body
-            FROM documents
-        ), k AS (
-            SELECT *, first_value(doc_id) OVER (PARTITION BY body ORDER BY n DESC, doc_id) AS keep_id,
-                   count(*) OVER (PARTITION BY body) AS group_size
-            FROM d
-        )
-        SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS text_sha256 FROM k
-    """,
-    "op6_url_filter": """
-        WITH p AS (
-            SELECT page_id,
-                   CASE WHEN contains(url, '://') THEN regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1) ELSE '' END AS h,
-                   CASE WHEN contains(url, '://') THEN regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1) ELSE '' END AS path
-            FROM pages
-        ), q AS (
-            SELECT page_id, path,
-                   translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host
-            FROM p
-        ), r(rh, rp, v) AS (
-            VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'),
-                   ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
-        ), m AS (
-            SELECT q.*, rh || rp AS rule, v,
-                   row_number() OVER (PARTITION BY page_id ORDER BY length(rh || rp) DESC, length(rh) DESC) AS k
-            FROM q LEFT JOIN r ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)
-        )
-        SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM m WHERE k = 1
-    """,
-    "op9_warc": """
-        WITH p AS (
-            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
-            FROM pages
-        ), o AS (
-            SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS original FROM p
-        )
-        SELECT page_id, payload_bytes, payload_digest,
-               CASE WHEN payload_bytes >= 100 AND page_id <> original THEN 'revisit' ELSE 'response' END AS record_type,
-               CASE WHEN payload_bytes >= 100 AND page_id <> original THEN original END AS refers_to
-        FROM o
-    """,
-}
