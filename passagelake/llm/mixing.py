@@ -32,7 +32,7 @@ GRID = 31
 #: The golden ratio's fraction on the grid, made odd so that the sequence has full period.
 GOLDEN = 1327217885
 CHUNK_SLOTS = 1 << 16
-CHUNK_DOCUMENTS = 1 << 14
+CHUNK_DOCUMENTS = 1 << 10
 
 
 def word_count(text: Column) -> Column:
