@@ -21,7 +21,7 @@ documents hold is fingerprinted and verified once, and meets its documents by an
 equi-join on the MD5 of the window.
 
 Null and blank texts or items never match; null doc_ids may.  Repeated rows give one result
-per doc_id and item; its window is the most similar one, then the first.  Repeated items are
+per doc_id and item; its window is the most similar one, then the first, then the shortest.  Repeated items are
 items of their own.  Empty tables give an empty result.  Other columns are ignored.
 """
 
@@ -122,8 +122,10 @@ def contaminated(
     matched = both.join(sizes, "window").join(item_sizes, "item").select("window", "item", alike.alias("similarity"))
     matched = matched.where(F.col("similarity") >= similarity).join(held.select("item", "item_id"), "item")
     hits = laid.join(matched, "window")
-    best = F.max_by(F.struct("start", F.size(F.split("line", " ")).cast("long").alias("n_words"), "similarity"),
-                    F.struct("similarity", -F.col("start")))
+    hits = hits.withColumn("n_words", F.size(F.split("line", " ")).cast("long"))
+    best = F.max_by(
+        F.struct("start", "n_words", "similarity"), F.struct("similarity", -F.col("start"), -F.col("n_words"))
+    )
     return hits.groupBy("doc_id", "item_id").agg(best.alias("best")).select(
         "doc_id", "item_id", F.col("best.start").cast("long").alias("start"), "best.n_words", "best.similarity"
     )
