@@ -33,6 +33,11 @@ def chunk_pages(
     )
 
 
+def presented(chunks: DataFrame) -> DataFrame:
+    """Chunks in the order of their pages' names and of their places; for showing, not storing."""
+    return chunks.orderBy("slug", "chunk_idx")
+
+
 def chunk_stats(chunks: DataFrame) -> DataFrame:
     """One row: chunk count, page count, mean characters per chunk."""
     pages = chunks.groupBy("slug").agg(

@@ -293,6 +293,13 @@ def vector_functions(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def unit_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """Every element of each vector, made three times as long, after normalisation."""
+    longer = F.transform(F.col("embedding").cast("array<double>"), lambda x: 3 * x)
+    rows = _collection(spark, sf).select("id", F.posexplode(l2_normalize(longer)).alias("i", "x"))
+    return rows.select("id", F.col("i").cast("bigint").alias("i"), F.round("x", 6).alias("x"))
+
+
 def score_bands(spark: SparkSession, sf: str) -> DataFrame:
     rows = _collection(spark, sf, "label")
     means = broadcast_if_small(mean_vectors(rows, "label"))
@@ -541,6 +548,7 @@ QUERIES: dict[str, Query] = {
     "missing_vectors": still_missing,
     "embed_udf": embed_udf,
     "vector_functions": vector_functions,
+    "unit_vectors": unit_vectors,
     "score_bands": score_bands,
     "exact_topk_cosine": _exact("cosine"),
     "exact_topk_ip": _exact("ip"),

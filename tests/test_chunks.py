@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from passagelake.config import SEPARATORS
 from passagelake.functions.splitter import add_overlap, split_recursive
-from passagelake.operators.chunks import chunk_pages, chunk_stats
+from passagelake.operators.chunks import chunk_pages, chunk_stats, presented
 
 
 def model(text, size, level=0):
@@ -95,3 +95,9 @@ def test_chunking_shuffles_nothing(spark):
 def test_stats_of_nothing(spark):
     empty = spark.createDataFrame([], "slug string, text string")
     assert tuple(chunk_stats(empty).first()) == (0, 0, 0.0)
+
+
+def test_presented_in_file_order(spark):
+    rows = [("b", 1), ("a", 10), ("b", 0), ("a", 2)]
+    shown = presented(spark.createDataFrame(rows, "slug string, chunk_idx int").repartition(3))
+    assert [tuple(r) for r in shown.collect()] == sorted(rows)
