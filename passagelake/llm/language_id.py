@@ -34,6 +34,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from passagelake.llm.common import pieces
 
 HASHES = 3
+#: Bytes of text worked on at once; each takes some sixty bytes of arrays.
+PIECE = 1 << 21
 UNKNOWN = "und"
 COUNTS = "lang string, gram long, n long"
 #: Odd multipliers of the two hashes of a trigram.
@@ -58,7 +60,7 @@ def trigrams(texts: list[str | None], letters: np.ndarray) -> tuple[np.ndarray,
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     known = letters()
     for batch in batches:
-        for part in pieces(batch):
+        for part in pieces(batch, size=PIECE):
             langs = np.array(part["lang"].to_pylist(), object)
             codes, bounds = trigrams(part["text"].to_pylist(), known)
             owner = np.repeat(np.arange(len(langs)), np.diff(bounds))
@@ -170,7 +172,7 @@ def _mapped(docs: DataFrame, model: LanguageModel, keep_text: bool) -> DataFrame
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = LanguageModel(*sent.value)
         for batch in batches:
-            for part in pieces(batch):
+            for part in pieces(batch, size=PIECE):
                 names, score = own.predict(part["text"].to_pylist())
                 columns = [part[c] for c in rest]
                 yield pa.RecordBatch.from_arrays(

@@ -51,7 +51,7 @@ INDEX_MAGIC, SEEK_MAGIC, SEEKABLE = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 FILES = "path string, documents long, tokens long"
 TOKENS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 #: Words a worker remembers (and as many pieces), and the longest of them in bytes.
-REMEMBERED, LONGEST = 600_000, 48
+REMEMBERED, LONGEST = 400_000, 48
 
 
 class Encoder:
