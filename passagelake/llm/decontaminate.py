@@ -78,7 +78,8 @@ def near_pairs(windows: DataFrame, items: DataFrame, radius: int, blocks: int) -
         "item", "item_fp", F.col("value").bitwiseXOR(F.col("mask")).alias("value")
     )
     asked = windows.select("window", "fp", F.explode(_blocks(F.col("fp"), blocks)).alias("value"))
-    met = asked.join(listed, "value").where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius)
+    # The list is thousands of times its table's size, which Spark doesn't foresee: never broadcast.
+    met = asked.join(listed.hint("merge"), "value").where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius)
     return met.select("window", "item").distinct()
 
 
