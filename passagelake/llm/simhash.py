@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from xxhash import xxh64_intdigest
 
 from passagelake.llm.common import components, partitions, pieces, stored
+from passagelake.llm.near_copies import similar_documents  # noqa: F401
 
 BITS = 64
 
@@ -117,51 +118,6 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFra
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-#: Bits of a key of ``similar_documents``.
-KEY_BITS = 32
-
-
-def similar_documents(docs: DataFrame, words: int = 3, several: int = 3, most: int = 26) -> DataFrame:
-    """``(doc_id, component_id)`` for copies farther apart than one short ball reaches.
-
-    Texts have ``several`` fingerprints of 64 bits, and link at ``most`` or fewer differing
-    bits of all of them together.  Each half of a fingerprint is a key; keys are varied by
-    one bit as in ``links``, so pairs with two or fewer differing bits in any of the
-    ``2 * several`` keys meet.  With the defaults (192 bits, six keys) about 85 % of the pairs
-    whose five-word shingles have a Jaccard similarity of 0.8, and 99 % at 0.9, meet
-    directly; chains of copies connect more.  Unrelated texts differ in about 96 bits.
-
-    Documents of one key link to the smallest of them, and only that one is varied, so a
-    variant gathers at most one document per key in its ball.  Every link is verified.
-    """
-    names = ["fp", *(f"fp{i}" for i in range(1, several))]
-    prints = stored(fingerprints(docs, words, several), "fingerprints")
-    node = F.coalesce(F.min("doc_id"), F.xxhash64(*names)).alias("node")
-    groups = stored(prints.groupBy(*names).agg(F.min("doc_id").alias("least"), node), "fingerprint-groups")
-    low = F.lit((1 << KEY_BITS) - 1)
-    keys = [k for n in names for k in (F.col(n).bitwiseAND(low), F.shiftrightunsigned(n, KEY_BITS))]
-    keyed = groups.select("node", F.posexplode(F.array(*keys)).alias("table", "key"))
-    first = stored(keyed.groupBy("table", "key").agg(F.min("node").alias("rep")), "fingerprint-keys")
-    same = keyed.join(first, ["table", "key"]).where("node <> rep").select(F.col("node").alias("a"), F.col("rep").alias("b"))
-    masks = [0, *(1 << i for i in range(KEY_BITS))]
-    count = partitions(docs.sparkSession, first.count() * len(masks), 2_000_000)
-    variants = first.select("table", "key", "rep", F.explode(F.array(*map(F.lit, masks))).alias("mask")).select(
-        "rep", (F.col("key").bitwiseXOR(F.col("mask")) + F.shiftleft(F.col("table").cast("long"), KEY_BITS)).alias("variant")
-    ).repartition(count, "variant")
-    met = variants.withColumn("least", F.min("rep").over(Window.partitionBy("variant")))
-    near = met.where("rep <> least").select(F.col("rep").alias("a"), F.col("least").alias("b"))
-    pairs = same.union(near).distinct()
-    for side in "ab":
-        bits = groups.select(F.col("node").alias(side), F.struct(*names).alias(f"{side}_bits"))
-        pairs = pairs.join(bits, side)
-    apart = [F.bit_count(F.col(f"a_bits.{n}").bitwiseXOR(F.col(f"b_bits.{n}"))) for n in names]
-    roots = components(pairs.where(sum(apart[1:], apart[0]) <= most).select("a", "b"), "similar-links")
-    placed = groups.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    named = placed.join(placed.groupBy("root").agg(F.min("least").alias("component_id")), "root")
-    same_prints = [F.col(f"p.{n}") == F.col(f"g.{n}") for n in names]
-    return prints.alias("p").join(named.alias("g"), same_prints).select("p.doc_id", "g.component_id")
-
-
 def hex_fingerprint(column: str = "fp") -> Column:
     """A fingerprint as 16 lower-case hex digits."""
     return F.lower(F.lpad(F.hex(column), 16, "0"))
