@@ -3,6 +3,7 @@
 import gzip
 import hashlib
 import io
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -255,3 +256,36 @@ def test_pipeline(spark, tmp_path):
     assert corpus_pipeline.run(spark, sf).count() > 40
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, read.limit(0), sf).count() == 0
+
+
+def families(chooser):
+    """Texts of families whose members are 0.7 to 0.9 similar to each other or to an original."""
+    texts = []
+    for family in range(12):
+        base = prose(1000 + family, 150).split()
+        texts.append(" ".join(base))
+        for k in range(12):
+            w = list(base if k % 3 else texts[-1].split())  # every third copies the copy before
+            for s in range(chooser.randrange(1, 7)):
+                w[chooser.randrange(len(w))] = f"x{family}k{k}s{s}"
+            texts.append(" ".join(w))
+    return texts
+
+
+def test_near_duplicate_stage_against_brute_force(spark, tmp_path):
+    """Borderline pairs, originals of any id, short and blank texts; what stays is exactly what should."""
+    import corpus_pipeline
+    from test_llm_dedup import jaccard_labels, shingle_set
+
+    chooser = random.Random(8)
+    texts = families(chooser) + ["a b c", "A  b c", "a b", "", None, prose(1, 5), prose(1, 6)]
+    sets = [shingle_set(t) for t in texts]
+    alike = [len(a & b) / len(a | b) for i, a in enumerate(sets) for b in sets[:i] if a | b]
+    assert sum(0.75 <= x < 0.8 for x in alike) > 20 and sum(0.8 <= x < 0.85 for x in alike) > 20
+    ids = chooser.sample(range(10_000), len(texts))
+    least = {}
+    for i, label in zip(ids, jaccard_labels(texts), strict=True):
+        least[label] = min(least.get(label, i), i)
+    docs = spark.createDataFrame([(i, t, "en", "s", 0, 0.5, "own") for i, t in zip(ids, texts, strict=True)], SCHEMA)
+    kept = corpus_pipeline.STAGES[1][1](spark, docs.repartition(3), str(tmp_path))
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(least.values())
