@@ -289,3 +289,16 @@ def test_near_duplicate_stage_against_brute_force(spark, tmp_path):
     docs = spark.createDataFrame([(i, t, "en", "s", 0, 0.5, "own") for i, t in zip(ids, texts, strict=True)], SCHEMA)
     kept = corpus_pipeline.STAGES[1][1](spark, docs.repartition(3), str(tmp_path))
     assert sorted(r.doc_id for r in kept.collect()) == sorted(least.values())
+
+
+def test_near_copies_without_an_id_of_their_own(spark, tmp_path):
+    """Null and repeated ids: one row of a group stays, whatever its id."""
+    import corpus_pipeline
+
+    a, b, c, d = (prose(300 + k, 80) for k in range(4))
+    rows = [(None, a), (None, a + " once"), (None, a + " twice"), (3, b), (None, b + " once"), (None, c)]
+    rows += [(7, d), (7, d + " once"), (7, a.upper()[:40]), (7, d)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0, 0.5, "own") for i, t in rows], SCHEMA)
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.STAGES[1][1](spark, docs, str(tmp_path)).collect()]
+    assert Counter(i for i, _ in kept) == Counter({None: 2, 3: 1, 7: 2})
+    assert {t for i, t in kept if i is None} - {a, a + " once", a + " twice"} == {c}
