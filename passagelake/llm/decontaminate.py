@@ -5,7 +5,8 @@ blank) and cut into shingles of ``words`` words (an item of fewer words is one s
 
 * *Windows.*  A window has the size of an item.  It can only be similar to an item if it
   shares a shingle with it, so windows are laid where the text holds a shingle of an
-  item, aligned as the item has it.  Texts never leave the task that scans them; only
+  item, aligned as the item has it.  An item of fewer words than a shingle has windows where
+  the text holds these words in a row.  Texts never leave the task that scans them; only
   these windows do, each different one once.
 * *Fingerprints.*  A 64-bit SimHash of the shingles, weighted by how often they occur.
 * *Candidates.*  A fingerprint is cut into ``blocks`` blocks.  If two differ in at most
@@ -100,7 +101,10 @@ def contaminated(
         offsets = F.broadcast(offsets)
     texts = docs.select("doc_id", normal_words(F.col("text")).alias("parts")).where("size(parts) > 0")
     start = F.greatest(F.col("place") - F.col("offset"), F.lit(0)).alias("start")
-    found = shingled(texts, words).join(offsets, "shingle").select(
+    met = shingled(texts, words).join(offsets, "shingle")
+    for size in [r[0] for r in held.where(F.col("size") < words).select("size").distinct().collect()]:
+        met = met.union(shingled(texts, size).join(offsets.where(F.col("size") == size), "shingle"))
+    found = met.select(
         "doc_id", start, F.expr("slice(parts, greatest(place - offset, 0) + 1, size + least(place - offset, 0))").alias("parts")
     )
     laid = stored(

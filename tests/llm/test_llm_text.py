@@ -68,6 +68,20 @@ def test_decontamination(spark, documents, nothing):
     assert decontaminate.contaminated(documents, bench).count() == 0
 
 
+def test_short_items_inside_longer_texts(spark):
+    rows = [
+        (1, prose(58, 30) + " Few, words! " + prose(59, 30)), (2, "few other words"), (3, "a few words"), (4, "four whole words here so few"),
+        (5, "it has four whole words here"), (6, "few words few words"), (7, "lone"),
+    ]
+    items = [(1, "few words"), (2, "four whole words here"), (3, "lone"), (4, prose(60, 20))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = decontaminate.contaminated(docs, spark.createDataFrame(items, "item_id long, text string"))
+    got = {(r.doc_id, r.item_id): (r.start, r.n_words, r.similarity) for r in found.collect()}
+    assert got == {
+        (1, 1): (30, 2, 1.0), (3, 1): (1, 2, 1.0), (4, 2): (0, 4, 1.0), (5, 2): (2, 4, 1.0), (6, 1): (0, 2, 1.0), (7, 3): (0, 1, 1.0),
+    }
+
+
 def test_blocks_find_all_pairs_within_the_radius(spark):
     chooser = np.random.default_rng(3)
     prints = [int(x) for x in chooser.integers(-(2**62), 2**62, 12)]
