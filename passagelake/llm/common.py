@@ -42,8 +42,9 @@ def text_bytes(docs: DataFrame, column: str = "text") -> int:
     return docs.agg(F.sum(F.octet_length(column))).first()[0] or 0
 
 
-def pieces(batch: pa.RecordBatch, column: str = "text", size: int = PIECE_BYTES):
+def pieces(batch: pa.RecordBatch, column: str = "text", size: int | None = None):
     """Slices of a batch whose texts hold about ``size`` bytes each (one row at least)."""
+    size = size or PIECE_BYTES
     ends = np.cumsum(pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False))
     start = 0
     while start < batch.num_rows:
@@ -61,8 +62,9 @@ class Words:
     """
 
     def __init__(self, texts: pa.Array, lower: bool = False):
-        texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        lists = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
+        # Lower-cased before the cast: a cast slice keeps offsets that ascii_lower misreads.
+        texts = pc.fill_null((pc.ascii_lower(texts) if lower else texts).cast(pa.large_string()), "")
+        lists = pc.ascii_split_whitespace(texts)
         flat = lists.flatten()
         full = pc.not_equal(flat, "")
         keep = full.to_numpy(zero_copy_only=False)

@@ -30,7 +30,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from xxhash import xxh64_intdigest
 
 from passagelake.llm.common import components, partitions, pieces, stored
-from passagelake.llm.near_copies import similar_documents  # noqa: F401
 
 BITS = 64
 
@@ -56,33 +55,21 @@ def majority(hashes: np.ndarray) -> int:
     return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, words: int = 3, several: int = 1) -> DataFrame:
-    """``(doc_id, fp)`` of ``docs (doc_id, text)``, the fingerprint as a signed long.
-
-    With ``several`` there are ``fp``, ``fp1``, ...: further hashes of the shingles.
-    """
-    names = ["doc_id", "fp", *(f"fp{i}" for i in range(1, several))]
+def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
+    """``(doc_id, tie, fp)`` of ``docs (doc_id, text)``: a hash of the text, and the
+    fingerprint as a signed long."""
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch):
                 texts = pc.fill_null(part["text"].cast(pa.large_binary()), b"").to_pylist()
-                found = np.empty((several, len(texts)), np.uint64)
-                for j, text in enumerate(texts):
-                    hashes = shingle_hashes(text, words)
-                    for i in range(several):
-                        found[i, j] = majority(hashes)
-                        hashes = _next_hash(hashes)
-                yield pa.RecordBatch.from_arrays([part["doc_id"], *map(pa.array, found.view(np.int64))], names=names)
-
-    return docs.select("doc_id", "text").mapInArrow(apply, ", ".join(f"{n} long" for n in names))
+                found = np.array([majority(shingle_hashes(text, words)) for text in texts], np.uint64)
+                yield pa.RecordBatch.from_arrays(
+                    [part["doc_id"], part["tie"], pa.array(found.view(np.int64))], names=["doc_id", "tie", "fp"]
+                )
 
-
-def _next_hash(hashes: np.ndarray) -> np.ndarray:
-    """Hashes as good as independent of those given."""
-    h = (hashes ^ hashes >> np.uint64(33)) * np.uint64(0xFF51AFD7ED558CCD) + np.uint64(0x9E3779B97F4A7C15)
-    h = (h ^ h >> np.uint64(29)) * np.uint64(0xC4CEB9FE1A85EC53)
-    return h ^ h >> np.uint64(32)
+    tied = docs.select("doc_id", F.xxhash64("text").alias("tie"), "text")
+    return tied.mapInArrow(apply, "doc_id long, tie long, fp long")
 
 
 def ball_masks(radius: int) -> list[int]:
@@ -106,7 +93,11 @@ def links(fps: DataFrame, radius: int = 2) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFrame:
-    """``(doc_id, fp, component_id)`` of ``docs (doc_id, text)``."""
+    """``(doc_id, tie, fp, component_id, root)`` of ``docs (doc_id, text)``.
+
+    ``tie`` is a hash of the text, which tells rows of one doc_id apart; ``root`` names a
+    component even if none of its rows has a doc_id.
+    """
     prints = stored(fingerprints(docs, words), "fingerprints")
     groups = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprint-groups")
     roots = components(links(groups.select("fp"), radius), "simhash-links")
@@ -114,8 +105,8 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFra
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
     names = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = placed.join(names, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = placed.join(names, "root").select("fp", "component_id", "root")
+    return prints.join(named, "fp").select("doc_id", "tie", "fp", "component_id", "root")
 
 
 def hex_fingerprint(column: str = "fp") -> Column:

@@ -148,77 +148,3 @@ def test_components_of_a_long_chain(spark):
     found = components(spark.createDataFrame(edges, "a long, b long"))
     assert {r.node: r.root for r in found.collect() if r.node < 500 and r.node} == {i: 0 for i in range(1, 200)}
     assert {r.root for r in found.where("node = 501").collect()} == {500}
-
-
-def test_similar_documents(spark):
-    base = [prose(s, 200).split() for s in range(12)]
-    rows = [(s, " ".join(w)) for s, w in enumerate(base)]
-    for s, w in enumerate(base):
-        near = list(w)
-        near[50] = "altered"
-        rows.append((100 + s, " ".join(near)))
-    found = simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string"))
-    assert {r.doc_id: r.component_id for r in found.collect()} == {i: i % 100 for i, _ in rows}
-    empty = spark.createDataFrame([], "doc_id long, text string")
-    assert simhash.similar_documents(empty).count() == 0
-
-
-def shingle_set(text, words=5):
-    w = (text or "").encode().lower().split()
-    return {tuple(w[k : k + words]) for k in range(max(1, len(w) - words + 1))} if w else set()
-
-
-def jaccard_labels(texts):
-    """The first of the texts that each reaches by links of exact similarity 0.8 or more."""
-    sets = [shingle_set(t) for t in texts]
-    label = list(range(len(texts)))
-
-    def root(i):
-        while label[i] != i:
-            i = label[i]
-        return i
-
-    for i, s in enumerate(sets):
-        for j in range(i):
-            a, b = root(i), root(j)
-            if a != b and (s == sets[j] or len(s & sets[j]) >= 0.8 * len(s | sets[j]) > 0):
-                label[max(a, b)] = min(a, b)
-    return [root(i) for i in range(len(texts))]
-
-
-def template_family(seed, n, slots):
-    """Texts of one template of 200 words whose evenly spread slots are filled differently."""
-    base = [f"t{seed}w{i}" for i in range(200)]
-    out = []
-    for k in range(n):
-        w = list(base)
-        for s in range(slots):
-            w[s * 200 // slots] = f"f{seed}k{k}s{s}"
-        out.append(" ".join(w))
-    return out
-
-
-def test_templates_below_the_similarity_stay_apart(spark):
-    """Five-word Jaccard 0.59: the slots take 26 % of the shingles."""
-    texts = template_family(1, 1000, 10)
-    a, b = shingle_set(texts[0]), shingle_set(texts[1])
-    assert 0.5 < len(a & b) / len(a | b) < 0.62
-    found = simhash.similar_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
-    assert all(r.doc_id == r.component_id for r in found.collect())
-
-
-def test_a_large_family_meets_by_its_original_only(spark):
-    """2,000 copies, similar to the original (of the largest id) at 0.81 and to each other at 0.66 or so."""
-    chooser = random.Random(3)
-    base = [f"b{i}" for i in range(200)]
-    rows = [(5000, " ".join(base))]
-    for k in range(2000):
-        w, start = list(base), chooser.randrange(8, 40)
-        for s in range(4):
-            w[start + 40 * s + chooser.randrange(-4, 5)] = f"c{k}s{s}"
-        rows.append((k, " ".join(w)))
-    sets = [shingle_set(t) for _, t in rows[:60]]
-    assert all(len(sets[0] & s) >= 0.8 * len(sets[0] | s) for s in sets)
-    rows += [(10_000 + k, t) for k, t in enumerate(template_family(2, 500, 10))]
-    found = simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
-    assert {r.doc_id: r.component_id for r in found.collect()} == {i: 0 if i <= 5000 else i for i, _ in rows}
