@@ -13,14 +13,20 @@ from passagelake.llm import language_id
 from passagelake.llm.common import crc32_of, stored
 from passagelake.llm.decontaminate import contaminated
 from passagelake.llm.mixing import mix_sources
-from passagelake.llm.near_copies import similar_texts
 from passagelake.llm.queries import END_ID, tokenizer_path
+from passagelake.llm.simhash import near_duplicates
 from passagelake.llm.token_files import token_roundtrip
 
 #: Documents whose best language holds a smaller share of their trigrams are rejected.
 LANGUAGE_SHARE = 0.4
 
 
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a column that tells rows apart by doc_id (null too) and text, and its name."""
+    key = next(f"row key {i}" for i in range(len(docs.columns) + 1) if f"row key {i}" not in docs.columns)
+    return docs.withColumn(key, F.struct("doc_id", F.xxhash64("text").alias("tie"))), key
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language of the labelled ones; those without a letter or with too
     few known trigrams go."""
@@ -33,36 +39,36 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near copies; null ids come last.
-
-    Rows are told apart by doc_id and text; those that repeat both are one row.
-    """
-    groups = similar_texts(docs.select("doc_id", "text"))
+    """The document with the smallest doc_id of each group that the SimHash operator links;
+    null ids come last.  Rows that repeat doc_id and text are one row."""
+    grouped = near_duplicates(docs.select("doc_id", "text"))
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "tie")).alias("first")
-    stay = groups.groupBy("root").agg(first).select(F.col("first.doc_id").alias("stays"), F.col("first.tie").alias("stays tie"))
-    tie = next(f"tie {i}" for i in range(len(docs.columns) + 1) if f"tie {i}" not in docs.columns)
-    tied = docs.withColumn(tie, F.xxhash64("text"))
-    same = tied["doc_id"].eqNullSafe(stay["stays"]) & (tied[tie] == stay["stays tie"])
-    return tied.join(stay, same, "left_semi").dropDuplicates(["doc_id", tie]).drop(tie)
+    stay = grouped.groupBy("root").agg(first).select(F.struct("first.doc_id", "first.tie").alias("stays"))
+    keyed, key = _keyed(docs)
+    return keyed.join(stay, keyed[key] == stay["stays"], "left_semi").dropDuplicates([key]).drop(key)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
+    """Documents without a passage of the benchmark; rows are told apart by doc_id and text."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
-    found = contaminated(docs.select("doc_id", "text"), items).select(F.col("doc_id").alias("leaks")).distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["leaks"]), "left_anti")
+    keyed, key = _keyed(docs)
+    found = contaminated(keyed.select(keyed[key].alias("doc_id"), "text"), items)
+    leaks = found.select(F.col("doc_id").alias("leaks")).distinct()
+    return keyed.join(leaks, keyed[key] == leaks["leaks"], "left_anti").drop(key)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it: none to three times."""
-    taken = mix_sources(docs.select("doc_id", "text", "source")).groupBy("doc_id").agg(
+    """Each document as often as the mix takes it: none to three times.  Rows are told apart
+    by doc_id and text; those that repeat both share what the mix takes of them."""
+    keyed, key = _keyed(docs)
+    taken = mix_sources(keyed.select(keyed[key].alias("doc_id"), "text", "source")).groupBy("doc_id").agg(
         F.sum("taken").alias("taken"), F.sum("size").alias("size")
     ).where("size > 0")
     times = F.round(F.col("taken") / F.col("size")).cast("int")
     counted = taken.select(F.col("doc_id").alias("mixed"), times.alias("times")).where("times > 0")
-    every = [docs[c] for c in docs.columns]
+    every = [keyed[c] for c in docs.columns]
     copies = F.explode(F.sequence(F.lit(1), counted["times"]))
-    mixed = docs.join(counted, docs["doc_id"].eqNullSafe(counted["mixed"]))
+    mixed = keyed.join(counted, keyed[key] == counted["mixed"])
     return mixed.select(*every, copies.alias("copy number of the mix")).drop("copy number of the mix")
 
 
