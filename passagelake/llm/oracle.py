@@ -146,4 +146,83 @@ LLM_ORACLE: dict[str, str] = {
                    THEN greatest(0, least(e * source_size + start + size, words) - (e * source_size + start)) ELSE 0 END)::BIGINT AS taken
         FROM placed, range(3) AS rounds(e) GROUP BY ALL
     """,
+    "op11_conversation_repair": """
+        WITH RECURSIVE filled AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   list_transform(string_split(concat(coalesce(conv_id::VARCHAR, ' '), ':', coalesce(turn::VARCHAR, ' ')), ''), lambda x: ascii(x)::BIGINT) AS bytes
+            FROM conversations
+        ), kinds AS (
+            SELECT *, xor(4294967295, list_reduce(list_prepend(4294967295, bytes), lambda c, b: list_reduce(
+                       list_prepend(xor(c, b), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1))))) % 20 AS kind
+            FROM filled
+        ), damaged AS (
+            SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+                   CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+            FROM kinds, range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END) AS copies
+        ), ordered AS (
+            SELECT *, left(role, 1) AS initial, md5(text) AS digest, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body,
+                   row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) > 1 AS said
+            FROM damaged
+        ), faults AS (
+            SELECT *, row_number() OVER sequence AS i, lag(initial) OVER sequence || initial NOT IN ('su', 'ua', 'au') AS illegal,
+                   CASE WHEN body = '' THEN 'blank' WHEN said THEN 'duplicate' WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+            FROM ordered WINDOW sequence AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, digest, said)
+        ), counted AS (
+            SELECT o.conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+                   count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+                   count(*) FILTER (illegal) AS illegal, count(i) AS n
+            FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN faults f ON f.conv_id IS NOT DISTINCT FROM o.conv_id
+            GROUP BY o.conv_id
+        ), places AS (
+            SELECT * FROM (VALUES (0, 'user', 2), (1, 'user', 2), (2, 'assistant', 3), (3, 'user', 2)) AS t(place, wanted, follows)
+        ), best AS (
+            SELECT conv_id, 0::BIGINT AS i, place, cost::BIGINT AS cost, edits, lines
+            FROM counted, (VALUES (0, 0, '', ''), (2, 2, 'I', 'user:'), (3, 4, 'II', 'user:' || chr(10) || 'assistant:')) AS t(place, cost, edits, lines)
+            UNION ALL
+            SELECT conv_id, i, place, least_.cost, least_.edits, least_.lines FROM (
+                SELECT conv_id, i, place, min(struct_pack(cost := cost, edits := edits, lines := lines)) AS least_ FROM (
+                    SELECT conv_id, i, a.place, cost + 2 * n AS cost, edits || repeat('I', n) AS edits,
+                           lines || CASE WHEN n > 0 THEN CASE WHEN lines = '' THEN '' ELSE chr(10) END || b.wanted || ':' ELSE '' END
+                           || CASE WHEN n > 1 THEN chr(10) || c.wanted || ':' ELSE '' END AS lines
+                    FROM (
+                        SELECT b.conv_id, f.i, e.edit, b.cost + CASE e.edit WHEN 'D' THEN 3 WHEN 'R' THEN 2 ELSE 0 END
+                                   + CASE WHEN e.edit <> 'D' AND fault = 'truncated' THEN 1 ELSE 0 END AS cost,
+                               b.edits || e.edit AS edits,
+                               CASE WHEN e.edit = 'D' THEN b.place WHEN e.edit = 'K' AND initial = 's' THEN 1 ELSE p.follows END AS after,
+                               CASE WHEN e.edit = 'D' THEN lines ELSE lines || CASE WHEN lines = '' THEN '' ELSE chr(10) END
+                                   || CASE e.edit WHEN 'K' THEN role ELSE p.wanted END || ':' || text END AS lines
+                        FROM best b JOIN faults f ON f.conv_id IS NOT DISTINCT FROM b.conv_id AND f.i = b.i + 1 JOIN places p ON p.place = b.place,
+                             (VALUES ('D'), ('K'), ('R')) AS e(edit)
+                        WHERE e.edit = 'D' OR fault NOT IN ('blank', 'duplicate') AND (e.edit = 'R'
+                              OR initial = left(p.wanted, 1) OR initial = 's' AND b.place = 0)
+                    ) edited JOIN places b ON b.place = after JOIN places c ON c.place = b.follows, range(3) AS inserted(n),
+                         LATERAL (SELECT CASE n WHEN 0 THEN after WHEN 1 THEN b.follows ELSE c.follows END AS place) a
+                ) GROUP BY conv_id, i, place
+            )
+        )
+        SELECT c.conv_id, gaps, blank, duplicate, truncated, illegal, x.cost, x.edits AS audit, sha256(x.lines) AS repaired_sha256
+        FROM counted c JOIN (
+            SELECT conv_id, i, min(struct_pack(cost := cost, edits := edits, lines := lines)) AS x FROM best WHERE place IN (0, 3) GROUP BY conv_id, i
+        ) b ON b.conv_id IS NOT DISTINCT FROM c.conv_id AND b.i = c.n
+    """,
+    "op13_hard_negatives": """
+        WITH v AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+            FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT a.vec_id AS anchor_id, v.vec_id AS id, a.label = v.label AS same, list_inner_product(a.q, v.q)::BIGINT AS score
+            FROM v AS a JOIN v ON len(a.q) = len(v.q) WHERE a.vec_id % 100 = 0
+        ), positives AS (
+            SELECT * FROM scored WHERE same AND id <> anchor_id
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+        )
+        SELECT p.anchor_id, p.id AS positive_id,
+               (row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id))::INTEGER AS rank,
+               n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+        FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+         AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+        QUALIFY rank <= 10
+    """,
 }

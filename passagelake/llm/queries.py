@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from passagelake.llm import class_lm, language_id
 from passagelake.llm.common import crc32_of
+from passagelake.llm.conversation_repair import damaged, repair
 from passagelake.llm.decontaminate import contaminated
 from passagelake.llm.exact_dedup import exact_dedup
+from passagelake.llm.hard_negatives import hard_negatives
 from passagelake.llm.mixing import mix_sources
 from passagelake.llm.oracle import LLM_ORACLE  # noqa: F401
+from passagelake.llm.projection_forest import search
 from passagelake.llm.simhash import hex_fingerprint, near_duplicates
 from passagelake.llm.substring_dedup import substring_dedup
 from passagelake.llm.token_files import token_roundtrip
@@ -94,10 +97,25 @@ def op10_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    return repair(damaged(_read(spark, sf, "conversations", "conv_id", "turn", "role", "text")))
+
+
+def op12_projection_forest(spark: SparkSession, sf: str) -> DataFrame:
+    return search(_read(spark, sf, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 20 == 0, k=20)
+
+
+def op13_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = _read(spark, sf, "embeddings", "vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_exact_dedup, op2_token_files, op3_substring_dedup, op4_decontaminate, op5_language_id,
-        op6_url_filter, op7_simhash, op8_class_lm, op9_warc, op10_mixing,
+        op6_url_filter, op7_simhash, op8_class_lm, op9_warc, op10_mixing, op11_conversation_repair,
+        op12_projection_forest, op13_hard_negatives,
     )
 }

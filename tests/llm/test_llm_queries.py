@@ -17,7 +17,7 @@ def test_all_are_registered():
     import __spark_entry__ as entry_points
 
     names = {n.split("_")[0] for n in entry_points.queries() if n.startswith("op")}
-    assert names == {f"op{n}" for n in range(1, 11)} and "pipeline" in entry_points.queries()
+    assert names == {f"op{n}" for n in range(1, 14)} and "pipeline" in entry_points.queries()
     assert set(LLM_ORACLE) <= set(LLM_QUERIES)
 
 
