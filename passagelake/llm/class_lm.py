@@ -38,6 +38,8 @@ from passagelake.llm.common import Words, crc32_of, pieces, stored
 
 #: Frequent words longer than this many bytes are left to the join.
 LONGEST = 64
+#: Bytes of texts that are taken apart at once.
+PIECE = 1 << 21
 #: Weight of the class shares in a class's transitions, in counts.
 PRIOR = 5.0
 
@@ -85,7 +87,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch):
+            for part in pieces(batch, size=PIECE):
                 words = Words(part["text"], lower=True)
                 n = np.bincount(words.ids, minlength=len(words.vocabulary))
                 yield pa.RecordBatch.from_arrays(
@@ -113,7 +115,7 @@ def pair_counts(texts: DataFrame, words: Lexicon, left: np.ndarray, right: np.nd
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = {w: i for i, w in enumerate(sent.value)}
         for batch in batches:
-            for part in pieces(batch):
+            for part in pieces(batch, size=PIECE):
                 _, tokens = _numbered(part, known, other, end)
                 a, b = left[_before(tokens, end)], right[tokens]
                 code, n = np.unique((a * span + b)[(a >= 0) & (b >= 0)], return_counts=True)
@@ -311,7 +313,7 @@ def score(docs: DataFrame, counts: DataFrame, model: ClassModel) -> DataFrame:
         known = {w: i for i, w in enumerate(sent.value)}
         names = [p.split()[0] for p in PARTS.split(", ")]
         for batch in batches:
-            for part in pieces(batch):
+            for part in pieces(batch, size=PIECE):
                 words, tokens = _numbered(part, known, other, end)
                 texts = len(words)
                 bounds = words.starts + np.arange(texts + 1)

@@ -72,7 +72,7 @@ def expected_base(rows):
 
 @pytest.mark.parametrize("piece", [300, 8 << 20])
 def test_base_scores_against_the_contract(spark, monkeypatch, piece):
-    monkeypatch.setattr(common, "PIECE_BYTES", piece)
+    monkeypatch.setattr(class_lm, "PIECE", piece)
     rows = edge_texts() + [(100 + s, prose(s, 60).upper()) for s in range(80)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
     found = class_lm.score_texts(docs, class_lm.held_out(), frequent=30)
