@@ -10,18 +10,18 @@ from passagelake.functions.text import chunk_id, strip
 
 
 def chunk_pages(
-    pages: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP
+    pages: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP, keep: tuple[str, ...] = ()
 ) -> DataFrame:
-    """``(id, slug, chunk_idx, url, title, text)``, one row per chunk.
+    """``(id, slug, chunk_idx, url, title, text)``, one row per chunk, and the page's columns ``keep``.
 
     The tail of the previous chunk is taken inside the page's own array, so no
     window over the chunks is needed.
     """
     split = pages.select(
-        "slug", "url", "title", split_recursive(F.col("text"), size).alias("_pieces")
+        "slug", "url", "title", *keep, split_recursive(F.col("text"), size).alias("_pieces")
     )
     lapped = split.select(
-        "slug", "url", "title", F.posexplode(add_overlap(F.col("_pieces"), overlap))
+        "slug", "url", "title", *keep, F.posexplode(add_overlap(F.col("_pieces"), overlap))
     )
     return lapped.select(
         chunk_id(F.col("slug"), F.col("pos")).alias("id"),
@@ -30,6 +30,7 @@ def chunk_pages(
         "url",
         "title",
         strip(F.col("col")).alias("text"),
+        *keep,
     )
 
 

@@ -67,7 +67,8 @@ def train_centroids(
     numbered_ids = chosen.withColumn("cid", F.row_number().over(Window.orderBy(*order)) - 1)
     seeds = usable.join(broadcast_if_small(numbered_ids), "id").dropDuplicates(["cid"])
     centroids = seeds.select("cid", F.col("embedding").cast("array<double>").alias("c"))
-    width = usable.agg(F.max(F.size("embedding"))).first()[0] or 0
+    first = usable.select(F.size("embedding")).first()
+    width = first[0] if first else 0
     if nlist > small_rows or 2 * 8 * nlist * width > SMALL_SIDE_BYTES:
         for _ in range(iters):
             centroids = checkpointed(_step_by_tiles(vectors, centroids, metric))

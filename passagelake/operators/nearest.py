@@ -35,6 +35,7 @@ from passagelake.config import (
     TOP_K,
 )
 from passagelake.session import small_table
+from passagelake.sources.grouped import in_groups
 
 METRICS = ("cosine", "ip", "l2")
 
@@ -281,8 +282,9 @@ def for_few_queries(
 
 
 def in_cells(items: DataFrame, known: pa.Table, cell: str) -> DataFrame:
-    """Only items of cells some query asks for; whole partitions if stored by cell."""
-    return items.where(F.col(cell).isin(known[cell].unique().to_pylist()))
+    """Only items of cells some query asks for; whole folders if stored by cell or group."""
+    asked = known[cell].unique().to_pylist()
+    return in_groups(items, asked).where(F.col(cell).isin(asked))
 
 
 def nearest_in(

@@ -47,6 +47,7 @@ from passagelake.operators.search import (
     recall_at_k,
     single_query_search,
 )
+from passagelake.operators.two_level import assign_two_level, recall_curve, train_two_level
 from passagelake.plans.stages import Chain, build_chunks, search_text, stage_shares
 from passagelake.schema import duplicate_keys, validate_schema
 from passagelake.session import broadcast_if_small, scratch_path
@@ -129,14 +130,11 @@ def _label_queries(collection: DataFrame) -> DataFrame:
 
 
 def _stored_index(rows: DataFrame, dim: int) -> tuple[DataFrame, DataFrame]:
-    """(collection stored by bucket, centroids)."""
+    """(collection stored by bucket, centers of its buckets), as many as the rows ask for."""
     spark = rows.sparkSession
-    centroids = read_table(
-        spark, write_table(train_centroids(rows), scratch_path(spark, "centroids"))
-    )
-    placed = assign_buckets(rows, centroids)
-    target = create_collection(placed, scratch_path(spark, "collection"), dim)
-    return load_collection(spark, target), centroids
+    index = train_two_level(rows)
+    target = create_collection(assign_two_level(rows, index), scratch_path(spark, "collection"), dim)
+    return load_collection(spark, target), index.buckets
 
 
 def _text_queries(spark: SparkSession, sf: str) -> DataFrame:
@@ -388,6 +386,23 @@ def ivf_recall(spark: SparkSession, sf: str) -> DataFrame:
     return recall_at_k(exact, approx).withColumn("recall", F.round("recall", 6))
 
 
+def kmeans_two_level(spark: SparkSession, sf: str) -> DataFrame:
+    """Centers of the buckets inside coarse cells, as many as the rows ask for."""
+    buckets = train_two_level(_collection(spark, sf)).buckets
+    return buckets.select(F.col("cid").cast("bigint"), F.posexplode("c").alias("i", "x")).select(
+        "cid", F.col("i").cast("bigint").alias("i"), F.round("x", 6).alias("x")
+    )
+
+
+def recall_by_nprobe(spark: SparkSession, sf: str) -> DataFrame:
+    """The recall of every number of probed buckets, told by one search."""
+    stored, buckets = _stored_index(_collection(spark, sf), VECTOR_DIM)
+    queries = _label_queries(_collection(spark, sf, "label"))
+    exact = exact_search(queries, stored, fields=[])
+    curve = recall_curve(queries, exact, stored, buckets)
+    return curve.withColumn("nprobe", F.col("nprobe").cast("bigint")).withColumn("recall", F.round("recall", 6))
+
+
 # --- collections ---------------------------------------------------------------
 
 
@@ -491,14 +506,25 @@ def generate_answers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def chain_answers(spark: SparkSession, sf: str) -> DataFrame:
-    """Every stage in order, through stored tables; all buckets are probed."""
+    """Every stage in order, through stored tables; all buckets are looked into."""
     chain = Chain(spark, scratch_path(spark, "chain"), site_prefix=SITE_PREFIX)
-    answers, _ = chain.run(
-        _pages(spark, sf), quoting_generator, _text_queries(spark, sf), nprobe=chain.nlist
-    )
+    answers, _ = chain.run(_pages(spark, sf), quoting_generator, _text_queries(spark, sf), nprobe=None)
     return answers
 
 
+def chain_update(spark: SparkSession, sf: str) -> DataFrame:
+    """The collection after a second run: of every ten pages one has a heading more, and one is gone."""
+    chain = Chain(spark, scratch_path(spark, "chain"), site_prefix=SITE_PREFIX)
+    pages = _pages(spark, sf)
+    chain.clean_pages(pages)
+    chain.sync()
+    longer = F.regexp_replace("html", "(?i)</article>", "<p>Revised once more.</p></article>")
+    kind = F.col("page_id") % 10
+    chain.update_pages(pages.where(kind != 7).withColumn("html", F.when(kind == 3, longer).otherwise(F.col("html"))))
+    chain.sync()
+    return load_collection(spark, chain._at("collection")).select("id", "url", "title", "text")
+
+
 def embed_udf(spark: SparkSession, sf: str) -> DataFrame:
     """A caller's encoder: letter counts as a vector of 26 numbers."""
     from string import ascii_lowercase
@@ -562,6 +588,8 @@ QUERIES: dict[str, Query] = {
     "probe_selection": probe_selection,
     "ivf_search": ivf_topk,
     "ivf_recall": ivf_recall,
+    "recall_curve": recall_by_nprobe,
+    "kmeans_two_level": kmeans_two_level,
     "collection_stats": collection_statistics,
     "collection_lifecycle": collection_lifecycle,
     "upsert_collection": upsert_collection,
@@ -573,5 +601,6 @@ QUERIES: dict[str, Query] = {
     "answer_sources": answer_sources,
     "generate_answers": generate_answers,
     "chain_answers": chain_answers,
+    "chain_update": chain_update,
     "stage_timings": stage_timings,
 }

@@ -30,7 +30,7 @@ CHUNK = T.StructType([
 
 COLLECTION_FIELDS = ["id", "url", "title", "text", "embedding"]
 # Bookkeeping a collection may carry beside its declared fields.
-SYSTEM_FIELDS = ["cid", "encoder_id"]
+SYSTEM_FIELDS = ["cid", "grp", "encoder_id"]
 
 MESSAGES = T.ArrayType(T.StructType([
     T.StructField("role", T.StringType()),

@@ -45,18 +45,15 @@ def small_table(
 ) -> pa.Table | None:
     """``df`` on the driver, or None if it is larger than a task may be sent whole.
 
-    Rows are counted first, by one column and no further than the limit, so that a
-    large input costs a look at some of its partitions.  Bytes are added up next, where
-    the tasks are; vectors whose width the column's metadata tells are not computed
-    for that.  Only what is within both limits is fetched.
+    One number a row, its bytes, is looked at first and no further than the limit, so that a
+    large input costs a look at some of its partitions.  Vectors whose width the column's
+    metadata tells are not computed for that.  Only what is within both limits is fetched.
     """
-    found = len(df.select(df.columns[0]).take(rows + 1))
-    if found > rows:
+    open_ = [_bytes_of(f) for f in df.schema if "dim" not in f.metadata] or [F.lit(0)]
+    found = df.select(sum(open_[1:], open_[0]).alias("bytes")).take(rows + 1)
+    if len(found) > rows:
         return None
-    known = sum(8 * found * f.metadata.get("dim", 0) for f in df.schema)
-    open_ = [_bytes_of(f) for f in df.schema if "dim" not in f.metadata]
-    if open_:
-        known += df.agg(F.sum(sum(open_[1:], open_[0]))).first()[0] or 0
+    known = sum(r[0] for r in found) + sum(8 * len(found) * f.metadata.get("dim", 0) for f in df.schema)
     return df.toArrow() if known <= size else None
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 from passagelake.config import EMBED_DIM, INSERT_BATCH_ROWS
 from passagelake.schema import CLEAN_PAGE, check_fields, checked, duplicate_keys
 from passagelake.session import broadcast_if_small, scratch_path
+from passagelake.sources import grouped
 
 _BROKEN = "_corrupt_record"
 
@@ -28,6 +29,8 @@ def table_exists(spark: SparkSession, target: str) -> bool:
 
 
 def read_table(spark: SparkSession, target: str) -> DataFrame:
+    if grouped.is_grouped(spark, target):
+        return grouped.read(spark, target)
     return spark.read.parquet(target) if _is_path(target) else spark.table(target)
 
 
@@ -147,10 +150,12 @@ def create_collection(
     """Drop what is at ``target`` and write the collection anew.
 
     Rows are checked while they are written; with ``cid`` present the table is
-    laid out by bucket, so that a search reads probed buckets only.  Repeated keys are
-    refused before anything is written.
+    laid out by bucket, so that a search reads probed buckets only: at a path in groups of
+    buckets and in versions.  Repeated keys are refused before anything is written.
     """
     _refuse(duplicate_keys(collection.select("id")), "repeated in the rows")
+    if _is_path(target) and "cid" in collection.columns:
+        return grouped.create(checked(collection, dim).drop("grp"), target, batch_rows)
     _write_collection(collection, target, "overwrite", dim, batch_rows)
     return target
 
@@ -159,10 +164,15 @@ def insert_rows(
     rows: DataFrame, target: str, dim: int = EMBED_DIM, batch_rows: int = INSERT_BATCH_ROWS
 ) -> str:
     """Append checked rows.  Keys that repeat or are stored are refused; ``upsert_rows`` replaces."""
-    stored = read_table(rows.sparkSession, target)
+    spark = rows.sparkSession
+    by_group = grouped.is_grouped(spark, target)
+    stored = read_table(spark, target).drop("grp")
     if set(stored.columns) != set(rows.columns):
         raise ValueError(f"the collection has {stored.columns}, the rows {rows.columns}")
     _refuse(duplicate_keys(rows.select("id")), "repeated in the rows")
+    if by_group:
+        _refuse(grouped.stored_keys(rows.select("id"), target), "already stored")
+        return grouped.append(checked(rows.select(*stored.columns), dim), target, batch_rows)
     _refuse(stored.select("id").join(broadcast_if_small(rows.select("id")), "id", "left_semi"), "already stored")
     _write_collection(rows.select(*stored.columns), target, "append", dim, batch_rows)
     return target
@@ -199,35 +209,35 @@ def upsert(collection: DataFrame, rows: DataFrame) -> DataFrame:
 
 def upsert_rows(
     rows: DataFrame, target: str, dim: int = EMBED_DIM, centroids: DataFrame | None = None,
-    batch_rows: int = INSERT_BATCH_ROWS,
+    batch_rows: int = INSERT_BATCH_ROWS, gone: DataFrame | None = None,
 ) -> str:
-    """Store ``upsert`` of the collection at a path: only the buckets it touches are rewritten.
+    """Store ``upsert`` of the collection: of one by bucket only the groups it touches are
+    rewritten, as a new version that readers see when it is complete.
 
-    Rows without a bucket get theirs from ``centroids``.
+    Rows without a bucket get theirs from ``centroids``, which may be those of a two-level index.
+    Stored rows whose ``id`` is in ``gone`` go.
     """
     spark = rows.sparkSession
+    by_group = grouped.is_grouped(spark, target)
     stored = read_table(spark, target)
     if "cid" in stored.columns and "cid" not in rows.columns:
         if centroids is None:
             raise ValueError("the collection has buckets: give rows with cid, or the centroids")
-        from passagelake.operators.index import assign_buckets
+        from passagelake.operators.two_level import assigned
 
-        rows = assign_buckets(rows, centroids)
+        rows = assigned(rows, centroids)
     # The new rows are read several times; what replaces a table can't read it.
     rows = read_table(spark, write_table(checked(rows, dim), scratch_path(spark, "upsert")))
-    if "cid" not in stored.columns:
-        merged = write_table(upsert(stored, rows), scratch_path(spark, "upsert"))
+    gone = rows.select("id").limit(0) if gone is None else gone.select("id")
+    replaced = rows.select("id").union(gone)
+    if not by_group:
+        left = stored.join(broadcast_if_small(gone), "id", "left_anti").select(*stored.columns)
+        merged = write_table(upsert(left, rows), scratch_path(spark, "upsert"))
         _write_collection(read_table(spark, merged), target, "overwrite", dim, batch_rows)
         return target
-    held = stored.join(broadcast_if_small(rows.select("id")), "id", "left_semi").select("cid")
-    touched = [r[0] for r in held.union(rows.select("cid")).distinct().collect()]  # bucket numbers
-    part = stored.where(F.col("cid").isin(touched))
-    merged = read_table(spark, write_table(upsert(part, rows), scratch_path(spark, "upsert")))
-    full = {r[0] for r in merged.select("cid").distinct().collect()}
-    merged.hint("rebalance", "cid").write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).option("maxRecordsPerFile", batch_rows).partitionBy("cid").parquet(target)
-    for cid in set(touched) - full:  # a bucket that lost its last row has no rows to overwrite it
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{target}/cid={cid}")
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-    return target
+    held = stored.select("id", "grp").join(broadcast_if_small(replaced), "id", "left_semi").select("grp")
+    placed = rows.select(grouped.group_of(F.col("cid"), stored.schema["grp"].metadata["firsts"]).alias("grp"))
+    touched = [r[0] for r in held.union(placed).distinct().collect()]  # numbers of groups
+    part = stored.where(F.col("grp").isin(touched)).drop("grp")
+    part = part.join(broadcast_if_small(gone), "id", "left_anti").select(*part.columns)
+    return grouped.replace_groups(upsert(part, rows), touched, rows.select("id"), target, batch_rows)

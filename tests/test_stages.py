@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from passagelake import config
 from passagelake.operators import prompts as P
+from passagelake.operators.changes import carry_vectors, changes, text_digest
+from passagelake.operators.two_level import TwoLevel
 from passagelake.plans.stages import Chain, build_chunks, questions, search_text, stage_shares
-from passagelake.sources import tables as S
+from passagelake.sources import grouped, tables as S
 from passagelake.streaming.ingest import ingest_stream
 
 TABLES = "/root/testdata/sf0.001"
@@ -124,25 +126,151 @@ def test_collection_life(spark, tmp_path, named):
         assert not S.table_exists(spark, target)
 
 
-def test_upsert_rewrites_touched_buckets(spark, tmp_path):
-    target = str(tmp_path / "c")
-    placed = spark.createDataFrame(
-        [(i, "u", "t", "old", [1.0, float(c)], c) for i, c in (("a", 0), ("b", 1), ("c", 2), ("d", 2))],
+def bucketed(spark, pairs, text="old"):
+    return spark.createDataFrame(
+        [(i, f"u{i}", "t", text, [1.0, float(c)], c) for i, c in pairs],
         "id string, url string, title string, text string, embedding array<float>, cid int",
     )
-    S.create_collection(placed, target, 2)
-    untouched = sorted(p.name for p in (tmp_path / "c" / "cid=0").iterdir())
-    centroids = spark.createDataFrame([(c, [1.0, float(c)]) for c in range(3)], "cid int, c array<double>")
-    moved = spark.createDataFrame(
-        [("b", "u", "t", "new", [1.0, 2.0]), ("e", "u", "t", "new", [1.0, 2.0])],
-        "id string, url string, title string, text string, embedding array<float>",
-    )
+
+
+def centers(spark, n):
+    return spark.createDataFrame([(c, [1.0, float(c)]) for c in range(n)], "cid int, c array<double>")
+
+
+def folders(target):
+    return {p.relative_to(target): p.stat().st_mtime_ns for p in target.glob("rows/*/*/*.parquet")}
+
+
+def test_upsert_rewrites_touched_groups(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(grouped, "packed", lambda sizes, *a: [c for c, _ in sorted(sizes)])  # a group a bucket
+    target = str(tmp_path / "c")
+    S.create_collection(bucketed(spark, [("a", 0), ("b", 1), ("c", 2), ("d", 2)]), target, 2)
+    before = folders(tmp_path / "c")
+    moved = bucketed(spark, [("b", 2), ("e", 2)], "new").drop("cid")
     with pytest.raises(ValueError, match="give rows with cid"):
         S.upsert_rows(moved, target, 2)
-    S.upsert_rows(moved, target, 2, centroids)
+    S.upsert_rows(moved, target, 2, centers(spark, 3))
     got = {r["id"]: (r["text"], r["cid"]) for r in S.load_collection(spark, target).collect()}
     assert got == {"a": ("old", 0), "b": ("new", 2), "c": ("old", 2), "d": ("old", 2), "e": ("new", 2)}
-    assert sorted(p.name for p in (tmp_path / "c" / "cid=0").iterdir()) == untouched
+    current = set(S.load_collection(spark, target).inputFiles())
+    assert sum("version=1/grp=0" in f for f in current) == 1 and not any("version=1/grp=2" in f for f in current)
+    assert before.items() <= folders(tmp_path / "c").items()  # what was there stays as it was
+    assert grouped.drop_old_versions(spark, target) == 3
+    assert {r["id"] for r in S.load_collection(spark, target).collect()} == set("abcde")
+    S.insert_rows(bucketed(spark, [("f", 0)], "more"), target, 2)
+    assert {r["id"] for r in S.load_collection(spark, target).collect()} == set("abcdef")
+    for repeated in ("b", "f"):
+        with pytest.raises(ValueError, match="already stored"):
+            S.insert_rows(bucketed(spark, [("g", 0), (repeated, 1)]), target, 2)
+
+
+def test_a_write_that_fails_leaves_the_collection(spark, tmp_path, monkeypatch):
+    target = str(tmp_path / "c")
+    S.create_collection(bucketed(spark, [("a", 0), ("b", 1)]), target, 2)
+    old = {tuple(r) for r in S.load_collection(spark, target).select("id", "text").collect()}
+
+    def fails(*_):
+        raise OSError("no longer there")
+
+    for write in (S.upsert_rows, S.insert_rows, S.create_collection):
+        with monkeypatch.context() as patch:
+            patch.setattr(grouped, "_switch", fails)
+            with pytest.raises(OSError):
+                write(bucketed(spark, [("n", 1)], "new"), target, 2)
+        assert {tuple(r) for r in S.load_collection(spark, target).select("id", "text").collect()} == old
+    with pytest.raises(Exception, match="embedding_dim"):
+        S.insert_rows(bucketed(spark, [("n", 1)], "new"), target, 3)
+    # A manifest without its mark of completion doesn't count.
+    (tmp_path / "c" / "manifests" / "9").mkdir()
+    assert S.load_collection(spark, target).count() == 2
+    S.upsert_rows(bucketed(spark, [("a", 1)], "new"), target, 2)
+    got = {r["id"]: (r["text"], r["cid"]) for r in S.load_collection(spark, target).collect()}
+    assert got == {"a": ("new", 1), "b": ("old", 1)}
+
+
+def test_inserts_of_new_keys_read_only_the_filters(spark, tmp_path, monkeypatch):
+    target = str(tmp_path / "c")
+    S.create_collection(bucketed(spark, [(f"k{i}", i % 7) for i in range(3000)]), target, 2)
+    read = []
+    monkeypatch.setattr(grouped, "read", lambda *a, whole=grouped.read: read.append(a) or whole(*a))
+    new = bucketed(spark, [(f"n{i}", i % 9) for i in range(500)])
+    possible = grouped.possible_keys(new.select("id"), target)
+    assert possible.count() <= 1
+    assert grouped.possible_keys(S.load_collection(spark, target).select("id"), target).count() == 3000
+    read.clear()
+    assert grouped.stored_keys(new.select("id").where("id not in ('x')"), target).count() == 0
+    assert len(read) == possible.count()
+    S.insert_rows(new, target, 2)
+    assert S.load_collection(spark, target).count() == 3500
+    monkeypatch.setattr(grouped, "KEY_TABLES", 3)
+    for n in range(2):  # tables of keys are put together now and then
+        S.insert_rows(bucketed(spark, [(f"more{n}", n)]), target, 2)
+    assert len([e for e in grouped._entries(spark, target) if e[0] == "keys"]) == 1
+    for key in ("k5", "n499", "more1"):
+        with pytest.raises(ValueError, match="already stored"):
+            S.insert_rows(bucketed(spark, [(key, 0), ("fresh", 1)]), target, 2)
+
+
+def test_many_buckets_lie_in_few_folders(spark, tmp_path):
+    """10,000 buckets; a search for some of them reads their groups, and in these few rows."""
+    target = str(tmp_path / "c")
+    rows = spark.range(30_000).select(
+        F.col("id").cast("string"), F.concat(F.lit("u"), "id").alias("url"), F.lit("t").alias("title"),
+        F.lit("x").alias("text"), F.array(F.lit(1.0), F.col("id") % 10_000).cast("array<float>").alias("embedding"),
+        (F.col("id") % 10_000).cast("int").alias("cid"),
+    )
+    S.create_collection(rows, target, 2)
+    assert 10 <= len(list((tmp_path / "c" / "rows" / "version=1").glob("grp=*"))) <= 200
+    stored = S.load_collection(spark, target)
+    asked = grouped.in_groups(stored, [17, 9_999]).where(F.col("cid").isin(17, 9_999))
+    assert asked.count() == 6
+    plan = asked._jdf.queryExecution().executedPlan().toString()
+    partition = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "grp" in partition and "cid" in plan.split("PushedFilters: [")[1].split("]")[0]
+    read = [m for m in grouped.groups_of([17, 9_999], stored.schema["grp"].metadata["firsts"])]
+    assert len(read) == 2
+    assert stored.groupBy("cid").count().where("count <> 3").count() == 0
+
+
+def test_groups_are_even():
+    assert grouped.packed([(0, 5), (1, 5), (2, 5)], least=10) == [0, 2]
+    assert grouped.packed([], least=10) == [0]
+    firsts = grouped.packed([(c, 1000) for c in range(5000)])
+    assert len(firsts) <= grouped.MAX_GROUPS
+    assert grouped.groups_of([0, firsts[3], firsts[3] - 1, 10**6], firsts) == [0, 2, 3, len(firsts) - 1]
+    # One bucket with most rows is a group of its own.
+    assert grouped.packed([(0, 100), (1, 10**6), (2, 100)]) == [0, 1, 2]
+
+
+def test_a_filter_on_url_skips_row_groups(spark, tmp_path):
+    target = str(tmp_path / "c")
+    rows = spark.range(20_000).select(
+        F.col("id").cast("string"), F.concat(F.lit("u"), F.md5(F.col("id").cast("string"))).alias("url"), F.lit("t").alias("title"),
+        F.repeat(F.lit("x"), 50).alias("text"), F.array(F.lit(1.0), F.rand(1)).cast("array<float>").alias("embedding"),
+        (F.col("id") % 40).cast("int").alias("cid"),
+    )
+    S.create_collection(rows, target, 2)
+    stored = S.load_collection(spark, target)
+    url = stored.where("id = '77'").first()["url"]
+    one = stored.where(F.col("url") == url)
+    assert [r["id"] for r in one.select("id").collect()] == ["77"]
+
+    def rows_read(df):
+        df.collect()
+        nodes, found = [df._jdf.queryExecution().executedPlan()], 0
+        while nodes:
+            node = nodes.pop()
+            if node.nodeName().startswith("AdaptiveSparkPlan"):
+                nodes.append(node.executedPlan())
+                continue
+            if node.nodeName().startswith("Scan"):
+                found += node.metrics().apply("numOutputRows").value()
+            kids = node.children()
+            nodes += [kids.apply(i) for i in range(kids.size())]
+        return found
+
+    whole = rows_read(stored.where("length(url) > 0").select("id"))
+    assert whole == 20_000 and rows_read(one.select("id")) < whole / 4
 
 
 def test_insert_batches_bound_file_sizes(spark, tmp_path):
@@ -186,13 +314,115 @@ def test_chain(spark, tmp_path):
     assert S.read_table(spark, chain._at("pages")).count() == before
     # Stored and in-flight results agree.
     stored = S.load_collection(spark, chain._at("collection"))
-    centroids = S.read_table(spark, chain._at("centroids"))
-    every = search_text(queries, stored, centroids, nprobe=config.NLIST)
+    buckets = TwoLevel.read(spark, chain._at("centroids")).buckets
+    every = search_text(queries, stored, buckets, nprobe=buckets.count())
     exact = search_text(queries, stored)
     assert every.exceptAll(exact).isEmpty() and exact.exceptAll(every).isEmpty()
     assert build_chunks(pages).count() == stored.count()
 
 
+def test_changes(spark):
+    now = spark.createDataFrame([("a", "1"), ("b", "2"), ("c", None), ("d", None)], "slug string, digest string")
+    before = spark.createDataFrame([("a", "1"), ("a", "1"), ("b", "9"), ("c", None), ("e", "5")], "slug string, digest string")
+    got = {r["slug"]: r["change"] for r in changes(now, before, "slug").collect()}
+    assert got == {"a": "same", "b": "changed", "c": "same", "d": "new", "e": "gone"}
+
+
+def test_vectors_are_carried_over_by_text(spark):
+    stored = spark.createDataFrame(
+        [("x", "t1", [1.0]), ("y", "t1", [1.0]), ("z", "t2", None), ("w", "t3", [3.0])], "id string, text string, embedding array<float>"
+    ).withColumn("digest", text_digest("text"))
+    rows = spark.createDataFrame([("x", "t1"), ("new", "t3"), ("z", "t2"), ("n", None)], "id string, text string")
+    got = {r["id"]: r["embedding"] for r in carry_vectors(rows.withColumn("digest", text_digest("text")), stored).collect()}
+    assert got == {"x": [1.0], "new": [3.0], "z": None, "n": None}
+
+
+@pytest.fixture
+def counting(spark):
+    """An encoder of two numbers, and what it was asked to encode."""
+    calls = spark.sparkContext.accumulator(0)
+
+    def factory():
+        def encode(texts):
+            calls.add(len(texts))
+            return [[1.0 + len(t), 1.0 + t.count("e")] for t in texts]
+
+        return encode
+
+    def since():
+        n, calls.value = calls.value, 0
+        return n
+
+    return factory, since
+
+
+def whole(chain):
+    rows = S.load_collection(chain.spark, chain._at("collection")).select("id", "url", "title", "text", "embedding")
+    return {(r["id"], r["url"], r["title"], r["text"], *(round(x, 5) for x in r["embedding"])) for r in rows.collect()}
+
+
+def test_a_second_run_encodes_what_is_new(spark, tmp_path, counting):
+    factory, encoded = counting
+    pages = spark.read.parquet(f"{TABLES}/pages.parquet")
+
+    def chain(name):
+        return Chain(spark, str(tmp_path / name), factory, "lengths", 2, nlist=9)
+
+    first = chain("one")
+    first.clean_pages(pages)
+    assert first.sync() == {"new": first._has("pages") and S.read_table(spark, first._at("pages")).count()}
+    n = S.load_collection(spark, first._at("collection")).count()
+    assert encoded() == n
+    # The same pages again, and whole stages again: nothing is encoded.
+    first.clean_pages(pages)
+    assert first.sync() == {} and encoded() == 0
+    first.update_pages(pages)
+    assert first.sync() == {} and encoded() == 0
+    first.chunk()
+    first.embed()
+    assert encoded() == 0
+    # One page changed at its end, one moved to another url, one new, two gone.
+    kind = F.col("page_id")
+    html = F.when(kind == 4, F.regexp_replace("html", "(?i)</article>", "<p>One more line.</p></article>")).otherwise(F.col("html"))
+    url = F.when(kind == 6, F.concat("url", F.lit("moved/"))).otherwise(F.col("url"))
+    later = pages.where(~kind.isin(8, 9)).withColumns({"html": html, "url": url})
+    later = later.union(pages.where(kind == 5).select(F.lit(10**6), F.concat("url", F.lit("copy/")), "html"))
+    slugs = folders(tmp_path / "one" / "pages")
+    first.update_pages(later)
+    assert first.sync() == {"changed": 1, "new": 2, "gone": 3}
+    assert 1 <= encoded() <= 3  # the changed page's last chunks; moved and copied texts are known
+    other = chain("two")
+    other.clean_pages(later)
+    other.sync()
+    assert whole(first) == whole(other) and slugs.items() <= folders(tmp_path / "one" / "pages").items()
+    for name in ("chunks", "vectors"):
+        mine, fresh = (S.read_table(spark, c._at(name)).select("id", "slug", "text", "page_digest") for c in (first, other))
+        assert mine.exceptAll(fresh).isEmpty() and fresh.exceptAll(mine).isEmpty()
+    # Another encoder's vectors are not carried over.
+    renamed = Chain(spark, str(tmp_path / "one"), factory, "other", 2, nlist=9)
+    encoded()
+    renamed.embed()
+    assert encoded() == S.read_table(spark, renamed._at("vectors")).count()
+
+
+def test_a_sync_that_fails_is_done_again(spark, tmp_path, counting, monkeypatch):
+    factory, encoded = counting
+    pages = spark.read.parquet(f"{TABLES}/pages.parquet").where("page_id < 30")
+    chain = Chain(spark, str(tmp_path / "c"), factory, "lengths", 2, nlist=4)
+    chain.clean_pages(pages.where("page_id < 25"))
+    chain.sync()
+    chain.clean_pages(pages)
+    with monkeypatch.context() as patch:
+        patch.setattr(Chain, "_replace", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            chain.sync()
+    assert chain.sync()["new"] >= 1 and chain.sync() == {}
+    again = Chain(spark, str(tmp_path / "d"), factory, "lengths", 2, nlist=4)
+    again.clean_pages(pages)
+    again.sync()
+    assert whole(chain) == whole(again)
+
+
 def test_default_question(spark):
     assert questions(spark).count() == 1
     assert questions(spark, ["a", "b"]).orderBy("qid").collect()[1]["qtext"] == "b"
