@@ -14,6 +14,7 @@ import re
 from pyspark.sql import Column, functions as F
 
 from passagelake.config import CHUNK_OVERLAP, CHUNK_SIZE, SEPARATORS
+from passagelake.functions.fold import kept_strings
 
 
 def _pack_by_regex(piece: Column, sep: str, size: int) -> Column:
@@ -30,21 +31,15 @@ def _pack_by_regex(piece: Column, sep: str, size: int) -> Column:
 def _pack_by_fold(piece: Column, sep: str, size: int) -> Column:
     """Same result for a separator that can overlap itself, as in a run of newlines."""
     parts = F.regexp_extract_all(piece, F.lit(rf"(?s).*?{re.escape(sep)}|.+\z"), F.lit(0))
-    none = F.array().cast("array<string>")
 
-    def flushed(acc: Column) -> Column:
-        return F.when(acc["buf"] == "", acc["out"]).otherwise(
-            F.concat(acc["out"], F.array(acc["buf"]))
+    def step(held: Column, part: Column) -> Column:
+        fits = F.length(held) + F.length(part) <= size
+        return F.struct(
+            F.when(fits, F.concat(held, part)).otherwise(part).alias("state"),
+            F.when(~fits & (held != ""), held).alias("keep"),
         )
 
-    def step(acc: Column, part: Column) -> Column:
-        fits = F.length(acc["buf"]) + F.length(part) <= size
-        return F.when(
-            fits, F.struct(acc["out"].alias("out"), F.concat(acc["buf"], part).alias("buf"))
-        ).otherwise(F.struct(flushed(acc).alias("out"), part.alias("buf")))
-
-    start = F.struct(none.alias("out"), F.lit("").alias("buf"))
-    return F.aggregate(parts, start, step, flushed)
+    return F.flatten(kept_strings(parts, F.lit(""), step, lambda held: F.when(held != "", held)))
 
 
 def _level(pieces: Column, sep: str, size: int) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from passagelake.config import EMBED_BATCH, EMBED_DIM
 from passagelake.functions.vectors import has_dim
+from passagelake.operators.batching import call_in_batches
 
 Encoder = Callable[[list[str]], "list[list[float]] | np.ndarray"]
 
@@ -61,27 +62,28 @@ def _with_hashing(df: DataFrame, text: Column, dim: int) -> DataFrame:
     ).drop("_buckets", "_counts", "_unit")
 
 
-def _encode_udf(factory: Callable[[], Encoder], dim: int, batch: int):
+def _encode_udf(
+    factory: Callable[[], Encoder], dim: int, batch: int, budget: int | None, split_errors: bool
+):
     def encode(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = factory()  # once per task, not per batch
+
+        def unit(texts: list[str]) -> np.ndarray:
+            block = np.asarray(encoder(texts), dtype=np.float64)
+            if block.shape != (len(texts), dim):
+                raise ValueError(f"encoder returned {block.shape}, not {(len(texts), dim)}")
+            norms = np.linalg.norm(block, axis=1, keepdims=True)
+            return (block / np.where(norms == 0, 1, norms)).astype(np.float32)
+
         for column in columns:
-            texts = column.to_pylist()
-            wanted = [i for i, t in enumerate(texts) if t is not None]
-            vectors: list = [None] * len(texts)
-            for start in range(0, len(wanted), batch):
-                rows = wanted[start : start + batch]
-                block = np.asarray(encoder([texts[i] for i in rows]), dtype=np.float64)
-                if block.shape != (len(rows), dim):
-                    raise ValueError(f"encoder returned {block.shape}, not {(len(rows), dim)}")
-                norms = np.linalg.norm(block, axis=1, keepdims=True)
-                block = (block / np.where(norms == 0, 1, norms)).astype(np.float32)
-                for i, vector in zip(rows, block):
-                    vectors[i] = vector
-            yield pa.array(vectors, pa.list_(pa.float32()))
+            vectors, errors = call_in_batches(column.to_pylist(), unit, batch, budget, split_errors=split_errors)
+            yield pa.StructArray.from_arrays(
+                [pa.array(vectors, pa.list_(pa.float32())), pa.array(errors, pa.string())], names=["vector", "error"]
+            )
 
     # The annotations are read at run time; postponed ones would be strings.
     encode.__annotations__ = {"columns": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return F.arrow_udf(encode, "array<float>")
+    return F.arrow_udf(encode, "vector array<float>, error string")
 
 
 def embed(
@@ -91,17 +93,23 @@ def embed(
     text: str = "text",
     encoder_id: str | None = None,
     batch: int = EMBED_BATCH,
+    budget: int | None = None,
+    errors: str | None = None,
 ) -> DataFrame:
     """Add ``embedding`` to rows that have none of the right width.
 
     ``encoder_factory`` makes, inside the task, a function from a list of texts to
     a matrix; its rows are scaled to unit length.  Without one, tokens are hashed:
     a lexical stand-in.  Rows that carry a vector keep it and are not encoded.
+
+    A call has at most ``batch`` texts of similar length, and at most ``budget`` characters when
+    all count as the longest.  A text that the encoder fails on fails the job, unless ``errors`` names
+    a column for what went wrong: its row then has no vector.
     """
     if encoder_factory is not None and not encoder_id:
         raise ValueError("name the encoder with encoder_id")
     encoder_id = encoder_id or hashing_id(dim)
-    columns = [c for c in df.columns if c != "embedding"]
+    columns = [c for c in df.columns if c not in ("embedding", errors)]
     stored = F.col("embedding") if "embedding" in df.columns else None
     needed = F.col(text)
     if stored is not None:
@@ -111,12 +119,16 @@ def embed(
         needed = F.when(~has_dim(stored, dim), needed)
     if encoder_factory is None:
         df = _with_hashing(df, needed, dim)
+        wrong = F.lit(None).cast("string")
     else:
-        df = df.withColumn("_vector", _encode_udf(encoder_factory, dim, batch)(needed))
+        encode = _encode_udf(encoder_factory, dim, batch, budget, errors is not None)
+        df = df.withColumn("_encoded", encode(needed)).withColumn("_vector", F.col("_encoded.vector"))
+        wrong = F.col("_encoded.error")
     vector = F.col("_vector")
     if stored is not None:
         vector = F.when(has_dim(stored, dim), stored).otherwise(vector)
-    return df.select(*columns, marked(vector, encoder_id, dim))
+    told = [wrong.alias(errors)] if errors else []
+    return df.select(*columns, marked(vector, encoder_id, dim), *told)
 
 
 def embed_queries(

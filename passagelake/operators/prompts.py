@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from passagelake.config import GENERATE_BATCH, NO_CONTEXT_ANSWER, system_prompt
 from passagelake.functions.text import context_block, messages, user_message
+from passagelake.operators.batching import call_in_batches
 
 Generator = Callable[[list[list[dict]]], list[str]]
 
@@ -53,30 +54,33 @@ def source_lists(hits: DataFrame) -> DataFrame:
 
 
 def generate(
-    prompts: DataFrame, generator_factory: Callable[[], Generator], batch: int = GENERATE_BATCH
+    prompts: DataFrame, generator_factory: Callable[[], Generator], batch: int = GENERATE_BATCH,
+    budget: int | None = None, errors: str | None = None,
 ) -> DataFrame:
     """``(qid, answer)``: one stripped answer per prompt.
 
     ``generator_factory`` makes, inside the task, a function from up to ``batch`` message
-    lists to as many texts.  A query without context gets the fixed answer and no call.
+    lists of similar length to as many texts; all counted as the longest, they have at most ``budget``
+    characters.  A query without context gets the fixed answer and no call.  A prompt that the generator
+    fails on fails the job, unless ``errors`` names a column for what went wrong: its answer is then null.
     """
 
+    def length(chat: list[dict]) -> int:
+        return sum(len(m["content"] or "") for m in chat)
+
     def answer(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         generator = generator_factory()  # once per task
         for column in columns:
-            chats = column.to_pylist()
-            wanted = [i for i, chat in enumerate(chats) if chat is not None]
-            answers: list[str | None] = [None] * len(chats)
-            for start in range(0, len(wanted), batch):
-                rows = wanted[start : start + batch]
-                texts = generator([chats[i] for i in rows])
-                for i, text in zip(rows, texts, strict=True):
-                    answers[i] = text.strip()
-            yield pa.array(answers, pa.string())
+            texts, wrong = call_in_batches(column.to_pylist(), generator, batch, budget, length, errors is not None)
+            yield pa.StructArray.from_arrays(
+                [pa.array([t and t.strip() for t in texts], pa.string()), pa.array(wrong, pa.string())], names=["text", "error"]
+            )
 
     answer.__annotations__ = {"columns": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    text = F.arrow_udf(answer, "string")(F.col("messages"))
-    return prompts.select("qid", F.coalesce(text, F.lit(NO_CONTEXT_ANSWER)).alias("answer"))
+    called = prompts.select("qid", "messages", F.arrow_udf(answer, "text string, error string")(F.col("messages")).alias("_told"))
+    text = F.when(F.col("messages").isNull(), F.lit(NO_CONTEXT_ANSWER)).otherwise(F.col("_told.text"))
+    told = [F.col("_told.error").alias(errors)] if errors else []
+    return called.select("qid", text.alias("answer"), *told)
 
 
 def answers_with_sources(answers: DataFrame, hits: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from passagelake.config import EMBED_DIM
+from passagelake.config import EMBED_DIM, MAX_LENGTHS
 from passagelake.functions.text import (
     chunk_id,
     context_block,
@@ -23,7 +23,7 @@ from passagelake.functions.vectors import (
     l2_normalize,
 )
 from passagelake.operators import prompts
-from passagelake.operators.chunks import chunk_pages, chunk_stats
+from passagelake.operators.chunks import chunk_pages, chunk_stats, presented
 from passagelake.operators.embedding import embed, embed_queries, missing_vectors
 from passagelake.operators.index import (
     assign_buckets,
@@ -36,6 +36,7 @@ from passagelake.operators.index import (
 from passagelake.operators.pages import (
     extract_pages,
     ingest_pages,
+    new_pages,
     page_outcomes,
     processed_counts,
 )
@@ -61,6 +62,8 @@ from passagelake.sources.tables import (
     spread,
     upsert_rows,
     write_clean_pages,
+    write_counted,
+    write_page_files,
     write_table,
 )
 
@@ -195,6 +198,31 @@ def page_json_lines(spark: SparkSession, sf: str) -> DataFrame:
     return read_page_lines(spark, target)
 
 
+def page_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Clean pages as one JSON document per file, read back; the file's name is the slug."""
+    nothing = spark.createDataFrame([], "slug string")
+    clean = extract_pages(new_pages(_pages(spark, sf), nothing, SITE_PREFIX), SITE_PREFIX)
+    folder = write_page_files(clean, scratch_path(spark, "page-files"))
+    return read_clean_pages(spark, folder)
+
+
+def broken_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Every page with a menu that is never closed, and with references that lack their semicolon."""
+    more = "<div><nav>menu &copy 2024</div><p>After &copy 2024 &amp more.</p></article>"
+    pages = _pages(spark, sf)
+    broken = pages.withColumn("html", F.regexp_replace("html", "(?i)</article>", more))
+    return extract_pages(broken, SITE_PREFIX).select("page_id", "slug", "title", "text")
+
+
+def page_faults(spark: SparkSession, sf: str) -> DataFrame:
+    """What ingest does with pages of which some lack their url or html, or share one slug."""
+    page = F.col("page_id")
+    url = F.when(page % 13 == 0, None).when(page % 19 == 0, "https://same.example/").otherwise(F.col("url"))
+    html = F.when(page % 17 == 0, None).otherwise(F.col("html"))
+    pages = _pages(spark, sf).withColumns({"url": url, "html": html})
+    return page_outcomes(pages, _stored_pages(pages), SITE_PREFIX)
+
+
 # --- chunks --------------------------------------------------------------------
 
 
@@ -222,6 +250,22 @@ def chunk_table_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def chunks_in_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Chunks as they are shown: by page, then by place."""
+    shown = presented(_chunks(spark, sf))
+    return shown.select("slug", F.col("chunk_idx").cast("bigint").alias("chunk_idx"), "id")
+
+
+def chunk_counts_observed(spark: SparkSession, sf: str) -> DataFrame:
+    """Figures of the chunk table, told by the job that writes it."""
+    long = F.count_if(F.length("text") > MAX_LENGTHS["text"])
+    seen = write_counted(
+        _chunks(spark, sf), scratch_path(spark, "chunks"), chunks=F.count(F.lit(1)), pages=F.count_if(F.col("chunk_idx") == 0),
+        chars=F.sum(F.length("text")), too_long=long,
+    )
+    return spark.createDataFrame([tuple(seen[n] for n in ("chunks", "pages", "chars", "too_long"))], "chunks long, pages long, chars long, too_long long")
+
+
 def chunk_previews(spark: SparkSession, sf: str) -> DataFrame:
     return _chunks(spark, sf).select("id", preview(F.col("text")).alias("preview"))
 
@@ -352,9 +396,18 @@ def kmeans_lloyd(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def kmeans_mllib(spark: SparkSession, sf: str) -> DataFrame:
+    """What holds of MLlib's centroids whatever their seeds: as many as wanted, and each vector in the
+    bucket of the nearest."""
     rows = _collection(spark, sf)
     centroids = train_centroids(rows, iters=10, method="mllib")
-    return bucket_sizes(assign_buckets(rows, centroids))
+    placed = assign_buckets(rows, centroids).select("id", "embedding", "cid")
+    every = F.broadcast(centroids.agg(F.collect_list(F.struct("cid", "c")).alias("all")))  # 16 rows
+    scores = F.transform("all", lambda x: F.struct(F.round(cosine_similarity(F.col("embedding"), x["c"]), 9).alias("s"), (-x["cid"]).alias("n"), x["cid"].alias("cid")))
+    best = placed.join(every).select("id", "cid", F.array_max(scores)["cid"].alias("nearest"))
+    return best.agg(
+        centroids.agg(F.count("*")).scalar().alias("buckets"), F.count("*").alias("vectors"),
+        F.count_if(~F.col("cid").eqNullSafe(F.col("nearest"))).alias("misplaced"),
+    )
 
 
 def ivf_bucket_sizes(spark: SparkSession, sf: str) -> DataFrame:
@@ -562,11 +615,16 @@ QUERIES: dict[str, Query] = {
     "page_counts": page_counts,
     "page_chunks": page_chunks,
     "page_json_lines": page_json_lines,
+    "page_files": page_files,
+    "broken_pages": broken_pages,
+    "page_faults": page_faults,
     "chunk_documents": chunk_documents,
     "chunk_documents_small": chunk_documents_small,
     "chunk_stats": chunk_statistics,
     "chunk_table_roundtrip": chunk_table_roundtrip,
     "chunk_previews": chunk_previews,
+    "chunks_in_order": chunks_in_order,
+    "chunk_counts_observed": chunk_counts_observed,
     "schema_violations": schema_violations,
     "duplicate_keys": duplicate_ids,
     "embed_hashing": embed_hashing,

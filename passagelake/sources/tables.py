@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow.fs import FileSystem, LocalFileSystem
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F, types as T
 
 from passagelake.config import EMBED_DIM, INSERT_BATCH_ROWS
 from passagelake.schema import CLEAN_PAGE, check_fields, checked, duplicate_keys
@@ -60,6 +65,13 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def write_counted(df: DataFrame, target: str, mode: str = "overwrite", **metrics: Column) -> dict[str, int]:
+    """Write a table and tell ``metrics`` (aggregates) of its rows, observed by the one job that writes."""
+    seen = Observation()
+    write_table(df.observe(seen, *[m.alias(name) for name, m in metrics.items()]), target, mode)
+    return seen.get
+
+
 # --- pages ---------------------------------------------------------------------
 
 
@@ -110,6 +122,29 @@ def _page_files(spark: SparkSession, folder: str, step: str) -> DataFrame:
     return pages
 
 
+def write_page_files(pages: DataFrame, folder: str) -> str:
+    """One JSON document per page, in a file named after its slug; slugs are unique.
+
+    Tasks write their pages' files; a repeated task writes the same ones again.
+    """
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, at = (LocalFileSystem(), "/" + folder.removeprefix("file:").lstrip("/"))
+        if not folder.startswith(("/", "file:")):
+            files, at = FileSystem.from_uri(folder)
+        files.create_dir(at, recursive=True)
+        for batch in batches:
+            for slug, *fields in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                page = dict(zip(("url", "title", "text"), fields, strict=True))
+                if "/" in slug:
+                    raise ValueError(f"slug {slug!r} can't name a file")
+                with files.open_output_stream(f"{at}/{slug}.json") as out:
+                    out.write(json.dumps(page, ensure_ascii=False, indent=2).encode())
+            yield batch.select(["slug"])
+
+    pages.select("slug", "url", "title", "text").mapInArrow(write, "slug string").write.format("noop").mode("overwrite").save()
+    return folder
+
+
 def write_clean_pages(pages: DataFrame, folder: str, mode: str = "overwrite") -> str:
     """Clean pages as UTF-8 JSON lines, many per file, with the slug as a field."""
     pages.select("slug", "url", "title", "text").write.mode(mode).json(folder)

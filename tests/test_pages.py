@@ -177,3 +177,90 @@ def test_outcomes(spark, raw_pages, stored):
 def test_a_shared_slug_is_thinned_before_the_shuffle(spark, raw_pages, stored):
     plan = new_pages(raw_pages, stored, SITE)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
+
+
+UNCLOSED = {
+    "ends with the element around it": (
+        "<article><div><nav>links</div><p>kept?</p></article>", "kept?"),
+    "unclosed to the end": ("<article><p>a</p><nav>links<p>more</article>", "a"),
+    "paragraphs inside": ("<article><section><p>a<p>b<header>x<p>y</section>c</article>", "a\nb\nc"),
+    "inside furniture": ("<article><nav>x<div><footer>y</div>z</nav>kept<footer>w</article>", "kept"),
+    "an end tag that nothing opened": ("<article><nav>x</span>y</b></nav>kept<nav>z</article>", "kept"),
+    "void elements": ("<article><div><nav>x<br><img src=a><hr></div>kept<br>too</article>", "kept\ntoo"),
+    "closes itself": ("<article><nav/>a<nav>x<nav/>y</nav>b<div><footer>z</div>c<br/>d</article>", "a\nb\nc\nd"),
+    "closed too often": ("<article>a</nav>b<nav>x</nav></nav>c</article>", "a\nb\nc"),
+    "upper case, other names": ("<ARTICLE><DIV><NAV>n</DIV><nav-bar>kept</nav-bar></ARTICLE>", "kept"),
+    "quoted bracket": ("<article><div a='<nav>'><nav b='>'>x</div>y 1 < 2</article>", "y 1 < 2"),
+}
+
+
+def test_furniture_that_is_never_closed(spark):
+    got = extract(spark, *[page for page, _ in UNCLOSED.values()])
+    assert dict(zip(UNCLOSED, (text for _, text in got))) == {name: text for name, (_, text) in UNCLOSED.items()}
+
+
+class Stack(HTMLParser):
+    """Text outside furniture when an end tag closes all that is open inside its element."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=False)
+        self.path, self.out = [], []
+
+    def handle_starttag(self, tag, attrs):
+        if tag != "br":
+            self.path.append(tag)
+
+    def handle_endtag(self, tag):
+        if tag in self.path:
+            while self.path.pop() != tag:
+                pass
+
+    def handle_data(self, data):
+        if not {"nav", "header", "footer"} & set(self.path):
+            self.out.append(data.strip())
+
+
+def test_broken_pages_like_a_parser(spark):
+    import random
+
+    chooser, pages = random.Random(4), []
+    for _ in range(300):
+        parts = []
+        for n in range(chooser.randrange(25)):
+            tag = chooser.choice(["div", "p", "nav", "header", "footer", "section", "br"])
+            parts.append(chooser.choice([f"<{tag}>", f"</{tag}>", f" t{n} "]))
+        pages.append("".join(parts) + "<nav>")  # never balanced by accident
+    pages = [p for p in pages if sum(p.count(f"<{c}>") - p.count(f"</{c}>") for c in ("nav", "header", "footer"))]
+    got = extract(spark, *pages)
+    for page, (_, text) in zip(pages, got):
+        reader = Stack()
+        reader.feed(page)
+        reader.close()
+        assert text == "\n".join(t for t in reader.out if t), page
+
+
+def test_broken_hostile_pages_stay_fast(spark):
+    import time
+
+    pages = [
+        "<article>" + "<nav>" * 30_000 + "x",
+        "<article>" + "<div><nav>x</div>y" * 20_000 + "</article>",
+        "<article>" + "<div>" * 30_000 + "<nav>x" + "</div>" * 30_000 + "y",
+        "<article>" + "<nav>n</nav>k" * 30_000 + "</article>",
+        "<article><nav>" + "".join(f"<x{n}>" for n in range(20_000)) + "z",
+    ]
+    start = time.time()
+    got = extract(spark, *pages)
+    assert time.time() - start < 60
+    assert got[0][1] == "" and got[1][1].count("y") == 20_000 and got[2][1] == "y" and got[3][1].count("k") == 30_000
+
+
+def test_references_without_a_semicolon(spark):
+    from html import unescape as reference
+
+    texts = [
+        "&copy 2024", "&copy; &copyfoo; &notit; &notin; &amp &lt&gt x", "&#65 &#x42g &#66;", "&unknown &unknown; &;",
+        "a&b &ampamp; &AMP;&QUOT &nbsp&nbsp;x", "&eacutee &Eacute", "& &# &#x &1;",
+    ]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", unescape(F.col("t")).alias("u")).collect()
+    assert {r["t"]: r["u"] for r in rows} == {t: reference(t) for t in texts}

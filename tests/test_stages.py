@@ -12,7 +12,7 @@ from passagelake.operators.changes import carry_vectors, changes, text_digest
 from passagelake.operators.two_level import TwoLevel
 from passagelake.plans.stages import Chain, build_chunks, questions, search_text, stage_shares
 from passagelake.sources import grouped, tables as S
-from passagelake.streaming.ingest import ingest_stream
+from passagelake.streaming.ingest import first_of_slug, ingest_stream
 
 TABLES = "/root/testdata/sf0.001"
 
@@ -432,19 +432,74 @@ def test_stream_takes_each_slug_once(spark, tmp_path):
     source, target, marks = (str(tmp_path / n) for n in ("in", "out", "marks"))
     pages = spark.read.parquet(f"{TABLES}/pages.parquet")
 
+    def factory():
+        return lambda texts: [[float(len(t)), 1.0] for t in texts]
+
     def run():
-        query = ingest_stream(spark, source, target, marks, files_per_batch=1)
+        query = ingest_stream(
+            spark, source, target, marks, files_per_batch=1, encoder_factory=factory, dim=2, encoder_id="lengths"
+        )
         query.awaitTermination()
         return S.read_table(spark, target)
 
     pages.where("page_id < 20").write.parquet(source)
     first = run()
     assert first.select("slug").distinct().count() == 20
-    pages.write.mode("append").parquet(source)
+    # All pages again, later ones under slugs that were met: state from the checkpoint tells them.
+    again = pages.withColumn("page_id", F.col("page_id") + 1000).withColumn("html", F.lit("<p>late</p>"))
+    pages.union(again.where("page_id < 1020")).repartition(3).write.mode("append").parquet(source)
     second = run()
     want = build_chunks(pages)
     assert second.select("id", "text").exceptAll(want.select("id", "text")).isEmpty()
-    assert second.count() == want.count()
+    assert second.count() == want.count() and second.where("size(embedding) = 2").count() == want.count()
+    assert run().count() == want.count()
+
+
+class FakeState:
+    def __init__(self, value=None):
+        self.value = value
+
+    @property
+    def exists(self):
+        return self.value is not None
+
+    def update(self, value):
+        self.value = value
+
+
+def test_state_keeps_the_first_page_of_a_slug():
+    import pandas as pd
+
+    def page(*ids):
+        return pd.DataFrame({"page_id": pd.array(ids, "Int64"), "url": "u", "html": "h", "slug": "s"})
+
+    state = FakeState()
+    (got,) = first_of_slug(("s",), iter([page(5, 3), page(4), page()]), state)
+    assert got["page_id"].tolist() == [3] and list(got.columns) == ["page_id", "url", "html"] and state.value == (3,)
+    assert list(first_of_slug(("s",), iter([page(1)]), state)) == []
+    (got,) = first_of_slug(("t",), iter([page(None), page(None, 9)]), FakeState())
+    assert got["page_id"].tolist() == [9]
+
+
+def test_counts_while_writing(spark, tmp_path):
+    target = str(tmp_path / "t")
+    rows_ = spark.range(1000).withColumn("text", F.repeat(F.lit("x"), F.col("id").cast("int")))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("counted", "one write")
+    seen = S.write_counted(rows_, target, rows=F.count(F.lit(1)), chars=F.sum(F.length("text")), long=F.count_if(F.length("text") > 900))
+    jobs = tracker.getJobIdsForGroup("counted")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert seen == {"rows": 1000, "chars": 499_500, "long": 99} and len(jobs) == 1
+    assert S.read_table(spark, target).count() == 1000
+
+
+def test_one_file_a_page(spark, tmp_path):
+    pages = spark.createDataFrame([("a__b", "u", "é", "x\ny"), ("c d+%", "v", None, "")], "slug string, url string, title string, text string")
+    folder = S.write_page_files(pages, str(tmp_path / "p"))
+    assert len(list((tmp_path / "p").glob("*.json"))) == 2
+    assert {tuple(r) for r in S.read_clean_pages(spark, folder).collect()} == {tuple(r) for r in pages.collect()}
+    S.write_page_files(pages.limit(1), folder)
+    assert S.read_clean_pages(spark, folder).count() == 2
 
 
 def test_runs_from_another_folder(tmp_path):
