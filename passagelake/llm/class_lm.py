@@ -1,24 +1,28 @@
 """Scores of texts under a Brown class-based bigram model.
 
-The model gives a token the probability P(class | class before) P(token | class), from
-relative frequencies over all training texts:
+The model gives a token the probability P(class | history) P(token | class), from relative
+frequencies over all training texts.  Every training word has a class.
 
 * *Counts.*  Tokens are words (runs without blanks, A-Z lower-cased) and one end per text.
   Every training word is counted in a shuffled table.
-* *Classes.*  The ``exchanged`` most frequent words are clustered by exchange: from a
-  table of their bigrams, each sweep works out for every word, in parallel, which class
-  would raise the likelihood of the class bigrams most; so that words which attract each
-  other don't swap for ever, a sweep moves a (reproducible) random half of them.  Words
-  up to rank ``placed`` then take the class that suits their neighbours best.  All
-  others share one class, unseen words too; the end is a class of its own.
-* *Smoothing.*  Transitions are mixed with the share of the class that follows;
-  tokens have half a count more, and unseen words together that of one word.
-* *Scoring.*  Counts of the ``frequent`` first words are broadcast (a bound, not a cut: the
-  other words of a text meet their counts by a join), and a text's sums come
+* *Exchange.*  The most frequent words that make up the share ``core`` of the training words are
+  clustered by exchange: from a table of their bigrams, each sweep works out for every word, in
+  parallel, which class would raise the likelihood of the class bigrams most; so that words which
+  attract each other don't swap for ever, a sweep moves a (reproducible) random half of them.  Sweeps
+  end when the likelihood has stopped to gain ``tolerance`` of itself; the best classes count.
+* *Placing.*  Each other word takes the class that suits its neighbours best: words of the lexicon by
+  the exchange's own measure, all rarer ones by the likelihood of their contexts, which
+  meet by word in one shuffle and stream past.
+* *History.*  A word's history is the class of the word before; words outside the lexicon (the
+  ``frequent`` first words, which are broadcast) are one history class.  The end is a class of its own.
+* *Smoothing.*  Transitions are mixed with the share of the class that follows; words have half a count
+  more.  Unseen words are a class, as frequent after a history as words that were seen
+  once, and as many as those.
+* *Scoring.*  Words outside the lexicon meet their class and count by a join, and a text's sums come
   together by a shuffle of sums.
 
 What grows with the corpus is shuffled; what is broadcast or collected is bounded by the
-parameters: word lists, and counts between classes.
+parameters: the lexicon, and counts between classes.
 
 Null texts count as empty: they are an end alone.  Rows with a null doc_id train.
 Repeated rows train and are scored one by one.  With no training text, every token has
@@ -38,8 +42,10 @@ from passagelake.llm.common import Words, crc32_of, pieces, stored
 
 #: Frequent words longer than this many bytes are left to the join.
 LONGEST = 64
+#: Sweeps without a gain after which exchange ends.
+PATIENCE = 3
 #: Bytes of texts that are taken apart at once.
-PIECE = 1 << 21
+PIECE = 1 << 20
 #: Weight of the class shares in a class's transitions, in counts.
 PRIOR = 5.0
 
@@ -209,7 +215,12 @@ def _sides(spark: SparkSession, pairs: DataFrame, classes: np.ndarray, words: in
     )
 
 
-def exchange(pairs: DataFrame, words: int, classes: int, sweeps: int) -> np.ndarray:
+def likelihood(matrix: np.ndarray) -> float:
+    """The log likelihood of class bigrams, but for what doesn't depend on classes."""
+    return float(_xlogx(matrix).sum() - _xlogx(matrix.sum(axis=0)).sum() - _xlogx(matrix.sum(axis=1)).sum())
+
+
+def exchange(pairs: DataFrame, words: int, classes: int, sweeps: int, tolerance: float = 1e-4) -> np.ndarray:
     """Classes of the ``words`` first words, then those of all others and of the end.
 
     ``pairs (a, b, n)`` counts bigrams of the words, numbered from 0, with ``words`` for
@@ -217,16 +228,24 @@ def exchange(pairs: DataFrame, words: int, classes: int, sweeps: int) -> np.ndar
     """
     spark = pairs.sparkSession
     now = np.concatenate([np.arange(words) % classes, [classes, classes + 1]])
+    best, reached, idle = now.copy(), -np.inf, 0
     for sweep in range(sweeps):
         of = spark.createDataFrame([(i, int(c)) for i, c in enumerate(now)], "id long, class long")
         matrix = _dense(_by_class(pairs, of), classes + 2)
+        gained = likelihood(matrix)
+        # Words that move at once can be in each other's way: a few sweeps may pass without a gain.
+        idle = 0 if sweep == 0 or gained - reached >= tolerance * abs(reached) else idle + 1
+        if gained > reached:
+            best, reached = now.copy(), gained
+        if idle == PATIENCE:
+            break
         chosen = _choices(_sides(spark, pairs, now, words), matrix, now, classes)
         better = chosen[now[chosen[:, 0]] != chosen[:, 1]]
         if not len(better):
-            break
+            return best
         mine = better[np.random.default_rng(sweep).random(words)[better[:, 0]] < 0.5]
         now[mine[:, 0]] = mine[:, 1]
-    return now
+    return best
 
 
 def _by_class(pairs: DataFrame, of: DataFrame) -> DataFrame:
@@ -237,67 +256,193 @@ def _by_class(pairs: DataFrame, of: DataFrame) -> DataFrame:
     )
 
 
+def lexicon_contexts(texts: DataFrame, words: Lexicon, first: int, of: np.ndarray) -> DataFrame:
+    """``(word, side, class, n)``: classes beside the lexicon's words from number ``first`` on.
+
+    Side 0 counts classes after the word, 1 those before it.
+    """
+    sent, other, end, span = words.words, words.other, words.end, int(of.max()) + 1
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = {w: i for i, w in enumerate(sent.value)}
+        for batch in batches:
+            for part in pieces(batch, size=PIECE):
+                _, tokens = _numbered(part, known, other, end)
+                previous = _before(tokens, end)
+                code = np.concatenate([
+                    np.where((previous >= first) & (previous < other), previous * 2 * span + of[tokens], -1),
+                    np.where((tokens >= first) & (tokens < other), (tokens * 2 + 1) * span + of[previous], -1),
+                ])
+                code, n = np.unique(code[code >= 0], return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(code // span // 2), pa.array(code // span % 2), pa.array(code % span), pa.array(n)],
+                    names=["word", "side", "class", "n"],
+                )
+
+    return texts.select("text").mapInArrow(count, "word long, side long, class long, n long")
+
+
+#: The word of rows that count tokens of the lexicon; no token is empty.
+NO_WORD = b""
+
+
+def rare_contexts(texts: DataFrame, words: Lexicon, of: np.ndarray) -> DataFrame:
+    """``(word, before, after, n)``: the histories around every word outside the lexicon.
+
+    Rows of ``NO_WORD`` count the lexicon's tokens and ends instead, by history and by class.
+    """
+    sent, other, end, span = words.words, words.other, words.end, int(of.max()) + 1
+
+    def rows(names: list, code: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(names, pa.binary()), pa.array(code // span % span, pa.int32()), pa.array(code % span, pa.int32()),
+                pa.array(n, pa.int64()),
+            ],
+            names=["word", "before", "after", "n"],
+        )
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, follow = {w: i for i, w in enumerate(sent.value)}, np.zeros(span * span, np.int64)
+        for batch in batches:
+            for part in pieces(batch, size=PIECE):
+                found, tokens = _numbered(part, known, other, end)
+                previous, after = of[_before(tokens, end)], of[np.append(tokens[1:], end)]
+                seen = tokens != other
+                follow += np.bincount(previous[seen] * span + of[tokens[seen]], minlength=span * span)
+                # Places of words among the tokens, which hold an end after each text.
+                rare = np.flatnonzero(~seen)
+                word = found.ids[np.flatnonzero(tokens[tokens != end] == other)]
+                code, n = np.unique((word * span + previous[rare]) * span + after[rare], return_counts=True)
+                if len(code):
+                    vocabulary = pa.array(found.vocabulary, pa.binary())
+                    yield rows(vocabulary.take(pa.array(code // (span * span))), code, n)
+        code = np.flatnonzero(follow)
+        yield rows([NO_WORD] * len(code), code, follow[code])
+
+    return texts.select("text").mapInArrow(count, "word binary, before int, after int, n long")
+
+
+def placed_words(contexts: DataFrame, matrix: np.ndarray, classes: int) -> DataFrame:
+    """``(word, class, n)`` of every word in ``contexts (word, before, after, n)``: the class that makes
+    its contexts likeliest, and its count.
+
+    Rows without a word tell ``class`` of tokens by history: ``before * size + class``; words seen once
+    count for the unseen, too.
+    """
+    size = classes + 2
+    step = (matrix + PRIOR / size) / (matrix + PRIOR / size).sum(axis=1, keepdims=True)
+    gain = np.log(np.concatenate([step[:, :classes], step[:classes].T]))  # by history, then by what follows
+    weight = np.log(matrix[:, :classes].sum(axis=0) + 1.0)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        follow, held = np.zeros((size, size), np.int64), None
+
+        def chosen(words: list, counts: np.ndarray) -> pa.RecordBatch:
+            """The classes of some words, from counts of histories and of what follows."""
+            n = counts[:, :size].sum(axis=1)
+            best = (counts @ gain - n[:, None] * weight).argmax(axis=1)
+            np.add.at(follow.T, best, counts[:, :size])
+            follow[:, classes] += counts[n == 1, :size].sum(axis=0)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(words, pa.binary()), pa.array(best, pa.int32()), pa.array(n, pa.int64())], names=["word", "class", "n"]
+            )
+
+        for batch in batches:
+            coded = batch["word"].dictionary_encode()
+            index, words = coded.indices.to_numpy(), coded.dictionary.to_pylist()  # in order of appearance
+            if not words:
+                continue
+            counts = np.zeros((len(words), 2 * size), np.int64)
+            n = batch["n"].to_numpy()
+            np.add.at(counts, (index, batch["before"].to_numpy()), n)
+            np.add.at(counts, (index, size + batch["after"].to_numpy()), n)
+            if held and held[0] == words[0]:  # its rows began in the batch before
+                counts[0] += held[1]
+            elif held:
+                yield chosen([held[0]], held[1][None])
+            held = words[-1], counts[-1].copy()
+            if len(words) > 1:
+                yield chosen(words[:-1], counts[:-1])
+        if held:
+            yield chosen([held[0]], held[1][None])
+        code = np.flatnonzero(follow)
+        yield pa.RecordBatch.from_arrays(
+            [pa.nulls(len(code), pa.binary()), pa.array(code, pa.int32()), pa.array(follow.reshape(-1)[code])],
+            names=["word", "class", "n"],
+        )
+
+    by_word = contexts.repartition("word").sortWithinPartitions("word")
+    return by_word.mapInArrow(place, "word binary, class int, n long")
+
+
 @dataclass
 class ClassModel:
-    """``classes`` and ``emissions`` by the lexicon's numbers, ``transitions`` by class; log10."""
+    """``classes`` and ``emissions`` of the lexicon's numbers; ``transitions`` by history and class; log10.
+
+    ``rare (word, class, n)`` are the training words outside the lexicon; ``totals`` and ``distinct`` are
+    the tokens and words of each class, ``unseen`` how many words are taken to be unseen.
+    """
 
     lexicon: Lexicon
     classes: np.ndarray
     emissions: np.ndarray
     transitions: np.ndarray
-    #: Tokens and different words of the class of all other words.
-    other_total: int
-    other_distinct: int
+    rare: DataFrame
+    totals: np.ndarray
+    distinct: np.ndarray
+    unseen: int
 
 
 def train(
-    texts: DataFrame, counts: DataFrame, frequent: int = 200_000, placed: int = 20_000, exchanged: int = 1_500,
-    classes: int = 24, sweeps: int = 6,
+    texts: DataFrame, counts: DataFrame, frequent: int = 100_000, core: float = 0.5, classes: int = 24,
+    sweeps: int = 30, tolerance: float = 1e-4,
 ) -> ClassModel:
     """The model of ``texts (text)``, whose word counts are ``counts``."""
-    spark = texts.sparkSession
+    spark, size = texts.sparkSession, classes + 2
     words = lexicon(counts, texts.count(), frequent)
-    m, k = min(exchanged, words.size), min(placed, words.size)
+    reach = np.cumsum(words.counts)
+    m = min(words.size, max(classes, int(np.searchsorted(reach, core * (words.total - words.texts))) + 1))
     numbers = np.arange(words.size + 2)
     fine = np.where(numbers < m, numbers, m)
     fine[words.end] = m + 1
     pairs = stored(pair_counts(texts, words, fine, fine), "bigrams")
-    now = exchange(pairs, m, classes, sweeps)
+    now = exchange(pairs, m, classes, sweeps, tolerance)
     of = np.full(words.size + 2, classes)
     of[:m], of[words.end] = now[:m], classes + 1
-    if k > m:
-        # Neighbours of the words from rank m on, by their classes.
-        mine = np.where((numbers >= m) & (numbers < k), numbers, -1)
-        after = pair_counts(texts, words, mine, of).select(
-            F.col("a").alias("word"), F.lit(0).alias("side"), F.col("b").alias("class"), "n"
-        )
-        before = pair_counts(texts, words, of, mine).select(
-            F.col("b").alias("word"), F.lit(1).alias("side"), F.col("a").alias("class"), "n"
-        )
-        table = spark.createDataFrame([(i, int(c)) for i, c in enumerate(now)], "id long, class long")
-        matrix = _dense(_by_class(pairs, table), classes + 2)
-        chosen = _choices(after.union(before), matrix, np.full(words.size + 2, -1), classes)
+    table = spark.createDataFrame([(i, int(c)) for i, c in enumerate(now)], "id long, class long")
+    matrix = _dense(_by_class(pairs, table), size)
+    if words.size > m:
+        beside = lexicon_contexts(texts, words, m, of)
+        chosen = _choices(beside, matrix, np.full(words.size + 2, -1), classes)
         of[chosen[:, 0]] = chosen[:, 1]
-    matrix = _dense(pair_counts(texts, words, of, of), classes + 2)
+    around = stored(rare_contexts(texts, words, of), "contexts")
+    rare = stored(placed_words(around.where(F.col("word") != F.lit(NO_WORD)), matrix, classes), "rare-words")
+    known = around.where(F.col("word") == F.lit(NO_WORD)).select(F.col("before").alias("a"), F.col("after").alias("b"), "n")
+    other = rare.where("word is null").select(F.expr(f"class div {size}").alias("a"), F.expr(f"class % {size}").alias("b"), "n")
+    matrix = _dense(known.union(other).groupBy("a", "b").agg(F.sum("n").alias("n")), size)
+    rare = rare.where("word is not null")
+    sums = rare.groupBy("class").agg(F.sum("n").alias("n"), F.count("*").alias("words"), F.count_if(F.col("n") == 1).alias("once"))
+    found = sums.toArrow()  # one row a class
     follow = matrix.sum(axis=0) + 1.0
     share = follow / follow.sum()
     transitions = np.log10((matrix + PRIOR * share) / (matrix.sum(axis=1, keepdims=True) + PRIOR))
     c = np.concatenate([words.counts, [0, words.texts]]).astype(float)
-    total = np.bincount(of, c, classes + 2)
-    distinct = np.bincount(of[: words.size], minlength=classes + 2).astype(float)
+    totals, distinct = np.bincount(of, c, size), np.bincount(of[: words.size], minlength=size).astype(float)
+    totals[found["class"].to_numpy()] += found["n"].to_numpy()
+    distinct[found["class"].to_numpy()] += found["words"].to_numpy()
     distinct[classes + 1] = 1
-    other_total = words.total - int(total.sum() - total[classes])
-    other_distinct = words.distinct - int(distinct.sum() - distinct[classes]) + (words.texts == 0)
-    total[classes], distinct[classes] = other_total, other_distinct + 1  # one word for all unseen
     with np.errstate(divide="ignore", invalid="ignore"):
-        emissions = np.log10((c + 0.5) / (total[of] + 0.5 * distinct[of]))
-    return ClassModel(words, of, np.nan_to_num(emissions), transitions, other_total, other_distinct)
+        emissions = np.log10((c + 0.5) / (totals[of] + 0.5 * distinct[of]))
+    emissions[words.other] = 0.0
+    unseen = int(found["once"].to_numpy().sum()) + int((words.counts == 1).sum()) + 1
+    return ClassModel(words, of, emissions, transitions, rare, totals, distinct, unseen)
 
 
-PARTS = "doc_id long, tie long, word binary, n long, n_tokens long, n_known long, base double, score double"
+PARTS = "doc_id long, tie long, word binary, history int, n long, n_tokens long, n_known long, base double, score double"
 
 
-def score(docs: DataFrame, counts: DataFrame, model: ClassModel) -> DataFrame:
+def score(docs: DataFrame, model: ClassModel) -> DataFrame:
     """``(doc_id, n_tokens, n_known, train_tokens, base_score, score)`` of ``docs (doc_id, text)``."""
     lex = model.lexicon
     sent, other, end, total = lex.words, lex.other, lex.end, lex.total
@@ -306,57 +451,66 @@ def score(docs: DataFrame, counts: DataFrame, model: ClassModel) -> DataFrame:
     c = np.concatenate([lex.counts, [0, lex.texts]])
     bases, seen = np.log10((c + 0.5) / scale), (c > 0).astype(np.int64)
     bases[other] = 0.0  # other words' parts come by the join
-    own_emissions = emissions.copy()
-    own_emissions[other] = 0.0
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = {w: i for i, w in enumerate(sent.value)}
-        names = [p.split()[0] for p in PARTS.split(", ")]
+        names, size = [p.split()[0] for p in PARTS.split(", ")], len(transitions)
         for batch in batches:
             for part in pieces(batch, size=PIECE):
                 words, tokens = _numbered(part, known, other, end)
                 texts = len(words)
                 bounds = words.starts + np.arange(texts + 1)
-                kind = classes[tokens]
-                steps = transitions[classes[_before(tokens, end)], kind] + own_emissions[tokens]
+                history = classes[_before(tokens, end)]
+                steps = np.where(tokens == other, 0.0, transitions[history, classes[tokens]] + emissions[tokens])
                 base = np.add.reduceat(bases[tokens], bounds[:-1])
                 found = np.add.reduceat(seen[tokens], bounds[:-1])
+                none = pa.array(np.zeros(texts, np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [
                         part["doc_id"], part["tie"],
                         # A key of its own, with a blank, that no word has.
                         pa.array([b" %d" % i for i in part["tie"].to_pylist()], pa.binary()),
-                        pa.array(np.zeros(texts, np.int64)), pa.array(np.diff(bounds)), pa.array(found),
+                        none.cast(pa.int32()), none, pa.array(np.diff(bounds)), pa.array(found),
                         pa.array(base), pa.array(np.add.reduceat(steps, bounds[:-1])),
                     ],
                     names=names,
                 )
-                rare = tokens[tokens != end] == other
-                owner = np.repeat(np.arange(texts), np.diff(words.starts))[rare]
-                code, n = np.unique(owner * max(1, len(words.vocabulary)) + words.ids[rare], return_counts=True)
+                rare = tokens == other
+                word = words.ids[rare[tokens != end]]
+                owner = np.repeat(np.arange(texts), np.diff(bounds))[rare]
+                code = (owner * max(1, len(words.vocabulary)) + word) * size + history[rare]
+                code, n = np.unique(code, return_counts=True)
                 if len(code):
-                    owner, word = code // len(words.vocabulary), code % len(words.vocabulary)
+                    pair, before = code // size, code % size
+                    owner, word = pair // len(words.vocabulary), pair % len(words.vocabulary)
                     zero, nothing = pa.array(np.zeros(len(code), np.int64)), pa.array(np.zeros(len(code)))
                     yield pa.RecordBatch.from_arrays(
                         [
                             part["doc_id"].take(pa.array(owner)), part["tie"].take(pa.array(owner)),
-                            pa.array(words.vocabulary, pa.binary()).take(pa.array(word)), pa.array(n),
-                            zero, zero, nothing, nothing,
+                            pa.array(words.vocabulary, pa.binary()).take(pa.array(word)), pa.array(before, pa.int32()),
+                            pa.array(n), zero, zero, nothing, nothing,
                         ],
                         names=names,
                     )
 
+    size, unseen = len(transitions), len(transitions) - 2
     keyed = docs.select("doc_id", F.xxhash64("text").alias("tie"), "text")
-    rows = keyed.mapInArrow(sums, PARTS).join(counts.withColumnRenamed("n", "c"), "word", "left")
+    of = model.rare.select("word", "class", F.col("n").alias("c"))
+    rows = keyed.mapInArrow(sums, PARTS).join(of, "word", "left")
     c, n, rare = F.coalesce("c", F.lit(0)), F.col("n"), F.col("n") > 0
-    emission = F.log10((c + 0.5) / (model.other_total + 0.5 * (model.other_distinct + 1)))
+    step = F.get(
+        F.array(*[F.lit(float(x)) for x in transitions.reshape(-1)]),
+        F.col("history") * size + F.coalesce("class", F.lit(unseen)),
+    )
+    spread = F.get(F.array(*[F.lit(float(x)) for x in model.totals + 0.5 * model.distinct]), F.col("class"))
+    emission = F.when(F.col("class").isNull(), F.lit(-float(np.log10(model.unseen)))).otherwise(F.log10((c + 0.5) / spread))
     base = F.log10((c + 0.5) / scale)
     texts = rows.groupBy("doc_id", "tie").agg(
         F.sum((~rare).cast("int")).alias("copies"),
         F.sum("n_tokens").alias("n_tokens"),
         F.sum(F.col("n_known") + F.when(rare & (c > 0), n).otherwise(0)).alias("n_known"),
         F.sum(F.col("base") + F.when(rare, n * base).otherwise(0.0)).alias("base_score"),
-        F.sum(F.col("score") + F.when(rare, n * emission).otherwise(0.0)).alias("score"),
+        F.sum(F.col("score") + F.when(rare, n * (step + emission)).otherwise(0.0)).alias("score"),
     )
     each = F.explode(F.sequence(F.lit(1), F.col("copies")))
     return texts.select("*", each.alias("copy")).select(
@@ -375,4 +529,4 @@ def score_texts(docs: DataFrame, held: Column, **options: int) -> DataFrame:
     """Train on the rows of ``docs (doc_id, text)`` that aren't held and score all."""
     training = docs.where(~held).select("text")
     counts = stored(word_counts(training), "word-counts")
-    return score(docs, counts, train(training, counts, **options))
+    return score(docs, train(training, counts, **options))

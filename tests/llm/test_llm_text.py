@@ -127,7 +127,7 @@ def test_more_languages_than_a_word_has_bits():
     assert model.slots.shape[0] == 2
 
 
-@pytest.mark.parametrize("options", [{}, {"frequent": 4, "placed": 3, "exchanged": 2}])
+@pytest.mark.parametrize("options", [{}, {"frequent": 4, "classes": 2, "core": 0.1}])
 def test_class_model(documents, options):
     rows = edge_texts()
     held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 5 == 1
@@ -143,21 +143,77 @@ def test_class_model(documents, options):
     assert all(r.score < 0 for r in scored.collect())
 
 
-def test_class_probabilities_add_up(spark):
-    texts = spark.createDataFrame([(prose(s, 60),) for s in range(40)], "text string").cache()
-    counts = class_lm.word_counts(texts)
-    model = class_lm.train(texts, counts, frequent=30, placed=20, exchanged=10, classes=4)
+def trained(spark, texts, **options):
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    model = class_lm.train(df, class_lm.word_counts(df), **options)
     lex = model.lexicon
+    rare = {bytes(r.word): (r["class"], r.n) for r in model.rare.collect()}
+    of = {w: (int(model.classes[i]), int(lex.counts[i])) for i, w in enumerate(lex.words.value)}
+    return model, of, rare
+
+
+@pytest.mark.parametrize("options", [{"frequent": 30, "classes": 4}, {"frequent": 12, "classes": 3, "core": 0.2}, {"classes": 4}])
+def test_class_probabilities_add_up(spark, options):
+    texts = [prose(s, 60) for s in range(40)]
+    model, of, rare = trained(spark, texts, **options)
+    classes = options["classes"]
+    counts = Counter(w for t in texts for w in t.lower().encode().split())
+    # Every training word has one class and its own count.
+    assert of.keys() | rare.keys() == counts.keys() and not of.keys() & rare.keys()
+    assert all(n == counts[w] and 0 <= c < classes for w, (c, n) in (of | rare).items())
     assert np.allclose((10**model.transitions).sum(axis=1), 1)
-    rare = counts.where(~F.col("word").isin([bytearray(w) for w in lex.words.value])).toPandas()["n"]
-    scale = model.other_total + 0.5 * (model.other_distinct + 1)
-    for c in range(4 + 2):
-        mass = (10 ** model.emissions[: lex.size][model.classes[: lex.size] == c]).sum()
-        if c == 4:  # all other words, and one for the unseen
-            mass += ((rare + 0.5) / scale).sum() + 0.5 / scale
-        if c == 5:
-            mass += 10 ** model.emissions[lex.end]
-        assert mass == pytest.approx(1) or not (model.classes == c).any()
+    for c in range(classes):
+        mass = sum((n + 0.5) / (model.totals[c] + 0.5 * model.distinct[c]) for k, n in (of | rare).values() if k == c)
+        assert mass == pytest.approx(1) or not any(k == c for k, _ in (of | rare).values())
+
+
+def test_transitions_and_scores_by_counting(spark):
+    """The transitions are the counts of histories and classes; a text's score is the sum over its tokens."""
+    texts = [prose(s, 50) for s in range(30)] + ["", None, "once only here", "a a a"]
+    model, of, rare = trained(spark, texts, frequent=15, classes=4)
+    both, end, other, size = of | rare, 5, 4, 6
+    follow = np.zeros((size, size))
+    for t in texts:
+        history = end
+        for w in (t or "").lower().encode().split():
+            follow[history, both[w][0]] += 1
+            follow[history, other] += w in rare and rare[w][1] == 1
+            history = of[w][0] if w in of else other
+        follow[history, end] += 1
+    share = (follow.sum(axis=0) + 1) / (follow.sum(axis=0) + 1).sum()
+    want = np.log10((follow + class_lm.PRIOR * share) / (follow.sum(axis=1, keepdims=True) + class_lm.PRIOR))
+    assert np.allclose(model.transitions, want)
+    assert model.unseen == 1 + sum(n == 1 for _, n in both.values())
+    asked = [(1, texts[0]), (2, "never seen " + texts[3]), (3, None), (4, "Once ONLY unheard unheard"), (None, texts[1])]
+    scored = class_lm.score(spark.createDataFrame(asked, "doc_id long, text string"), model)
+    got = {r.doc_id: r.score for r in scored.collect()}
+    for i, t in asked:
+        history, total = end, 0.0
+        for w in (t or "").lower().encode().split():
+            if w in both:
+                c, n = both[w]
+                total += want[history, c] + math.log10((n + 0.5) / (model.totals[c] + 0.5 * model.distinct[c]))
+            else:
+                total += want[history, other] - math.log10(model.unseen)
+            history = of[w][0] if w in of else other
+        assert got[i] == pytest.approx(total + want[history, end])
+
+
+def test_rare_words_join_the_class_of_their_contexts(spark):
+    """Rare words that stand where words of one kind stand get its class."""
+    import random
+
+    chooser, texts = random.Random(3), []
+    for k in range(200):
+        words = []
+        for _ in range(20):
+            words += [chooser.choice(["a", "b", "c", f"first{chooser.randrange(60)}"]), chooser.choice(["x", "y", "z", f"second{chooser.randrange(60)}"])]
+        texts.append(" ".join(words))
+    _, of, rare = trained(spark, texts, frequent=6, classes=2, core=0.1)
+    kinds = {of[w][0] for w in (b"a", b"b", b"c")}, {of[w][0] for w in (b"x", b"y", b"z")}
+    assert sorted(map(sorted, kinds)) == [[0], [1]]
+    for w, (c, _) in rare.items():
+        assert c in kinds[w.startswith(b"second")], w
 
 
 def test_exchange_finds_alternating_classes(spark):
