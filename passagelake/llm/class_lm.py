@@ -289,9 +289,11 @@ NO_WORD = b""
 def rare_contexts(texts: DataFrame, words: Lexicon, of: np.ndarray) -> DataFrame:
     """``(word, before, after, n)``: the histories around every word outside the lexicon.
 
-    Rows of ``NO_WORD`` count the lexicon's tokens and ends instead, by history and by class.
+    Rows of ``NO_WORD`` count the lexicon's tokens and ends instead, by history and by class; those
+    that are seen once count for the unseen (the class of ``other``), too.
     """
     sent, other, end, span = words.words, words.other, words.end, int(of.max()) + 1
+    once, unseen = np.append(words.counts == 1, [False, False]), int(of[words.other])
 
     def rows(names: list, code: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
@@ -310,6 +312,7 @@ def rare_contexts(texts: DataFrame, words: Lexicon, of: np.ndarray) -> DataFrame
                 previous, after = of[_before(tokens, end)], of[np.append(tokens[1:], end)]
                 seen = tokens != other
                 follow += np.bincount(previous[seen] * span + of[tokens[seen]], minlength=span * span)
+                follow += np.bincount(previous[once[tokens]] * span + unseen, minlength=span * span)
                 # Places of words among the tokens, which hold an end after each text.
                 rare = np.flatnonzero(~seen)
                 word = found.ids[np.flatnonzero(tokens[tokens != end] == other)]

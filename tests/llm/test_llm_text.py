@@ -177,7 +177,7 @@ def test_transitions_and_scores_by_counting(spark):
         history = end
         for w in (t or "").lower().encode().split():
             follow[history, both[w][0]] += 1
-            follow[history, other] += w in rare and rare[w][1] == 1
+            follow[history, other] += both[w][1] == 1
             history = of[w][0] if w in of else other
         follow[history, end] += 1
     share = (follow.sum(axis=0) + 1) / (follow.sum(axis=0) + 1).sum()
