@@ -6,15 +6,16 @@ index maps the 64-bit hash of such a text to the row that stays:
 * *Directory.*  A slot is the top ``depth`` bits of a hash.  The directory doubles
   until no slot holds more than ``bucket_keys`` distinct hashes; slots that are not
   full without their last bits share a bucket of fewer bits.
-* *Buckets.*  Owner tasks hold ranges of buckets.  Texts of one hash form a chain with
-  an entry for each different text, found by comparing whole bytes (texts are grouping
-  keys), so colliding hashes only lengthen a chain.
-* *Lookup.*  Rows meet the entries of their key; SHA-256 tells the entries of a chain
-  apart.
-
-Copies are folded by partial aggregates before a text is shuffled, and each different
-text is shuffled once; the lookup is an equi-join whose hot keys Spark splits.  Row
-fingerprints, directory and index are tables in the shared folder; the driver sees
+* *Buckets.*  The directory sends texts to their buckets, and owner tasks hold ranges of
+  these.  There texts of one hash form a chain with an entry for each different text, told
+  apart by comparing whole bytes, so colliding hashes only lengthen a chain; and there
+  the row that stays is chosen.
+* *Lookup.*  A row's hash leads to its slot, the slot to its bucket, and hash and SHA-256 to the
+  entry of the chain.
+
+On their way copies are folded: partial aggregates, in ``FOLDS`` parts of a group, leave that many
+rows of it for its owner, however many copies there are.  The lookup is an equi-join whose hot keys
+Spark splits.  Row fingerprints, directory and index are tables in the shared folder; the driver sees
 only how full the fullest slot is.
 
 Null texts count as empty; empty and blank texts are equal to each other.  Of equal
@@ -31,6 +32,8 @@ from passagelake.llm.common import BLANKS, partitions, stored
 
 #: Bits after which the directory stops doubling.
 MAX_DEPTH = 40
+#: Rows of a group of copies that reach its owner, at most.
+FOLDS = 4
 
 
 def without_blanks(text: Column) -> Column:
@@ -73,8 +76,10 @@ def directory(keys: DataFrame, bucket_keys: int) -> tuple[DataFrame, int]:
     return placed.select("slot", name.alias("bucket"), "local_depth"), depth
 
 
-def build_index(docs: DataFrame, fingerprints: DataFrame, bucket_keys: int = 1 << 15) -> DataFrame:
-    """The index of ``docs``: ``(bucket, key, chain, sha, keep_id, group_size)``."""
+def build_index(
+    docs: DataFrame, fingerprints: DataFrame, bucket_keys: int = 1 << 15
+) -> tuple[DataFrame, DataFrame, int]:
+    """The index of ``docs``, ``(bucket, key, chain, sha, keep_id, group_size)``; its directory and depth."""
     spark = docs.sparkSession
     slots, depth = directory(fingerprints.select("key").distinct(), bucket_keys)
     slots = stored(slots, "directory")
@@ -82,17 +87,19 @@ def build_index(docs: DataFrame, fingerprints: DataFrame, bucket_keys: int = 1 <
     rank = F.expr(
         f"cast(length as decimal(10, 0)) * {2**65}BD - coalesce(cast(doc_id as decimal(20, 0)), {2**64}BD)"
     )
-    texts = _keyed(docs).groupBy("key", "body").agg(
-        F.max_by("doc_id", rank).alias("keep_id"), F.count("*").alias("group_size")
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).alias("part")
+    folded = _keyed(docs).withColumn("rank", rank).groupBy("key", "body", part).agg(
+        F.max_by("doc_id", "rank").alias("best"), F.max("rank").alias("rank"), F.count("*").alias("n")
     )
-    entries = texts.select(
-        "key", F.unhex(F.sha2("body", 256)).alias("sha"), "keep_id", "group_size",
-        _top("key", depth).alias("slot"),
-    ).join(slots, "slot")
     owners = partitions(spark, slots.count() * bucket_keys, 1 << 20)
-    chain = F.row_number().over(Window.partitionBy("bucket", "key").orderBy("sha"))
-    owned = entries.repartitionByRange(owners, "bucket").withColumn("chain", chain)
-    return stored(owned.select("bucket", "key", "chain", "sha", "keep_id", "group_size"), "index")
+    routed = folded.withColumn("slot", _top("key", depth)).join(slots, "slot").repartitionByRange(owners, "bucket")
+    # In the owner's range: equal bytes are one entry, different bytes of one hash follow in the chain.
+    entries = routed.groupBy("bucket", "key", "body").agg(
+        F.max_by("best", "rank").alias("keep_id"), F.sum("n").alias("group_size")
+    )
+    chain = F.row_number().over(Window.partitionBy("bucket", "key").orderBy("body"))
+    sha = F.unhex(F.sha2("body", 256)).alias("sha")
+    return stored(entries.select("bucket", "key", chain.alias("chain"), sha, "keep_id", "group_size"), "index"), slots, depth
 
 
 def exact_dedup(docs: DataFrame, bucket_keys: int = 1 << 15) -> DataFrame:
@@ -100,8 +107,9 @@ def exact_dedup(docs: DataFrame, bucket_keys: int = 1 << 15) -> DataFrame:
     fingerprints = stored(
         _keyed(docs).select("doc_id", "key", F.unhex(F.sha2("body", 256)).alias("sha")), "fingerprints"
     )
-    index = build_index(docs, fingerprints, bucket_keys)
-    found = fingerprints.join(index.select("key", "sha", "keep_id", "group_size"), ["key", "sha"])
+    index, slots, depth = build_index(docs, fingerprints, bucket_keys)
+    asked = fingerprints.withColumn("slot", _top("key", depth)).join(slots.select("slot", "bucket"), "slot")
+    found = asked.join(index.drop("chain"), ["bucket", "key", "sha"])
     return found.select(
         "doc_id", "keep_id", "group_size",
         F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),

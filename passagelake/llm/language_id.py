@@ -3,8 +3,9 @@
 Trigrams of characters (lower-cased, everything but letters a blank, a letter in the
 middle) are counted per language over all labelled training texts.  A language
 *contains* a trigram if its share of the language's trigrams is at least ``ratio`` of
-the largest share that any language gives it, so strays of mixed texts drop out.  At
-most ``grams`` trigrams per language, the most frequent, enter the model; that bounds it.
+the largest share that any language gives it, so strays of mixed texts drop out.  All
+trigrams that a language contains enter the model, whatever its alphabet; ``most`` bounds the bytes of
+the model of all languages, beyond which the trigrams with the smallest shares are left out.
 
 The model is a bit-sliced Bloom filter: a slot holds one bit per language, and ANDing
 the ``HASHES`` slots of a trigram returns all languages that contain it at once.  For a
@@ -29,7 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from passagelake.llm.common import pieces
 
@@ -135,7 +136,7 @@ def _places(codes: np.ndarray, size: int) -> Iterator[np.ndarray]:
         yield ((first + np.uint64(i) * second) >> shift).astype(np.int64)
 
 
-def train(texts: DataFrame, grams: int = 1 << 14, ratio: float = 0.3) -> LanguageModel:
+def train(texts: DataFrame, most: int = 1 << 21, ratio: float = 0.3) -> LanguageModel:
     """The model of ``texts (text, lang)``."""
     texts = texts.select("text", "lang").where("text is not null and lang is not null")
     counts = texts.mapInArrow(_count, COUNTS).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
@@ -144,8 +145,7 @@ def train(texts: DataFrame, grams: int = 1 << 14, ratio: float = 0.3) -> Languag
     shares = counts.join(totals, "lang").select("lang", "gram", "n", "total", share.alias("share"))
     largest = shares.groupBy("gram").agg(F.max("share").alias("largest"))
     held = shares.join(largest, "gram").where(F.col("share") >= ratio * F.col("largest"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
-    table = held.withColumn("rank", rank).where(F.col("rank") <= grams).select("lang", "gram", "total").toArrow()
+    table = held.orderBy(F.desc("share"), "lang", "gram").limit(most).select("lang", "gram", "total").toArrow()
     languages = sorted(set(table["lang"].to_pylist()))
     number = {lang: i for i, lang in enumerate(languages)}
     total = dict(zip(table["lang"].to_pylist(), table["total"].to_pylist(), strict=True))

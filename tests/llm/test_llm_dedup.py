@@ -148,3 +148,19 @@ def test_components_of_a_long_chain(spark):
     found = components(spark.createDataFrame(edges, "a long, b long"))
     assert {r.node: r.root for r in found.collect() if r.node < 500 and r.node} == {i: 0 for i in range(1, 200)}
     assert {r.root for r in found.where("node = 501").collect()} == {500}
+
+
+def test_the_index_decides(spark, documents, monkeypatch):
+    """Rows reach their entry through directory and bucket only; many buckets, folds and chains."""
+    columns = ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
+    rows = [(i, prose(i % 40, 6) + " " * (i % 5)) for i in range(400)] + [(None, prose(3, 6)), (7, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert rows_of(exact_dedup.exact_dedup(df, bucket_keys=3), *columns) == expected_exact(rows)
+    prints = exact_dedup._keyed(df).select("doc_id", "key", F.unhex(F.sha2("body", 256)).alias("sha"))
+    index, slots, depth = exact_dedup.build_index(df, prints, 3)
+    assert slots.select("bucket").distinct().count() > 5 and depth >= 3
+    assert index.groupBy("bucket").count().agg(F.max("count")).first()[0] <= 3
+    # Without its directory the index is of no use.
+    real = exact_dedup.directory
+    monkeypatch.setattr(exact_dedup, "directory", lambda *a: (real(*a)[0].limit(0), real(*a)[1]))
+    assert exact_dedup.exact_dedup(df, bucket_keys=3).count() == 0

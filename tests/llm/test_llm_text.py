@@ -242,3 +242,36 @@ def test_scores_on_no_training_text(documents, nothing):
 def test_crc_of_ids(spark):
     row = spark.range(12, 13).select(crc32_of("id").alias("c")).first()
     assert row.c == zlib.crc32(b"12")
+
+
+def test_language_shares_by_counting(spark):
+    """Every contained trigram is in the model; corrected shares are near the counted ones."""
+    alphabets = {"aa": "abcdefgh", "bb": "ghijklmn", "cc": "".join(map(chr, range(0x4E00, 0x4E00 + 60)))}
+    import random
+
+    chooser = random.Random(6)
+    make = lambda lang, n: " ".join("".join(chooser.choice(alphabets[lang]) for _ in range(4)) for _ in range(n))
+    rows = [(make(lang, 200), lang) for lang in alphabets for _ in range(40)]
+    model = language_id.train(spark.createDataFrame(rows, "text string, lang string"))
+
+    def grams(text):
+        t = f" {text} "
+        return [t[i - 1 : i + 2] for i in range(1, len(t) - 1) if t[i] != " "]
+
+    counted = {lang: Counter(g for t, k in rows if k == lang for g in grams(t)) for lang in alphabets}
+    share = {lang: {g: n / c.total() for g, n in c.items()} for lang, c in counted.items()}
+    held = {
+        lang: {g for g, x in share[lang].items() if x >= 0.3 * max(share[k].get(g, 0) for k in share)} for lang in share
+    }
+    assert len(held["cc"]) > 1 << 14  # a large alphabet loses nothing
+    asked = [make(lang, 50) for lang in alphabets for _ in range(5)] + ["gh hg", "abch " + make("cc", 3)]
+    shares, _ = model.shares(asked)
+    for text, got in zip(asked, shares, strict=True):
+        own = grams(text)
+        want = [sum(g in held[lang] for g in own) / len(own) for lang in model.languages]
+        assert np.allclose(got, want, atol=0.12), (text, got, want)
+    whole = spark.createDataFrame([(i, t) for i, t in enumerate(asked[:15])], "doc_id long, text string")
+    found = {r.doc_id: r.lang_pred for r in language_id.identify(whole, model).collect()}
+    assert found == {i: list(alphabets)[i // 5] for i in range(15)}
+    small = language_id.train(spark.createDataFrame(rows, "text string, lang string"), most=50)
+    assert small.shares(asked)[0].sum() < shares.sum()
