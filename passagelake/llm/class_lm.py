@@ -184,9 +184,10 @@ def _choices(sides: DataFrame, matrix: np.ndarray, now: np.ndarray, classes: int
     size = len(matrix)
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches))
-        if not len(table):
+        held = list(batches)  # of a share of the lexicon's words
+        if not held:
             return
+        table = pa.Table.from_batches(held)
         words, index = np.unique(table["word"].to_numpy(), return_inverse=True)
         contexts = np.zeros((len(words), 3, size))
         np.add.at(contexts, (index, table["side"].to_numpy(), table["class"].to_numpy()), table["n"].to_numpy())

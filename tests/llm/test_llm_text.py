@@ -275,3 +275,15 @@ def test_language_shares_by_counting(spark):
     assert found == {i: list(alphabets)[i // 5] for i in range(15)}
     small = language_id.train(spark.createDataFrame(rows, "text string, lang string"), most=50)
     assert small.shares(asked)[0].sum() < shares.sum()
+
+
+def test_more_partitions_than_words(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        model, of, rare = trained(spark, ["a b a c", "d a b"], frequent=2, classes=2, core=0.1)
+        assert set(of) | set(rare) == {b"a", b"b", b"c", b"d"} and np.allclose((10**model.transitions).sum(axis=1), 1)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
