@@ -43,9 +43,9 @@ from passagelake.llm.common import Words, crc32_of, pieces, stored
 #: Frequent words longer than this many bytes are left to the join.
 LONGEST = 64
 #: Sweeps without a gain after which exchange ends.
-PATIENCE = 3
+PATIENCE = 2
 #: Bytes of texts that are taken apart at once.
-PIECE = 1 << 20
+PIECE = 1 << 21
 #: Weight of the class shares in a class's transitions, in counts.
 PRIOR = 5.0
 
