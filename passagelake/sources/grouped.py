@@ -15,6 +15,7 @@
 
 from __future__ import annotations
 
+import json
 from bisect import bisect_right
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -47,39 +48,43 @@ def _names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in files.listStatus(at)] if files.exists(at) else []
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    files, at = _files(spark, path)
-    return files.exists(at)
-
-
 def _numbers(spark: SparkSession, path: str, prefix: str) -> list[int]:
     names = (n.removeprefix(prefix) for n in _names(spark, path) if n.startswith(prefix))
     return sorted(int(n) for n in names if n.isdigit())
 
 
-def _manifest(spark: SparkSession, path: str) -> str | None:
-    """The newest complete manifest."""
-    for number in reversed(_numbers(spark, f"{path}/manifests", "")):
-        if _exists(spark, f"{path}/manifests/{number}/_SUCCESS"):
-            return f"{path}/manifests/{number}"
-    return None
+def _manifests(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the complete manifests; one being written has another name."""
+    names = (n.removesuffix(".json") for n in _names(spark, f"{path}/manifests") if n.endswith(".json"))
+    return sorted(int(n) for n in names if n.isdigit())
 
 
 def is_grouped(spark: SparkSession, path: str) -> bool:
-    return "/" in path and _manifest(spark, path) is not None
+    return "/" in path and bool(_manifests(spark, path))
 
 
 def _entries(spark: SparkSession, path: str) -> list[tuple]:
-    """``(kind, version, number)`` of the current manifest: folders of rows by group and version,
-    tables of keys with their number of blocks, and the first bucket of each group."""
-    return [tuple(r) for r in spark.read.parquet(_manifest(spark, path)).collect()]  # a few hundred
+    """``(kind, version, number)`` of the newest manifest: folders of rows by group and version,
+    tables of keys with their number of blocks, and the first bucket of each group; a few hundred."""
+    files, at = _files(spark, f"{path}/manifests/{_manifests(spark, path)[-1]}.json")
+    stream = files.open(at)
+    try:
+        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return [tuple(e) for e in json.loads(text)]
 
 
 def _switch(spark: SparkSession, path: str, entries: list[tuple]) -> None:
-    """From here on the collection is what ``entries`` list."""
-    number = max(_numbers(spark, f"{path}/manifests", ""), default=-1) + 1
-    rows = spark.createDataFrame(sorted(entries), "kind string, version int, number long")
-    rows.coalesce(1).write.parquet(f"{path}/manifests/{number}")
+    """From here on the collection is what ``entries`` list: the manifest gets its name when it is whole."""
+    number = max(_manifests(spark, path), default=-1) + 1
+    files, draft = _files(spark, f"{path}/manifests/{number}.draft")
+    _, final = _files(spark, f"{path}/manifests/{number}.json")
+    stream = files.create(draft, True)
+    stream.write(bytearray(json.dumps(sorted(entries)).encode()))
+    stream.close()
+    if not files.rename(draft, final):
+        raise OSError(f"manifest {number} of {path} could not be named")
 
 
 def _next_version(spark: SparkSession, path: str) -> int:
@@ -110,10 +115,8 @@ def drop_old_versions(spark: SparkSession, path: str) -> int:
     for version in _numbers(spark, f"{path}/keys", "version="):
         if ("keys", version, None) not in kept:
             drop(f"{path}/keys/version={version}")
-    current = int(_manifest(spark, path).rsplit("/", 1)[1])
-    for number in _numbers(spark, f"{path}/manifests", ""):
-        if number < current:
-            drop(f"{path}/manifests/{number}")
+    for number in _manifests(spark, path)[:-1]:
+        drop(f"{path}/manifests/{number}.json")
     return removed
 
 
@@ -194,8 +197,8 @@ def _probes(keys: DataFrame, blocks: int) -> DataFrame:
     return each.select("id", "block", F.shiftright("b", 6).cast("int").alias("word"), bit.alias("bit"), "n")
 
 
-def _write_keys(ids: DataFrame, path: str, version: int) -> tuple:
-    blocks = max(1, -(-ids.count() // BLOCK_KEYS))
+def _write_keys(ids: DataFrame, path: str, version: int, n: int | None = None) -> tuple:
+    blocks = max(1, -(-(ids.count() if n is None else n) // BLOCK_KEYS))
     bits = _probes(ids, blocks).groupBy("block", "word").agg(F.bit_or("bit").alias("bits"))
     bits.sortWithinPartitions("block", "word").write.parquet(f"{path}/keys/version={version}")
     return ("keys", version, blocks)
@@ -241,16 +244,16 @@ def create(
     ``firsts`` are the first buckets of the groups, if known; else buckets are packed by their rows.
     Without ``keys`` there is no filter of ids, and all stored ids count as possible.
     """
-    spark = rows.sparkSession
+    spark, total = rows.sparkSession, None
     if firsts is None:
         sizes = [tuple(r) for r in rows.groupBy("cid").agg(F.count("*").alias("n")).collect()]  # one a bucket
         if any(cid is None for cid, _ in sizes):
             raise ValueError("rows without a bucket have no place in a collection by bucket")
-        firsts = packed(sizes)
+        firsts, total = packed(sizes), sum(n for _, n in sizes)
     version = _next_version(spark, path)
     entries = _write_rows(rows, path, version, firsts, batch_rows)
     if keys:
-        entries.append(_write_keys(read_version(spark, path, version).select("id"), path, version))
+        entries.append(_write_keys(read_version(spark, path, version).select("id"), path, version, total))
     _switch(spark, path, entries + [("first", g, n) for g, n in enumerate(firsts)])
     return path
 

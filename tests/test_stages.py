@@ -180,8 +180,8 @@ def test_a_write_that_fails_leaves_the_collection(spark, tmp_path, monkeypatch):
         assert {tuple(r) for r in S.load_collection(spark, target).select("id", "text").collect()} == old
     with pytest.raises(Exception, match="embedding_dim"):
         S.insert_rows(bucketed(spark, [("n", 1)], "new"), target, 3)
-    # A manifest without its mark of completion doesn't count.
-    (tmp_path / "c" / "manifests" / "9").mkdir()
+    # A manifest that is still being written doesn't count.
+    (tmp_path / "c" / "manifests" / "9.draft").write_text("[[")
     assert S.load_collection(spark, target).count() == 2
     S.upsert_rows(bucketed(spark, [("a", 1)], "new"), target, 2)
     got = {r["id"]: (r["text"], r["cid"]) for r in S.load_collection(spark, target).collect()}
