@@ -23,6 +23,7 @@ from passagelake.functions.vectors import (
     l2_normalize,
 )
 from passagelake.operators import prompts
+from passagelake.operators.bounded import bounded_nearest
 from passagelake.operators.chunks import chunk_pages, chunk_stats, presented
 from passagelake.operators.embedding import embed, embed_queries, missing_vectors
 from passagelake.operators.index import (
@@ -439,6 +440,15 @@ def ivf_recall(spark: SparkSession, sf: str) -> DataFrame:
     return recall_at_k(exact, approx).withColumn("recall", F.round("recall", 6))
 
 
+def bounded_topk(spark: SparkSession, sf: str) -> DataFrame:
+    """The nearest rows of every twentieth vector, by bounds of cells instead of all tiles."""
+    rows = _table(spark, sf, "embeddings", "vec_id", "embedding")
+    items = rows.select(F.col("vec_id").cast("string").alias("id"), "embedding")
+    asked = rows.where(F.col("vec_id") % 20 == 0).select(F.col("vec_id").alias("qid"), F.col("embedding").alias("qv"))
+    found = bounded_nearest(asked, items, cells=16)
+    return found.select("qid", F.col("rk").cast("bigint").alias("rk"), "id", _rounded())
+
+
 def kmeans_two_level(spark: SparkSession, sf: str) -> DataFrame:
     """Centers of the buckets inside coarse cells, as many as the rows ask for."""
     buckets = train_two_level(_collection(spark, sf)).buckets
@@ -639,6 +649,7 @@ QUERIES: dict[str, Query] = {
     "exact_topk_l2": _exact("l2"),
     "single_query_topk": single_query_topk,
     "filtered_topk": filtered_topk,
+    "bounded_topk": bounded_topk,
     "hits_nested": hits_nested,
     "kmeans_lloyd": kmeans_lloyd,
     "kmeans_mllib": kmeans_mllib,

@@ -1,0 +1,42 @@
+"""Bounded search equals the exhaustive one, and meets fewer cells."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from passagelake.operators.bounded import _passes, bounded_nearest
+from passagelake.operators.nearest import nearest
+
+
+def tables(spark, seed, spread, n=700):
+    chooser = np.random.default_rng(seed)
+    centers = 4 * chooser.normal(size=(15, 5))
+    vectors = centers[chooser.integers(15, size=n)] + spread * chooser.normal(size=(n, 5))
+    vectors[: n // 3] = vectors[0] + 0.01 * chooser.normal(size=(n // 3, 5))  # one crowded cell
+    rows = [(f"i{i}", [float(x) for x in v]) for i, v in enumerate(vectors)]
+    rows += [("zero", [0.0] * 5), ("none", None), ("copy", rows[5][1]), ("i9", rows[30][1])]
+    asked = [(i, rows[i * 7][1]) for i in range(90)] + [(1, rows[200][1]), (None, rows[3][1]), (500, [0.0] * 5), (501, None)]
+    items = spark.createDataFrame(rows, "id string, embedding array<float>").repartition(4)
+    return spark.createDataFrame(asked, "qid long, qv array<float>").repartition(3), items
+
+
+def hits(df):
+    return {(r["qid"], r["rk"]): (r["id"], round(r["score"], 6)) for r in df.collect()}
+
+
+@pytest.mark.parametrize("metric", ["l2", "cosine"])
+@pytest.mark.parametrize("spread", [0.1, 3.0])
+def test_the_result_is_exact(spark, metric, spread):
+    queries, items = tables(spark, 1, spread)
+    found, further = _passes(queries, items, 6, metric, None, 20)
+    assert hits(found) == hits(nearest(queries, items, 6, metric))
+    share = further.count() / (20 * queries.where("qv is not null").count())
+    assert share < (0.25 if spread < 1 else 1.0)
+
+
+def test_few_items_and_wrong_metric(spark):
+    queries, items = tables(spark, 2, 1.0)
+    few = items.where(F.col("id").isin("i1", "i2", "zero"))
+    assert hits(bounded_nearest(queries, few, 5, "l2", cells=2)) == hits(nearest(queries, few, 5, "l2"))
+    with pytest.raises(ValueError, match="triangle"):
+        bounded_nearest(queries, items, 5, "ip")
