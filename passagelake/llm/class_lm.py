@@ -45,7 +45,7 @@ LONGEST = 64
 #: Sweeps without a gain after which exchange ends.
 PATIENCE = 2
 #: Bytes of texts that are taken apart at once.
-PIECE = 1 << 21
+PIECE = 1 << 20
 #: Weight of the class shares in a class's transitions, in counts.
 PRIOR = 5.0
 
