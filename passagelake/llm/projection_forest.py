@@ -264,10 +264,11 @@ def search(
     forest = fit(known, trees if depth else 1, depth)
     curve = recall_curve(forest, known, np.arange(min(PROBES, len(known))), k)
     wanted = int(np.searchsorted(curve, recall)) + 1
-    sent = spark.sparkContext.broadcast(forest)
+    # Plain arrays: classes of this package travel with functions, not with broadcasts.
+    sent = spark.sparkContext.broadcast((forest.planes, forest.cuts, forest.depth))
 
     def in_leaves(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        forest = sent.value
+        forest = Forest(*sent.value)
         for batch in batches:
             step = max(1, BLOCK_SCORES // max(1, forest.cuts.size))
             for start in range(0, batch.num_rows, step):
@@ -289,7 +290,7 @@ def search(
     seen = spark.sparkContext.broadcast((sizes.tolist(), first, parts))
 
     def asked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        forest, (sizes, first, parts) = sent.value, seen.value
+        forest, (sizes, first, parts) = Forest(*sent.value), seen.value
         for batch in batches:
             step = max(1, BLOCK_SCORES // max(1, forest.cuts.size))
             for start in range(0, batch.num_rows, step):

@@ -40,3 +40,24 @@ def test_languages_of_held_out_documents(spark):
 def test_class_model_beats_words_alone(spark):
     held = LLM_QUERIES["op8_class_lm"](spark, FOLDER).where("held_out").toPandas()
     assert held["score"].sum() > held["base_score"].sum()
+
+
+def test_runs_without_the_package_on_executors(tmp_path):
+    """What tasks need travels with them: another working folder, no path to the package."""
+    import os
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    code = (
+        f"import sys; sys.path.insert(0, {repo!r})\n"
+        "from pyspark.sql import SparkSession\n"
+        "spark = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false')"
+        ".config('spark.sql.shuffle.partitions', '2').getOrCreate()\n"
+        "from passagelake.llm.queries import LLM_QUERIES\n"
+        "for name in ('op11_conversation_repair', 'op12_projection_forest', 'op13_hard_negatives'):\n"
+        f"    print(name, LLM_QUERIES[name](spark, {FOLDER!r}).count())\n"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "op12_projection_forest 500" in done.stdout and "op13_hard_negatives" in done.stdout, done.stderr[-2000:]
