@@ -36,6 +36,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from passagelake.llm.common import Words, crc32_of, pieces, stored
@@ -283,15 +285,12 @@ def lexicon_contexts(texts: DataFrame, words: Lexicon, first: int, of: np.ndarra
     return texts.select("text").mapInArrow(count, "word long, side long, class long, n long")
 
 
-#: The word of rows that count tokens of the lexicon; no token is empty.
-NO_WORD = b""
-
-
 def rare_contexts(texts: DataFrame, words: Lexicon, of: np.ndarray) -> DataFrame:
     """``(word, before, after, n)``: the histories around every word outside the lexicon.
 
-    Rows of ``NO_WORD`` count the lexicon's tokens and ends instead, by history and by class; those
-    that are seen once count for the unseen (the class of ``other``), too.
+    Rows whose word begins with a blank, one such word a task, count the lexicon's tokens and ends
+    instead, by history and by class; those that are seen once count for the unseen (the class of
+    ``other``), too.
     """
     sent, other, end, span = words.words, words.other, words.end, int(of.max()) + 1
     once, unseen = np.append(words.counts == 1, [False, False]), int(of[words.other])
@@ -322,7 +321,7 @@ def rare_contexts(texts: DataFrame, words: Lexicon, of: np.ndarray) -> DataFrame
                     vocabulary = pa.array(found.vocabulary, pa.binary())
                     yield rows(vocabulary.take(pa.array(code // (span * span))), code, n)
         code = np.flatnonzero(follow)
-        yield rows([NO_WORD] * len(code), code, follow[code])
+        yield rows([b" %d" % TaskContext.get().partitionId()] * len(code), code, follow[code])
 
     return texts.select("text").mapInArrow(count, "word binary, before int, after int, n long")
 
@@ -331,8 +330,8 @@ def placed_words(contexts: DataFrame, matrix: np.ndarray, classes: int) -> DataF
     """``(word, class, n)`` of every word in ``contexts (word, before, after, n)``: the class that makes
     its contexts likeliest, and its count.
 
-    Rows without a word tell ``class`` of tokens by history: ``before * size + class``; words seen once
-    count for the unseen, too.
+    Rows without a word tell ``class`` of all tokens by history: ``before * size + class``; words seen
+    once count for the unseen, too.
     """
     size = classes + 2
     step = (matrix + PRIOR / size) / (matrix + PRIOR / size).sum(axis=1, keepdims=True)
@@ -353,6 +352,11 @@ def placed_words(contexts: DataFrame, matrix: np.ndarray, classes: int) -> DataF
             )
 
         for batch in batches:
+            task = pc.starts_with(batch["word"], b" ")
+            if pc.any(task, min_count=0).as_py():
+                known = batch.filter(task)
+                np.add.at(follow, (known["before"].to_numpy(), known["after"].to_numpy()), known["n"].to_numpy())
+                batch = batch.filter(pc.invert(task))
             coded = batch["word"].dictionary_encode()
             index, words = coded.indices.to_numpy(), coded.dictionary.to_pylist()  # in order of appearance
             if not words:
@@ -420,11 +424,9 @@ def train(
         beside = lexicon_contexts(texts, words, m, of)
         chosen = _choices(beside, matrix, np.full(words.size + 2, -1), classes)
         of[chosen[:, 0]] = chosen[:, 1]
-    around = stored(rare_contexts(texts, words, of), "contexts")
-    rare = stored(placed_words(around.where(F.col("word") != F.lit(NO_WORD)), matrix, classes), "rare-words")
-    known = around.where(F.col("word") == F.lit(NO_WORD)).select(F.col("before").alias("a"), F.col("after").alias("b"), "n")
-    other = rare.where("word is null").select(F.expr(f"class div {size}").alias("a"), F.expr(f"class % {size}").alias("b"), "n")
-    matrix = _dense(known.union(other).groupBy("a", "b").agg(F.sum("n").alias("n")), size)
+    rare = stored(placed_words(rare_contexts(texts, words, of), matrix, classes), "rare-words")
+    follows = rare.where("word is null").select(F.expr(f"class div {size}").alias("a"), F.expr(f"class % {size}").alias("b"), "n")
+    matrix = _dense(follows.groupBy("a", "b").agg(F.sum("n").alias("n")), size)
     rare = rare.where("word is not null")
     sums = rare.groupBy("class").agg(F.sum("n").alias("n"), F.count("*").alias("words"), F.count_if(F.col("n") == 1).alias("once"))
     found = sums.toArrow()  # one row a class
