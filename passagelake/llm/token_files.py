@@ -50,8 +50,13 @@ FRAME_TOKENS = 1 << 16
 INDEX_MAGIC, SEEK_MAGIC, SEEKABLE = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 FILES = "path string, documents long, tokens long"
 TOKENS = "doc_id long, start long, n_tokens long, ids_crc32 long"
-#: Words a worker remembers (and as many pieces), and the longest of them in bytes.
-REMEMBERED, LONGEST = 400_000, 48
+#: Words a worker remembers before it forgets those not met since it last did (for pieces
+#: likewise), and the longest of them in bytes.
+REMEMBERED, LONGEST = 200_000, 48
+#: Bytes of text encoded at once.
+PIECE = 4 << 20
+#: Words whose ids are looked up at once; each takes some forty bytes.
+AT_ONCE = 1 << 16
 
 
 class Encoder:
@@ -75,8 +80,8 @@ class Encoder:
                 spec = json.load(file)
             added = b"|".join(re.escape(t["content"].encode()) for t in spec["added_tokens"])
             fits = re.compile((rb"(?!.*(?:%s))" % added if added else b"") + rb"[!-~]+").fullmatch
-            held[path] = tokenizers.Tokenizer.from_file(path), self._pattern(spec), fits, {}, {}
-        self.tokenizer, self.pattern, self.fits, self.known, self.pieces = held[path]
+            held[path] = tokenizers.Tokenizer.from_file(path), self._pattern(spec), fits, {}, {}, {}, {}
+        self.tokenizer, self.pattern, self.fits, self.known, self.pieces, self.earlier, self.earlier_pieces = held[path]
 
     @staticmethod
     def _pattern(spec: dict) -> regex.Pattern | None:
@@ -95,8 +100,18 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
+    @staticmethod
+    def _forget(known: dict, earlier: dict) -> None:
+        """Of too much that is known, keep what was met since the last time as ``earlier``."""
+        if len(known) > REMEMBERED:
+            earlier.clear()
+            earlier.update(known)
+            known.clear()
+
     def _piece(self, piece: str) -> bytes:
-        code = array("I", [t.id for t in self.tokenizer.model.tokenize(piece)]).tobytes()
+        code = self.earlier_pieces.get(piece)
+        if code is None:
+            code = array("I", [t.id for t in self.tokenizer.model.tokenize(piece)]).tobytes()
         if len(piece) <= LONGEST:
             self.pieces[piece] = code
         return code
@@ -104,8 +119,7 @@ class Encoder:
     def _plain(self, words: list[bytes]) -> list[bytes]:
         """Codes of words of printable ASCII, by the pieces of the pattern."""
         known, codes, code = self.pieces, [], b""
-        if len(known) > REMEMBERED:
-            known.clear()
+        self._forget(known, self.earlier_pieces)
         for piece in self.pattern.findall((b"\n".join(words) + b"\n").decode().lower()):
             if piece == "\n":
                 codes.append(code)
@@ -115,11 +129,15 @@ class Encoder:
         return codes
 
     def _words(self, words: list[bytes]) -> list[bytes]:
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        codes = list(map(known.get, words))
-        new = [i for i, c in enumerate(codes) if c is None]
+        known, earlier = self.known, self.earlier
+        self._forget(known, earlier)
+        codes, new = list(map(known.get, words)), []
+        for i in [i for i, c in enumerate(codes) if c is None]:
+            codes[i] = earlier.get(words[i])
+            if codes[i] is None:
+                new.append(i)
+            else:
+                known[words[i]] = codes[i]
         plain, others = [], []
         for i in new:
             (plain if self.pattern and self.fits(words[i]) else others).append(i)
@@ -140,10 +158,16 @@ class Encoder:
         codes = [*self._words(words.vocabulary), self.end]
         sizes = np.fromiter(map(len, codes), np.int64, len(codes)) // 4
         pool = np.frombuffer(b"".join(codes), "<u4")
-        order = np.insert(words.ids, words.starts[1:], len(codes) - 1)  # each text, then the end
+        del codes
+        order = np.insert(words.ids, words.starts[1:], len(sizes) - 1)  # each text, then the end
         ends = np.cumsum(sizes[order])
         first = np.cumsum(sizes) - sizes
-        ids = pool[np.repeat(first[order] - (ends - sizes[order]), sizes[order]) + np.arange(ends[-1] if len(ends) else 0)]
+        ids = np.empty(ends[-1] if len(ends) else 0, "<u4")
+        for at in range(0, len(order), AT_ONCE):
+            part = order[at : at + AT_ONCE]
+            start, stop = ends[at] - sizes[part[0]], ends[at + len(part) - 1]
+            shift = first[part] - ends[at : at + len(part)] + sizes[part]
+            ids[start:stop] = pool[np.repeat(shift, sizes[part]) + np.arange(start, stop)]
         last = ends[words.starts[1:] + np.arange(len(words))]
         return ids, np.diff(last, prepend=0)
 
@@ -244,7 +268,7 @@ def _writer(folder: str, path: str, end_id: int, by_words: bool, width: int):
         name = f"{root}/tokens-{context.partitionId():06d}.zst"
         attempt = f"{name}.{context.taskAttemptId()}"
         for batch in batches:
-            for part in pieces(batch):
+            for part in pieces(batch, size=PIECE):
                 if out is None:
                     out = store.open_output_stream(attempt, compression=None)
                     file = TokenFile(out, width)

@@ -4,6 +4,7 @@ import gzip
 import hashlib
 import io
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -86,6 +87,31 @@ def test_words_of_another_tokenizer():
         assert (a == b).all()
 
 
+def test_encoding_holds_little_besides_the_ids():
+    """Some twenty bytes a word, of which four are returned."""
+    encode, n = token_files.Encoder(TOKENIZER, 1, True), 1 << 20
+    texts = pa.array(["ab cd " * (n // 8)] * 4)
+    want, counts = encode(texts)
+    tracemalloc.start()
+    got = encode(texts)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (got[0] == want).all() and counts.tolist() == [n // 4 + 1] * 4
+    assert most < 28 * n
+
+
+def test_words_that_come_again_are_not_forgotten(monkeypatch):
+    monkeypatch.setattr(token_files, "REMEMBERED", 50)
+    encode, asked = token_files.Encoder(TOKENIZER, 1, True), []
+    encode.known, encode.earlier, encode.pattern = {}, {}, None  # whole words go to the tokenizer
+    encoded = encode._encoded
+    encode._encoded = lambda words: asked.extend(words) or encoded(words)
+    for i in range(20):
+        encode(pa.array(["often " + " ".join(f"w{i}x{k}" for k in range(30))]))
+        assert len(encode.known) + len(encode.earlier) <= 2 * (50 + 31)
+    assert asked.count("often") == 1 and len(asked) == 20 * 30 + 1
+
+
 PAGES = "page_id long, url string, html string, digest string, size long"
 
 
