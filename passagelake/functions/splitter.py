@@ -20,7 +20,7 @@ from passagelake.functions.fold import kept_strings
 def _pack_by_regex(piece: Column, sep: str, size: int) -> Column:
     end = re.escape(sep)
     pattern = (
-        rf"(?s).{{1,{size}}}\z"  # all that is left fits
+        rf"(?s).{{1,{size}}}+\z"  # all that is left fits
         rf"|.{{0,{size - len(sep)}}}{end}"  # as many whole parts as fit
         rf"|.*?{end}"  # one part that is too long
         r"|.+\z"  # a last part that is too long
@@ -51,6 +51,9 @@ def _level(pieces: Column, sep: str, size: int) -> Column:
         ).otherwise(_pack_by_regex(p, sep, size))
     else:
         cut = lambda p: _pack_by_regex(p, sep, size)
+    if sep:
+        divided = cut
+        cut = lambda p: F.when(F.contains(p, F.lit(sep)), divided(p)).otherwise(F.array(p))
     return F.flatten(
         F.transform(pieces, lambda p: F.when(F.length(p) <= size, F.array(p)).otherwise(cut(p)))
     )

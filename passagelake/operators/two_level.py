@@ -15,9 +15,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from passagelake.config import METRIC, SMALL_SIDE_BYTES, SMALL_SIDE_ROWS, TOP_K
 from passagelake.operators.index import assign_buckets, probe, suggested_nlist, train_centroids
@@ -66,7 +67,10 @@ def train_two_level(
     folder = scratch_path(spark, "two-level")
     cells = train_centroids(vectors, n_cells, iters, metric=metric, small_rows=small_rows)
     # The one shuffle of the vectors: tasks then meet few cells each, however crowded these are.
-    placed = assign_buckets(vectors, cells, metric, small_rows).withColumnRenamed("cid", "cell")
+    kind = vectors.schema["embedding"].dataType.simpleString()
+    kind = kind if kind in ("array<float>", "array<double>") else "array<double>"
+    vectors = vectors.withColumn("embedding", F.col("embedding").cast(kind))
+    placed = assign_buckets(vectors, cells, metric, small_rows).select("id", _packed("embedding"), F.col("cid").alias("cell"))
     by_cell = placed.hint("rebalance", "cell").sortWithinPartitions("cell")
     rows = read_table(spark, write_table(by_cell, f"{folder}/rows"))
     lowest = Window.partitionBy("cell").orderBy(F.md5(F.col("id").cast("string").cast("binary")), "id")
@@ -74,9 +78,11 @@ def train_two_level(
     cid = (F.col("cell") * inner + F.col("_n") - 1).cast("int")
     chosen = broadcast_if_small(ids.select("cell", "id", cid.alias("cid")))
     seeds = rows.join(chosen, ["cell", "id"]).dropDuplicates(["cid"])
-    buckets = seeds.select("cid", F.col("embedding").cast("array<double>").alias("c"), "cell")
-    first = rows.select(F.size("embedding")).first()
+    buckets = seeds.select("cid", _unpacked("packed", kind).cast("array<double>").alias("c"), "cell")
+    each = 4 if kind == "array<float>" else 8
+    first = rows.select(F.octet_length("packed") / each).first()
     if n_cells * inner > small_rows or 8 * n_cells * inner * (first[0] if first else 0) > SMALL_SIDE_BYTES:
+        rows = rows.withColumn("embedding", _unpacked("packed", kind))
         cells = read_table(spark, write_table(cells, f"{folder}/cells"))
         for n in range(iters):
             buckets = read_table(spark, write_table(buckets, f"{folder}/buckets-{n}"))
@@ -88,13 +94,42 @@ def train_two_level(
     # Few centers are fetched after each pass, so that no pass is run again.
     known = buckets.toArrow().sort_by("cid")
     for _ in range(iters):
-        moved = _means(rows, known, metric).toArrow()
+        moved = _means(rows, kind, known, metric).toArrow()
         means = dict(zip(moved["cid"].to_pylist(), moved["mean"].to_pylist(), strict=True))
         centers = [means.get(i, c) for i, c in zip(known["cid"].to_pylist(), known["c"].to_pylist(), strict=True)]
         known = known.set_column(1, "c", pa.array(centers, pa.list_(pa.float64())))
     return TwoLevel(cells, spark.createDataFrame(known, "cid int, c array<double>, cell int"))
 
 
+def _packed(vector: str) -> Column:
+    """A vector's numbers as bytes, which are stored and sent at once and not one by one."""
+
+    def pack(vectors: pa.Array) -> pa.Array:
+        flat = pc.fill_null(vectors.flatten(), float("nan")).to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.list_value_length(vectors), 0).to_numpy(zero_copy_only=False)
+        ends = np.concatenate([[0], np.cumsum(sizes)]) * flat.itemsize
+        return pa.Array.from_buffers(
+            pa.large_binary(), len(vectors), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(flat)]
+        ).cast(pa.binary())
+
+    return F.arrow_udf(pack, "binary")(F.col(vector)).alias("packed")
+
+
+def _lists(packed: pa.Array, kind: str) -> pa.Array:
+    """The vectors of their bytes."""
+    numbers = np.float32 if kind == "array<float>" else np.float64
+    sizes = pc.fill_null(pc.binary_length(packed), 0).to_numpy(zero_copy_only=False) // numbers().itemsize
+    flat = np.frombuffer(b"".join(packed.drop_null().to_pylist()), numbers)
+    return pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32), pa.array(flat))
+
+
+def _unpacked(packed: str, kind: str) -> Column:
+    def unpack(vectors: pa.Array) -> pa.Array:
+        return _lists(vectors, kind)
+
+    return F.arrow_udf(unpack, kind)(F.col(packed))
+
+
 def _known(buckets: DataFrame, small_rows: int) -> pa.Table | None:
     known = small_table(buckets.select("cid", "c", "cell"), small_rows)
     return None if known is None else known.sort_by("cid")
@@ -116,14 +151,15 @@ def _in_cells(matrix: np.ndarray, cells: np.ndarray, inside: dict, metric: str)
     return found
 
 
-def _means(rows: DataFrame, known: pa.Table, metric: str) -> DataFrame:
-    """``(cid, mean)`` of the rows ``(cell, embedding)`` nearest to each bucket of their cell."""
+def _means(rows: DataFrame, kind: str, known: pa.Table, metric: str) -> DataFrame:
+    """``(cid, mean)`` of the rows ``(cell, packed)`` nearest to each bucket of their cell."""
     sent = rows.sparkSession.sparkContext.broadcast(_by_cell(known, metric))
 
     def add_up(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         inside, sums = sent.value, {}
         for batch in batches:
-            batch, matrix = with_vectors(batch, "embedding")
+            own = _lists(batch["packed"], kind)
+            batch, matrix = with_vectors(pa.table({"cell": batch["cell"], "embedding": own}), "embedding")
             if not batch.num_rows:
                 continue
             found = _in_cells(prepared(matrix, metric), batch["cell"].to_numpy(), inside, metric)
@@ -141,7 +177,7 @@ def _means(rows: DataFrame, known: pa.Table, metric: str) -> DataFrame:
             names=["cid", "n", "total"],
         )
 
-    merged = rows.select("cell", "embedding").mapInArrow(add_up, "cid int, n bigint, total array<double>")
+    merged = rows.select("cell", "packed").mapInArrow(add_up, "cid int, n bigint, total array<double>")
     merged = merged.groupBy("cid").agg(
         F.sum("n").alias("n"), vector_to_array(Summarizer.sum(array_to_vector("total"))).alias("total")
     )

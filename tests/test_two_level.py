@@ -1,10 +1,13 @@
 """The index of two levels: both physical ways, and the recall of every number of probes."""
 
+import hashlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from passagelake.operators.index import mean_vectors
+from passagelake.operators import two_level
+from passagelake.operators.index import assign_buckets, mean_vectors
 from passagelake.operators.search import exact_search, ivf_search, recall_at_k
 from passagelake.operators.two_level import (
     TwoLevel,
@@ -14,7 +17,7 @@ from passagelake.operators.two_level import (
     smallest_nprobe,
     train_two_level,
 )
-from passagelake.sources.tables import create_collection, load_collection
+from passagelake.sources.tables import create_collection, load_collection, write_table
 
 
 @pytest.fixture(scope="module")
@@ -80,3 +83,24 @@ def test_the_curve_equals_repeated_searches(spark, rows, tmp_path):
     least = smallest_nprobe(curve, 0.9)
     assert got[least] >= 0.9 and (least == 1 or got[least - 1] < 0.9)
     assert smallest_nprobe(curve, 2.0) == max(got)
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_vectors_are_stored_as_bytes(spark, rows, monkeypatch, kind):
+    """Between shuffle and training a vector is one value; training gives what it did of whole arrays."""
+    stored = []
+    monkeypatch.setattr(two_level, "write_table", lambda df, at: stored.append(df.schema) or write_table(df, at))
+    odd = [("n", "u", "t", "x", [1.0, None] + [2.0] * 4, 0), ("e", "u", "t", "x", [], 0)]
+    mixed = rows.union(spark.createDataFrame(odd, rows.schema)).withColumn("embedding", F.col("embedding").cast(f"array<{kind}>"))
+    index = train_two_level(mixed, 4, iters=1)
+    assert [f.dataType.simpleString() for f in stored[0]] == ["string", "binary", "int"]
+    seeds, own = {}, {r["id"]: r["embedding"] for r in mixed.collect()}
+    cells = {r["id"]: r["cid"] for r in assign_buckets(mixed, index.cells).collect() if r["cid"] is not None}
+    for i in sorted(cells, key=lambda i: (hashlib.md5(i.encode()).hexdigest(), i)):
+        if len(seeds.setdefault(cells[i], [])) < 2:
+            seeds[cells[i]].append(np.array(own[i]))
+    unit = lambda v: v / np.linalg.norm(v)
+    for r in index.buckets.collect():
+        mine = [np.array(own[i]) for i, c in cells.items() if c == r["cell"]]
+        near = [v for v in mine if np.argmax([round(unit(v) @ unit(s), 9) for s in seeds[r["cell"]]]) == r["cid"] % 2]
+        assert np.allclose(r["c"], np.mean(near, axis=0))

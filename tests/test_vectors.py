@@ -1,4 +1,6 @@
+import hashlib
 import math
+import re
 
 import numpy as np
 import pytest
@@ -40,6 +42,20 @@ def test_hashing_counts_tokens(spark):
     assert got[2] == got[3] == [0.0] * 32
 
 
+def test_hashing_over_blocks_of_texts(spark):
+    """Every bucket holds the count of the tokens whose MD5 says so; no digest is made per row."""
+    texts = [f"Wörter {i} und {i % 7} words, {i % 3}" for i in range(5000)] + [None, "", "..."]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string").repartition(2)
+    vectors = embed(df, dim=48)
+    for row in vectors.collect():
+        want = np.zeros(48)
+        for token in re.findall(r"\w+", (row["text"] or "").lower()):
+            want[int(hashlib.md5(token.encode()).hexdigest()[:8], 16) % 48] += 1
+        want /= np.linalg.norm(want) or 1
+        assert row["embedding"] == want.astype(np.float32).tolist()
+    assert "md5(" not in vectors._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_callers_encoder_is_batched_and_normalised(spark):
     def factory():
         def encode(texts):
