@@ -14,8 +14,9 @@ rate per language is the filled share of its slice to the power of ``HASHES``.
 language with the highest corrected share of the text's trigrams wins (of equal ones the
 first by name), and that share is the score.
 
-Counting is a map-side sum per batch followed by a shuffle of counts.  Prediction reads
-each text once in the task that scans it; only the bounded model is broadcast.
+Counting is a map-side sum over a bounded number of counts followed by a shuffle of sums.
+Prediction reads each text once in the task that scans it; only the bounded model is
+broadcast, with its rates.  Texts are worked on in small pieces, as a byte takes many of arrays.
 
 A null text or one without a letter is ``und`` with score 0.  A text none of whose
 trigrams is known gets the most frequent training language with score 0.  Without
@@ -35,42 +36,65 @@ from pyspark.sql import Column, DataFrame, functions as F
 from passagelake.llm.common import pieces
 
 HASHES = 3
-#: Bytes of text worked on at once; each takes some sixty bytes of arrays.
-PIECE = 1 << 21
+#: Bytes of text worked on at once; each takes some hundred bytes of arrays.
+PIECE = 1 << 18
+#: Counts that a task gathers before it sums them up and passes them on.
+GATHERED = 1 << 19
 UNKNOWN = "und"
 COUNTS = "lang string, gram long, n long"
 #: Odd multipliers of the two hashes of a trigram.
 MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
-def letters() -> np.ndarray:
-    """For each code point itself if it is a letter, else a blank."""
-    return np.array([i if chr(i).isalpha() else 32 for i in range(0x110000)], np.uint32)
+def letters_only(points: np.ndarray) -> np.ndarray:
+    """Code points, with a blank for each that is not a letter."""
+    table = np.zeros(int(points.max(initial=0)) + 1, np.uint32)
+    table[points] = 1
+    for i in np.flatnonzero(table).tolist():
+        table[i] = i if chr(i).isalpha() else 32
+    return table[points]
 
 
-def trigrams(texts: list[str | None], letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def trigrams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Trigram codes of all texts, and where those of each text begin (and end)."""
-    joined = "".join(f" {(t or '').lower()} " for t in texts)
-    sizes = np.array([len((t or "").lower()) + 2 for t in texts], np.int64)
-    points = letters[np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4")].astype(np.uint64)
+    lowered = [f" {(t or '').lower()} " for t in texts]
+    sizes = np.array([len(t) for t in lowered], np.int64)
+    points = letters_only(np.frombuffer("".join(lowered).encode("utf-32-le", "surrogatepass"), "<u4")).astype(np.uint64)
     middle = np.flatnonzero(points != 32)
     codes = points[middle - 1] << np.uint64(42) | points[middle] << np.uint64(21) | points[middle + 1]
     return codes, np.searchsorted(middle, np.concatenate([[0], np.cumsum(sizes)]))
 
 
+def _summed(gathered: dict[str, list[tuple[np.ndarray, np.ndarray]]]) -> Iterator[pa.RecordBatch]:
+    """One row per language and trigram of what was gathered."""
+    for lang, parts in sorted(gathered.items()):
+        grams, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.argsort(grams, kind="stable")
+        grams = grams[order]
+        first = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
+        sums = np.add.reduceat(n[order], first)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([lang] * len(first), pa.string()), pa.array(grams[first].astype(np.int64)), pa.array(sums)],
+            names=["lang", "gram", "n"],
+        )
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known = letters()
+    gathered, size = {}, 0
     for batch in batches:
         for part in pieces(batch, size=PIECE):
             langs = np.array(part["lang"].to_pylist(), object)
-            codes, bounds = trigrams(part["text"].to_pylist(), known)
+            codes, bounds = trigrams(part["text"].to_pylist())
             owner = np.repeat(np.arange(len(langs)), np.diff(bounds))
             for lang in sorted(set(langs)):
-                grams, n = np.unique(codes[(langs == lang)[owner]], return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(grams), pa.string()), pa.array(grams.astype(np.int64)), pa.array(n)],
-                    names=["lang", "gram", "n"],
-                )
+                found = np.unique(codes[(langs == lang)[owner]], return_counts=True)
+                if len(found[0]):
+                    gathered.setdefault(lang, []).append(found)
+                    size += len(found[0])
+            if size > GATHERED:
+                yield from _summed(gathered)
+                gathered, size = {}, 0
+    yield from _summed(gathered)
 
 
 @dataclass
@@ -80,9 +104,11 @@ class LanguageModel:
     languages: list[str]
     fallback: str
     slots: np.ndarray
+    rates: np.ndarray | None = None
 
     def __post_init__(self):
-        self.letters = letters()
+        if self.rates is None:
+            self.rates = self.false_rates()
 
     @classmethod
     def of(cls, languages: list[str], fallback: str, lang: np.ndarray, gram: np.ndarray) -> LanguageModel:
@@ -103,7 +129,7 @@ class LanguageModel:
 
     def shares(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Corrected share of each text's trigrams in each language; letters per text."""
-        codes, bounds = trigrams(texts, self.letters)
+        codes, bounds = trigrams(texts)
         places = list(_places(codes, self.slots.shape[1]))
         counts, n = np.zeros((len(texts), len(self.languages))), np.diff(bounds)
         for w, words in enumerate(self.slots):
@@ -113,7 +139,7 @@ class LanguageModel:
             for i in range(64 * w, min(64 * w + 64, len(self.languages))):
                 sums = np.concatenate([[0], np.cumsum(bits >> np.uint64(i % 64) & np.uint64(1))])
                 counts[:, i] = sums[bounds[1:]] - sums[bounds[:-1]]
-        rates = self.false_rates()
+        rates = self.rates
         return np.clip((counts / np.maximum(n, 1)[:, None] - rates) / np.maximum(1 - rates, 1e-9), 0, 1), n
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
@@ -165,7 +191,7 @@ def with_language(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
 
 def _mapped(docs: DataFrame, model: LanguageModel, keep_text: bool) -> DataFrame:
-    sent = docs.sparkSession.sparkContext.broadcast((model.languages, model.fallback, model.slots))
+    sent = docs.sparkSession.sparkContext.broadcast((model.languages, model.fallback, model.slots, model.rates))
     rest = [c for c in docs.columns if keep_text or c != "text"]
     schema = docs.select(*rest).withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema
 

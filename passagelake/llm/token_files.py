@@ -33,6 +33,7 @@ import struct
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +54,8 @@ TOKENS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 #: Words a worker remembers before it forgets those not met since it last did (for pieces
 #: likewise), and the longest of them in bytes.
 REMEMBERED, LONGEST = 200_000, 48
+#: Words (and pieces) that a worker goes on remembering when its task has ended.
+CARRIED = 1 << 14
 #: Bytes of text encoded at once.
 PIECE = 4 << 20
 #: Words whose ids are looked up at once; each takes some forty bytes.
@@ -108,6 +111,15 @@ class Encoder:
             earlier.update(known)
             known.clear()
 
+    def carry(self) -> None:
+        """When a task has ended: of what is known, keep what was met first, which the next task
+        most likely meets; the worker may go on with another step that needs the memory."""
+        for known, earlier in ((self.known, self.earlier), (self.pieces, self.earlier_pieces)):
+            kept = dict(islice(chain(known.items(), earlier.items()), CARRIED))
+            known.clear()
+            earlier.clear()
+            earlier.update(kept)
+
     def _piece(self, piece: str) -> bytes:
         code = self.earlier_pieces.get(piece)
         if code is None:
@@ -277,6 +289,7 @@ def _writer(folder: str, path: str, end_id: int, by_words: bool, width: int):
             documents, tokens = file.close()
             out.close()
             store.move(attempt, name)
+            encode.carry()
             yield pa.RecordBatch.from_pylist([{"path": name, "documents": documents, "tokens": tokens}])
 
     return write

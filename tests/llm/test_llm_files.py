@@ -7,6 +7,7 @@ import random
 import tracemalloc
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
@@ -112,6 +113,22 @@ def test_words_that_come_again_are_not_forgotten(monkeypatch):
     assert asked.count("often") == 1 and len(asked) == 20 * 30 + 1
 
 
+def test_a_worker_carries_few_words_from_task_to_task(tmp_path, monkeypatch):
+    context = SimpleNamespace(partitionId=lambda: 0, taskAttemptId=lambda: 0)
+    monkeypatch.setattr(token_files, "TaskContext", SimpleNamespace(get=lambda: context))
+    monkeypatch.setattr(token_files, "CARRIED", 100, raising=False)
+    encode = token_files.Encoder(TOKENIZER, 1, True)
+    for held in (encode.known, encode.earlier, encode.pieces, encode.earlier_pieces):
+        held.clear()
+    texts = pa.array(["often " + " ".join(f"q{k}x{k}" for k in range(5_000))])
+    want = encode(texts)
+    write = token_files._writer(str(tmp_path), TOKENIZER, 1, True, 2)
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), texts], names=["doc_id", "text"])
+    assert [b["tokens"].to_pylist() for b in write(iter([batch]))] == [want[1].tolist()]
+    assert 0 < len(encode.known) + len(encode.earlier) <= 100 >= len(encode.pieces) + len(encode.earlier_pieces) > 0
+    assert b"often" in encode.earlier and all((a == b).all() for a, b in zip(encode(texts), want, strict=True))
+
+
 PAGES = "page_id long, url string, html string, digest string, size long"
 
 

@@ -1,10 +1,12 @@
 """Decontamination, language identification and the class model."""
 
 import math
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import regex
 from pyspark.sql import functions as F
@@ -287,3 +289,44 @@ def test_more_partitions_than_words(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def labelled(n, words):
+    texts = [None, "", "12", *(prose(s, words) + " Été 中文" for s in range(n))]
+    langs = [("en", "fr", "de")[k % 3] for k in range(len(texts))]
+    return pa.RecordBatch.from_arrays([pa.array(texts), pa.array(langs)], names=["text", "lang"])
+
+
+@pytest.mark.parametrize("gathered", [1, 500, 1 << 19])
+def test_trigrams_of_pieces_are_summed(monkeypatch, gathered):
+    monkeypatch.setattr(language_id, "PIECE", 300)
+    monkeypatch.setattr(language_id, "GATHERED", gathered)
+    batch, want, got = labelled(30, 20), Counter(), Counter()
+    for text, lang in zip(*(batch[c].to_pylist() for c in ("text", "lang")), strict=True):
+        line = f" {''.join(c if c.isalpha() else ' ' for c in (text or '').lower())} "
+        for i in range(1, len(line) - 1):
+            a, b, c = map(ord, line[i - 1 : i + 2])
+            want[lang, a << 42 | b << 21 | c] += b != 32
+    found = list(language_id._count(iter([batch, batch.slice(0, 0), batch])))
+    for part in found:
+        for lang, gram, n in zip(*(c.to_pylist() for c in part.columns), strict=True):
+            got[lang, gram] += n
+    assert got == Counter({k: 2 * n for k, n in want.items() if n})
+    assert gathered < 1 << 19 or sum(b.num_rows for b in found) == len(got)
+    assert not list(language_id._count(iter([batch.slice(0, 3)])))
+
+
+def test_language_of_a_large_batch_takes_little_memory():
+    """Arrays are those of a piece, not of some megabytes of text."""
+    batch = labelled(60, 8_000)
+    assert batch.nbytes > 2 << 20
+    tracemalloc.start()
+    rows = list(language_id._count(iter([batch])))
+    counting = tracemalloc.get_traced_memory()[1]
+    model = language_id.LanguageModel.of(["en"], "en", np.zeros(len(rows[0]), np.int64), rows[0]["gram"].to_numpy())
+    tracemalloc.reset_peak()
+    scores = [model.predict(part["text"].to_pylist())[1] for part in language_id.pieces(batch, size=language_id.PIECE)]
+    predicting = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(map(len, scores)) == batch.num_rows
+    assert counting < 40 << 20 and predicting < 40 << 20
