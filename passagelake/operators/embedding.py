@@ -3,24 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from passagelake.config import EMBED_BATCH, EMBED_DIM
 from passagelake.functions.vectors import has_dim
 from passagelake.operators.batching import call_in_batches
+from passagelake.operators.hashing import token_text, unit_counts
 
 Encoder = Callable[[list[str]], "list[list[float]] | np.ndarray"]
 
 _ENCODER_KEY = "encoder_id"
 
-#: Texts whose tokens are counted at once, and tokens whose bucket a task remembers.
-BLOCK_TEXTS, REMEMBERED_TOKENS = 2_048, 200_000
-
 
 def hashing_id(dim: int = EMBED_DIM) -> str:
     return f"hashing-md5-{dim}"
@@ -55,37 +51,13 @@ def check_same_encoder(queries: DataFrame, collection: DataFrame) -> None:
 def _with_hashing(df: DataFrame, text: Column, dim: int) -> DataFrame:
     """Count tokens per bucket and scale to unit length.
 
-    Tokens are found by Spark; tasks hash each different token of a block of rows once.
+    Spark puts texts in lower case; tasks take blocks of them apart and hash each different token of one once.
     """
-    def hashed(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        known: dict[str, int] = {}
-
-        def bucket(token: str) -> int:
-            if len(known) > REMEMBERED_TOKENS:
-                known.clear()
-            known[token] = found = int.from_bytes(md5(token.encode()).digest()[:4]) % dim
-            return found
+    def hashed(texts: pa.Array) -> pa.Array:
+        flat = unit_counts(texts, dim)
+        return pa.ListArray.from_arrays(np.arange(0, len(flat) + 1, dim, np.int32), pa.array(flat))
 
-        for column in columns:
-            parts = []
-            for start in range(0, len(column), BLOCK_TEXTS):
-                part = column.slice(start, BLOCK_TEXTS)
-                sizes = pc.fill_null(pc.list_value_length(part), 0).to_numpy(zero_copy_only=False)
-                coded = part.flatten().dictionary_encode()
-                words = coded.dictionary.to_pylist()
-                held = map(known.get, words)
-                found = [bucket(t) if b is None else b for t, b in zip(words, held, strict=True)]
-                place = np.array(found, np.int64)
-                cells = np.repeat(np.arange(len(part)) * dim, sizes) + place[coded.indices.to_numpy()]
-                counts = np.bincount(cells, minlength=len(part) * dim).reshape(len(part), dim).astype(np.float64)
-                norms = np.sqrt(np.einsum("ij,ij->i", counts, counts))
-                parts.append((counts / np.where(norms == 0, 1, norms)[:, None]).astype(np.float32).ravel())
-            flat = np.concatenate(parts) if parts else np.empty(0, np.float32)
-            yield pa.ListArray.from_arrays(np.arange(0, len(flat) + 1, dim, np.int32), pa.array(flat))
-
-    # The annotations are read at run time; postponed ones would be strings.
-    hashed.__annotations__ = {"columns": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return df.withColumn("_vector", F.arrow_udf(hashed, "array<float>")(tokens(text)))
+    return df.withColumn("_vector", F.arrow_udf(hashed, "array<float>")(token_text(text)))
 
 
 def _encode_udf(

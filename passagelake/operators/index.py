@@ -12,6 +12,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from passagelake.config import METRIC, NLIST, NPROBE, SMALL_SIDE_BYTES, SMALL_SIDE_ROWS
+from passagelake.functions.packed import KINDS, as_arrays, is_packed, kind_of, unpack, width_of
 from passagelake.operators.nearest import (
     by_tiles,
     closest,
@@ -57,17 +58,17 @@ def train_centroids(
     """
     vectors = collection.select("id", "embedding")
     if method == "mllib":
-        return _mllib(vectors, nlist, iters, seed, metric)
+        return _mllib(as_arrays(vectors), nlist, iters, seed, metric)
     if method != "lloyd":
         raise ValueError(f"method is 'lloyd' or 'mllib', not {method!r}")
-    usable = vectors.where((F.size("embedding") > 0) & F.col("id").isNotNull())
+    usable = vectors.where((width_of(vectors) > 0) & F.col("id").isNotNull())
     order = (F.md5(F.col("id").cast("string").cast("binary")), "id")
     # Only nlist ids are left to number; their vectors are fetched by a join.
     chosen = usable.select("id").distinct().orderBy(*order).limit(nlist)
     numbered_ids = chosen.withColumn("cid", F.row_number().over(Window.orderBy(*order)) - 1)
     seeds = usable.join(broadcast_if_small(numbered_ids), "id").dropDuplicates(["cid"])
-    centroids = seeds.select("cid", F.col("embedding").cast("array<double>").alias("c"))
-    first = usable.select(F.size("embedding")).first()
+    centroids = seeds.select("cid", _doubles(seeds).alias("c"))
+    first = usable.select(width_of(usable)).first()
     width = first[0] if first else 0
     if nlist > small_rows or 2 * 8 * nlist * width > SMALL_SIDE_BYTES:
         for _ in range(iters):
@@ -80,6 +81,11 @@ def train_centroids(
     return vectors.sparkSession.createDataFrame(known.sort_by("cid"))
 
 
+def _doubles(df: DataFrame) -> Column:
+    own = unpack(F.col("embedding"), kind_of(df)) if is_packed(df) else F.col("embedding")
+    return own.cast("array<double>")
+
+
 def _mllib(vectors: DataFrame, nlist: int, iters: int, seed: int, metric: str) -> DataFrame:
     measure = "euclidean" if metric == "l2" else "cosine"
     points = vectors.where(F.size("embedding") > 0).select(
@@ -111,13 +117,13 @@ def _lloyd_step(vectors: DataFrame, known: pa.Table, metric: str) -> DataFrame:
 
 
 def _step_by_tiles(vectors: DataFrame, centroids: DataFrame, metric: str) -> DataFrame:
-    placed = _assign_large(vectors, centroids, metric).where("cid is not null")
+    placed = as_arrays(_assign_large(vectors, centroids, metric).where("cid is not null"))
     return _moved(centroids, mean_vectors(placed, "cid").withColumnRenamed("c", "mean"))
 
 
 def _bucket_means(vectors: DataFrame, known: pa.Table, metric: str) -> DataFrame:
     """Mean vector per bucket; each task sends one sum per bucket it has met."""
-    centers = matrix_of(known["c"])
+    centers, numbers = matrix_of(known["c"]), KINDS[kind_of(vectors)]
     shared = vectors.sparkSession.sparkContext.broadcast(
         (known["cid"].to_numpy(), centers, prepared(centers, metric))
     )
@@ -130,7 +136,7 @@ def _bucket_means(vectors: DataFrame, known: pa.Table, metric: str) -> DataFrame
         cids, centers, targets = shared.value
         counts, totals = np.zeros(len(cids), dtype=np.int64), np.zeros_like(centers)
         for batch in batches:
-            batch, matrix = with_vectors(batch, "embedding")
+            batch, matrix = with_vectors(batch, "embedding", numbers)
             if not batch.num_rows:
                 continue
             nearest_center = closest(prepared(matrix, metric), targets, metric)
@@ -153,9 +159,9 @@ def _bucket_means(vectors: DataFrame, known: pa.Table, metric: str) -> DataFrame
     return merged.select("cid", F.transform("total", lambda x: x / F.col("n")).alias("mean"))
 
 
-def _digest(column: str) -> Column:
+def digest(df: DataFrame, column: str) -> Column:
     """Tells different vectors apart."""
-    return F.md5(F.col(column).cast("string").cast("binary"))
+    return F.md5(column) if is_packed(df, column) else F.md5(F.col(column).cast("string").cast("binary"))
 
 
 def _assign_large(collection: DataFrame, centroids: DataFrame, metric: str) -> DataFrame:
@@ -164,11 +170,12 @@ def _assign_large(collection: DataFrame, centroids: DataFrame, metric: str) -> D
     Each different vector is placed once and meets its rows by a digest, so that rows stay
     as many as they are, whatever their ids.
     """
-    digest = _digest("embedding")
-    different = collection.select(digest.alias("qid"), F.col("embedding").alias("qv")).dropDuplicates(["qid"])
+    own = digest(collection, "embedding")
+    different = collection.select(own.alias("qid"), F.col("embedding")).dropDuplicates(["qid"])
+    different = as_arrays(different).withColumnRenamed("embedding", "qv")
     chosen = by_tiles(different, _as_items(centroids), k=1, metric=metric)
     found = chosen.select(F.col("qid").alias("_digest"), F.col("id").alias("cid"))
-    return collection.withColumn("_digest", digest).join(found, "_digest", "left").drop("_digest")
+    return collection.withColumn("_digest", own).join(found, "_digest", "left").drop("_digest")
 
 
 def assign_buckets(
@@ -188,10 +195,11 @@ def assign_buckets(
     shared = collection.sparkSession.sparkContext.broadcast(
         (known["cid"].to_numpy(), prepared(matrix_of(known["c"]), metric))
     )
+    numbers = KINDS[kind_of(collection)]
 
     def bucket(vectors: pa.Array) -> pa.Array:
         cids, targets = shared.value
-        asked, matrix = with_vectors(numbered(vectors), "v")
+        asked, matrix = with_vectors(numbered(vectors), "v", numbers)
         found = np.full(len(vectors), -1, dtype=np.int32)
         if asked.num_rows:
             rows = closest(prepared(matrix, metric), targets, metric)
@@ -245,9 +253,9 @@ def with_probes(
     items = _as_items(centroids)
     known = small_table(items, small_rows)
     if known is None:
-        different = queries.select(_digest("qv").alias("qid"), "qv").dropDuplicates(["qid"])
+        different = queries.select(digest(queries, "qv").alias("qid"), "qv").dropDuplicates(["qid"])
         probes = probe(different, centroids, nprobe, metric, small_rows)
         found = probes.select(F.col("qid").alias("_digest"), "cid")
-        return queries.withColumn("_digest", _digest("qv")).join(found, "_digest").drop("_digest")
+        return queries.withColumn("_digest", digest(queries, "qv")).join(found, "_digest").drop("_digest")
     hits = nearest_in(F.col("qv"), known, items.schema["id"].dataType, nprobe, metric)
     return queries.withColumn("cid", F.explode(F.transform(hits, lambda h: h["id"])))

@@ -34,6 +34,7 @@ from passagelake.config import (
     TILE_QUERIES,
     TOP_K,
 )
+from passagelake.functions.packed import joined
 from passagelake.session import small_table
 from passagelake.sources.grouped import in_groups
 
@@ -53,28 +54,38 @@ _SLACK = 1e-7
 # --- inside a task -------------------------------------------------------------
 
 
-def matrix_of(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    """Rows of a list column as a matrix."""
+def _lengths(vectors: pa.Array | pa.ChunkedArray, numbers: type) -> pa.Array | pa.ChunkedArray:
+    """How many numbers each vector has, of arrays or of their bytes."""
+    if pa.types.is_binary(vectors.type) or pa.types.is_large_binary(vectors.type):
+        return pc.divide(pc.binary_length(vectors), numbers().itemsize)
+    return pc.list_value_length(vectors)
+
+
+def matrix_of(vectors: pa.Array | pa.ChunkedArray, numbers: type = np.float32) -> np.ndarray:
+    """Rows of a list column, or of one of bytes of ``numbers``, as a matrix."""
     if isinstance(vectors, pa.ChunkedArray):
         vectors = vectors.combine_chunks()
     if not len(vectors):
         return np.empty((0, 0))
-    lengths = pc.min_max(pc.list_value_length(vectors)).as_py()
+    lengths = pc.min_max(_lengths(vectors, numbers)).as_py()
     if lengths["min"] != lengths["max"]:
         raise ValueError(f"vectors have {lengths['min']} to {lengths['max']} numbers")
-    flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(vectors), lengths["min"])
+    if pa.types.is_list(vectors.type) or pa.types.is_large_list(vectors.type):
+        flat = vectors.flatten().to_numpy(zero_copy_only=False)
+    else:
+        flat = np.frombuffer(joined(vectors), numbers)
+    return flat.astype(np.float64).reshape(len(vectors), lengths["min"])
 
 
-def with_vectors(rows, column: str):
+def with_vectors(rows, column: str, numbers: type = np.float32):
     """The rows of a batch or table that have a complete vector, and their matrix."""
     # Left to the task: a filter in the plan would compute derived vectors twice.
-    filled = pc.fill_null(pc.greater(pc.list_value_length(rows[column]), 0), False)
+    filled = pc.fill_null(pc.greater(_lengths(rows[column], numbers), 0), False)
     if "id" in rows.schema.names:
         filled = pc.and_(filled, pc.is_valid(rows["id"]))
     if not pc.all(filled, min_count=0).as_py():
         rows = rows.filter(filled)
-    matrix = matrix_of(rows[column])
+    matrix = matrix_of(rows[column], numbers)
     finite = np.isfinite(matrix).all(axis=1)
     if not finite.all():
         rows, matrix = rows.filter(pa.array(finite)), matrix[finite]

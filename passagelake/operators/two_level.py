@@ -15,13 +15,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from passagelake.config import METRIC, SMALL_SIDE_BYTES, SMALL_SIDE_ROWS, TOP_K
-from passagelake.operators.index import assign_buckets, probe, suggested_nlist, train_centroids
+from passagelake.functions.packed import KINDS, as_arrays, as_bytes, is_packed, kind_of, unpack, width_of
+from passagelake.operators.index import assign_buckets, digest, probe, suggested_nlist, train_centroids
 from passagelake.operators.nearest import by_tiles, closest, matrix_of, numbered, prepared, with_vectors
 from passagelake.session import broadcast_if_small, scratch_path, small_table
 from passagelake.sources.tables import read_table, require, write_table
@@ -62,15 +62,16 @@ def train_two_level(
     fewer vectors than it may have buckets has as many as vectors.
     """
     spark = collection.sparkSession
-    vectors = collection.select("id", "embedding").where((F.size("embedding") > 0) & F.col("id").isNotNull())
+    vectors = collection.select("id", "embedding").where((width_of(collection) > 0) & F.col("id").isNotNull())
     n_cells, inner = shape(nlist or suggested_nlist(vectors.count()))
     folder = scratch_path(spark, "two-level")
     cells = train_centroids(vectors, n_cells, iters, metric=metric, small_rows=small_rows)
     # The one shuffle of the vectors: tasks then meet few cells each, however crowded these are.
-    kind = vectors.schema["embedding"].dataType.simpleString()
-    kind = kind if kind in ("array<float>", "array<double>") else "array<double>"
-    vectors = vectors.withColumn("embedding", F.col("embedding").cast(kind))
-    placed = assign_buckets(vectors, cells, metric, small_rows).select("id", _packed("embedding"), F.col("cid").alias("cell"))
+    kind = kind_of(vectors)
+    if not is_packed(vectors):
+        vectors = vectors.withColumn("embedding", F.col("embedding").cast(kind))
+    placed = as_bytes(assign_buckets(vectors, cells, metric, small_rows))
+    placed = placed.select("id", F.col("embedding").alias("packed"), F.col("cid").alias("cell"))
     by_cell = placed.hint("rebalance", "cell").sortWithinPartitions("cell")
     rows = read_table(spark, write_table(by_cell, f"{folder}/rows"))
     lowest = Window.partitionBy("cell").orderBy(F.md5(F.col("id").cast("string").cast("binary")), "id")
@@ -78,11 +79,10 @@ def train_two_level(
     cid = (F.col("cell") * inner + F.col("_n") - 1).cast("int")
     chosen = broadcast_if_small(ids.select("cell", "id", cid.alias("cid")))
     seeds = rows.join(chosen, ["cell", "id"]).dropDuplicates(["cid"])
-    buckets = seeds.select("cid", _unpacked("packed", kind).cast("array<double>").alias("c"), "cell")
-    each = 4 if kind == "array<float>" else 8
-    first = rows.select(F.octet_length("packed") / each).first()
-    if n_cells * inner > small_rows or 8 * n_cells * inner * (first[0] if first else 0) > SMALL_SIDE_BYTES:
-        rows = rows.withColumn("embedding", _unpacked("packed", kind))
+    buckets = seeds.select("cid", unpack(F.col("packed"), kind).cast("array<double>").alias("c"), "cell")
+    first = rows.select(width_of(rows, "packed")).first()
+    if max(n_cells, inner) > small_rows or 8 * n_cells * inner * (first[0] if first else 0) > SMALL_SIDE_BYTES:
+        rows = rows.withColumn("embedding", unpack(F.col("packed"), kind))
         cells = read_table(spark, write_table(cells, f"{folder}/cells"))
         for n in range(iters):
             buckets = read_table(spark, write_table(buckets, f"{folder}/buckets-{n}"))
@@ -101,36 +101,9 @@ def train_two_level(
     return TwoLevel(cells, spark.createDataFrame(known, "cid int, c array<double>, cell int"))
 
 
-def _packed(vector: str) -> Column:
-    """A vector's numbers as bytes, which are stored and sent at once and not one by one."""
-
-    def pack(vectors: pa.Array) -> pa.Array:
-        flat = pc.fill_null(vectors.flatten(), float("nan")).to_numpy(zero_copy_only=False)
-        sizes = pc.fill_null(pc.list_value_length(vectors), 0).to_numpy(zero_copy_only=False)
-        ends = np.concatenate([[0], np.cumsum(sizes)]) * flat.itemsize
-        return pa.Array.from_buffers(
-            pa.large_binary(), len(vectors), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(flat)]
-        ).cast(pa.binary())
-
-    return F.arrow_udf(pack, "binary")(F.col(vector)).alias("packed")
-
-
-def _lists(packed: pa.Array, kind: str) -> pa.Array:
-    """The vectors of their bytes."""
-    numbers = np.float32 if kind == "array<float>" else np.float64
-    sizes = pc.fill_null(pc.binary_length(packed), 0).to_numpy(zero_copy_only=False) // numbers().itemsize
-    flat = np.frombuffer(b"".join(packed.drop_null().to_pylist()), numbers)
-    return pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32), pa.array(flat))
-
-
-def _unpacked(packed: str, kind: str) -> Column:
-    def unpack(vectors: pa.Array) -> pa.Array:
-        return _lists(vectors, kind)
-
-    return F.arrow_udf(unpack, kind)(F.col(packed))
-
-
 def _known(buckets: DataFrame, small_rows: int) -> pa.Table | None:
+    """All buckets, if they are small: a vector is only compared with those of its cell, so that these
+    count against the limit of rows, and all against that of bytes."""
     known = small_table(buckets.select("cid", "c", "cell"), small_rows)
     return None if known is None else known.sort_by("cid")
 
@@ -153,13 +126,12 @@ def _in_cells(matrix: np.ndarray, cells: np.ndarray, inside: dict, metric: str)
 
 def _means(rows: DataFrame, kind: str, known: pa.Table, metric: str) -> DataFrame:
     """``(cid, mean)`` of the rows ``(cell, packed)`` nearest to each bucket of their cell."""
-    sent = rows.sparkSession.sparkContext.broadcast(_by_cell(known, metric))
+    sent, numbers = rows.sparkSession.sparkContext.broadcast(_by_cell(known, metric)), KINDS[kind]
 
     def add_up(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         inside, sums = sent.value, {}
         for batch in batches:
-            own = _lists(batch["packed"], kind)
-            batch, matrix = with_vectors(pa.table({"cell": batch["cell"], "embedding": own}), "embedding")
+            batch, matrix = with_vectors(batch, "packed", numbers)
             if not batch.num_rows:
                 continue
             found = _in_cells(prepared(matrix, metric), batch["cell"].to_numpy(), inside, metric)
@@ -186,11 +158,12 @@ def _means(rows: DataFrame, kind: str, known: pa.Table, metric: str) -> DataFram
 
 def _assign_in_cells(rows: DataFrame, buckets: DataFrame, metric: str) -> DataFrame:
     """``rows`` with ``cid`` when the buckets are too many for one task: cells meet by key."""
-    digest = F.md5(F.col("embedding").cast("string").cast("binary"))
-    different = rows.select(digest.alias("qid"), F.col("embedding").alias("qv"), "cell").dropDuplicates(["qid"])
+    own = digest(rows, "embedding")
+    different = rows.select(own.alias("qid"), "embedding", "cell").dropDuplicates(["qid"])
+    different = as_arrays(different).withColumnRenamed("embedding", "qv")
     items = buckets.select(F.col("cid").alias("id"), F.col("c").alias("embedding"), "cell")
     found = by_tiles(different, items, 1, metric, "cell").select(F.col("qid").alias("_digest"), F.col("id").alias("cid"))
-    return rows.withColumn("_digest", digest).join(found, "_digest", "left").drop("_digest")
+    return rows.withColumn("_digest", own).join(found, "_digest", "left").drop("_digest")
 
 
 def assign_two_level(
@@ -198,18 +171,20 @@ def assign_two_level(
 ) -> DataFrame:
     """The collection with ``cid``: the nearest bucket of the cell nearest to each row's vector."""
     collection = collection.drop("cid")
-    cells, known = small_table(index.cells.select("cid", "c"), small_rows), _known(index.buckets, small_rows)
-    if cells is None or known is None:
+    cells = small_table(index.cells.select("cid", "c"), small_rows)
+    known = None if cells is None else _known(index.buckets, small_rows * cells.num_rows)
+    if known is None:
         placed = assign_buckets(collection, index.cells, metric, small_rows).withColumnRenamed("cid", "cell")
         return _assign_in_cells(placed, index.buckets, metric).drop("cell")
     cells = cells.sort_by("cid")
     sent = collection.sparkSession.sparkContext.broadcast(
         (cells["cid"].to_numpy(), prepared(matrix_of(cells["c"]), metric), _by_cell(known, metric))
     )
+    held_as = KINDS[kind_of(collection)]
 
     def bucket(vectors: pa.Array) -> pa.Array:
         numbers, centers, inside = sent.value
-        asked, matrix = with_vectors(numbered(vectors), "v")
+        asked, matrix = with_vectors(numbered(vectors), "v", held_as)
         found = np.full(len(vectors), -1, np.int32)
         if asked.num_rows:
             matrix = prepared(matrix, metric)

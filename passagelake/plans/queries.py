@@ -22,6 +22,7 @@ from passagelake.functions.vectors import (
     l2_norm,
     l2_normalize,
 )
+from passagelake.functions.packed import as_arrays, as_bytes
 from passagelake.operators import prompts
 from passagelake.operators.bounded import bounded_nearest
 from passagelake.operators.chunks import chunk_pages, chunk_stats, presented
@@ -137,7 +138,8 @@ def _stored_index(rows: DataFrame, dim: int) -> tuple[DataFrame, DataFrame]:
     """(collection stored by bucket, centers of its buckets), as many as the rows ask for."""
     spark = rows.sparkSession
     index = train_two_level(rows)
-    target = create_collection(assign_two_level(rows, index), scratch_path(spark, "collection"), dim)
+    placed = as_arrays(assign_two_level(rows, index))
+    target = create_collection(placed, scratch_path(spark, "collection"), dim)
     return load_collection(spark, target), index.buckets
 
 
@@ -513,8 +515,8 @@ def text_search(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def text_search_ivf(spark: SparkSession, sf: str) -> DataFrame:
-    """The same questions against the stored, bucketed chunks."""
-    target = write_table(embed(_chunks(spark, sf)), scratch_path(spark, "vectors"))
+    """The same questions against the stored, bucketed chunks; until these are made vectors are bytes."""
+    target = write_table(as_bytes(embed(_chunks(spark, sf))), scratch_path(spark, "vectors"))
     rows = spread(read_table(spark, target)).select("id", "url", "title", "text", "embedding")
     stored, centroids = _stored_index(rows, EMBED_DIM)
     return _hits(search_text(_text_queries(spark, sf), stored, centroids))

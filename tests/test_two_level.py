@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from passagelake.functions.packed import as_arrays, as_bytes
 from passagelake.operators import two_level
 from passagelake.operators.index import assign_buckets, mean_vectors
 from passagelake.operators.search import exact_search, ivf_search, recall_at_k
@@ -104,3 +105,34 @@ def test_vectors_are_stored_as_bytes(spark, rows, monkeypatch, kind):
         mine = [np.array(own[i]) for i, c in cells.items() if c == r["cell"]]
         near = [v for v in mine if np.argmax([round(unit(v) @ unit(s), 9) for s in seeds[r["cell"]]]) == r["cid"] % 2]
         assert np.allclose(r["c"], np.mean(near, axis=0))
+
+
+@pytest.mark.parametrize("kind,small", [("float", 3), ("double", 16_384)])
+def test_vectors_as_bytes_make_the_same_index(spark, rows, tmp_path, kind, small):
+    odd = [("n", "u", "t", "x", [1.0, None] + [2.0] * 4, 0), ("e", "u", "t", "x", [], 0), ("z", "u", "t", "x", None, 0)]
+    mixed = rows.union(spark.createDataFrame(odd, rows.schema)).withColumn("embedding", F.col("embedding").cast(f"array<{kind}>"))
+    write_table(as_bytes(mixed), str(tmp_path / "rows"))
+    stored = spark.read.parquet(str(tmp_path / "rows"))
+    assert stored.schema["embedding"].dataType.simpleString() == "binary"
+    back = as_arrays(stored)
+    assert back.schema["embedding"].dataType.simpleString() == f"array<{kind}>"
+    plain = {r["id"]: r["embedding"] for r in mixed.collect()}
+    for r in back.collect():
+        if r["id"] == "n":
+            assert np.isnan(r["embedding"][1])
+        else:
+            assert r["embedding"] == plain[r["id"]]
+    one, other = (train_two_level(df, 12, iters=1, small_rows=small) for df in (mixed, stored))
+    for a, b in ((one.cells, other.cells), (one.buckets, other.buckets)):
+        a, b = ({r["cid"]: r["c"] for r in df.collect()} for df in (a, b))
+        assert a.keys() == b.keys() and all(np.allclose(a[i], b[i]) for i in a)
+    assert placed(assign_two_level(mixed, one, small_rows=small)) == placed(assign_two_level(stored, one, small_rows=small))
+
+
+def test_buckets_count_by_cell_against_the_limit_of_rows(spark, rows, monkeypatch):
+    """More buckets than may be sent of a table, but few in each cell, need no shuffle of the vectors by tiles."""
+    monkeypatch.setattr(two_level, "_assign_in_cells", None)
+    index = train_two_level(rows, 30, small_rows=7)
+    assert index.buckets.count() > 7
+    found = placed(assign_two_level(rows, index, small_rows=7))
+    assert found == placed(assign_two_level(rows, index))
