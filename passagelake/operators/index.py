@@ -23,7 +23,8 @@ from passagelake.operators.nearest import (
     prepared,
     with_vectors,
 )
-from passagelake.session import broadcast_if_small, checkpointed, small_table
+from passagelake.session import broadcast_if_small, checkpointed, scratch_path, small_table
+from passagelake.sources.tables import read_table, write_table
 
 
 def _vector_mean(column: str):
@@ -66,6 +67,9 @@ def train_centroids(
     # Only nlist ids are left to number; their vectors are fetched by a join.
     chosen = usable.select("id").distinct().orderBy(*order).limit(nlist)
     numbered_ids = chosen.withColumn("cid", F.row_number().over(Window.orderBy(*order)) - 1)
+    if nlist <= small_rows:  # stored, as looking whether they are small would sort all ids once more
+        spark = vectors.sparkSession
+        numbered_ids = read_table(spark, write_table(numbered_ids, scratch_path(spark, "seeds")))
     seeds = usable.join(broadcast_if_small(numbered_ids), "id").dropDuplicates(["cid"])
     centroids = seeds.select("cid", _doubles(seeds).alias("c"))
     first = usable.select(width_of(usable)).first()

@@ -77,7 +77,9 @@ def train_two_level(
     lowest = Window.partitionBy("cell").orderBy(F.md5(F.col("id").cast("string").cast("binary")), "id")
     ids = rows.select("cell", "id").distinct().withColumn("_n", F.row_number().over(lowest)).where(F.col("_n") <= inner)
     cid = (F.col("cell") * inner + F.col("_n") - 1).cast("int")
-    chosen = broadcast_if_small(ids.select("cell", "id", cid.alias("cid")))
+    # Stored, as looking whether they are small would sort all ids once more.
+    chosen = write_table(ids.select("cell", "id", cid.alias("cid")), f"{folder}/seeds")
+    chosen = broadcast_if_small(read_table(spark, chosen))
     seeds = rows.join(chosen, ["cell", "id"]).dropDuplicates(["cid"])
     buckets = seeds.select("cid", unpack(F.col("packed"), kind).cast("array<double>").alias("c"), "cell")
     first = rows.select(width_of(rows, "packed")).first()

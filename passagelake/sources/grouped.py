@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import json
 from bisect import bisect_right
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -158,6 +159,8 @@ def _write_rows(rows: DataFrame, path: str, version: int, firsts: list[int], bat
         .sortWithinPartitions("grp", "cid", "url").write.option("maxRecordsPerFile", batch_rows)
         .option("parquet.block.size", ROW_GROUP_BYTES)
     )
+    # A dictionary of the numbers of vectors saves little room for the time that looking them up takes.
+    writer = writer.option("parquet.enable.dictionary#embedding.list.element", "false")
     for column in ("id", "url", "title"):
         writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
     writer.partitionBy("grp").parquet(folder)
@@ -185,22 +188,46 @@ def _with_firsts(rows: DataFrame, firsts: list[int]) -> DataFrame:
 # --- keys ------------------------------------------------------------------------
 
 
+def _bits() -> list[Column]:
+    """The numbers of a key's bits in its block, of which some may be the same."""
+    place = F.xxhash64("id", F.lit(1))
+    return [F.shiftrightunsigned(place, 9 * i).bitwiseAND(F.lit(64 * WORDS - 1)) for i in range(PROBES)]
+
+
+def _block(blocks: int) -> Column:
+    return F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block")
+
+
 def _probes(keys: DataFrame, blocks: int) -> DataFrame:
     """``(id, block, word, bit, n)``: the bits of each key, and how many these are."""
-    place = F.xxhash64("id", F.lit(1))
-    bits = F.array(*[F.shiftrightunsigned(place, 9 * i).bitwiseAND(F.lit(64 * WORDS - 1)) for i in range(PROBES)])
-    block = F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block")
-    placed = keys.select("id", block, F.array_distinct(bits).alias("bits"))
+    placed = keys.select("id", _block(blocks), F.array_distinct(F.array(*_bits())).alias("bits"))
     each = placed.select("id", "block", F.size("bits").alias("n"), F.explode("bits").alias("b"))
     masks = F.array(*[F.lit(1 << i if i < 63 else -(1 << 63)) for i in range(64)])
     bit = F.get(masks, F.col("b").bitwiseAND(F.lit(63)).cast("int"))
     return each.select("id", "block", F.shiftright("b", 6).cast("int").alias("word"), bit.alias("bit"), "n")
 
 
+def _key_words(ids: DataFrame, blocks: int) -> DataFrame:
+    """``(block, word, bits)`` of the filter; a key stays one row until the words of its block are whole."""
+
+    def mask(w: int, i: int) -> Column:
+        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col(f"bit {i}").bitwiseAND(F.lit(63)).cast("int"))
+        return F.when(F.shiftright(f"bit {i}", 6) == w, bit).otherwise(F.lit(0).cast("bigint"))
+
+    def word(w: int) -> Column:
+        return reduce(Column.bitwiseOR, [mask(w, i) for i in range(PROBES)])
+
+    names = [f"word {w}" for w in range(WORDS)]
+    placed = ids.select(_block(blocks), *[b.alias(f"bit {i}") for i, b in enumerate(_bits())])
+    masks = placed.select("block", *[word(w).alias(name) for w, name in enumerate(names)])
+    whole = masks.groupBy("block").agg(*[F.bit_or(name).alias(name) for name in names])
+    words = F.array(*[F.struct(F.lit(w).alias("word"), F.col(name).alias("bits")) for w, name in enumerate(names)])
+    return whole.select("block", F.inline(words)).where("bits <> 0")
+
+
 def _write_keys(ids: DataFrame, path: str, version: int, n: int | None = None) -> tuple:
     blocks = max(1, -(-(ids.count() if n is None else n) // BLOCK_KEYS))
-    bits = _probes(ids, blocks).groupBy("block", "word").agg(F.bit_or("bit").alias("bits"))
-    bits.sortWithinPartitions("block", "word").write.parquet(f"{path}/keys/version={version}")
+    _key_words(ids, blocks).sortWithinPartitions("block", "word").write.parquet(f"{path}/keys/version={version}")
     return ("keys", version, blocks)
 
 
