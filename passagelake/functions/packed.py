@@ -42,7 +42,8 @@ def unpack(packed: Column, kind: str) -> Column:
         ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
         return pa.ListArray.from_arrays(ends, flat, mask=vectors.is_null() if vectors.null_count else None)
 
-    return F.arrow_udf(lists, kind)(packed)
+    # No number is null, so that a check for nulls has nothing to look at.
+    return F.arrow_udf(lists, T.ArrayType(T.FloatType() if kind == "array<float>" else T.DoubleType(), False))(packed)
 
 
 def joined(values: pa.Array) -> pa.Buffer | bytes:

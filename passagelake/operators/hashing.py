@@ -36,7 +36,8 @@ def token_text(text: Column) -> Column:
     """The text in lower case, as ``bucket_counts`` reads it."""
     lowered = F.lower(text)
     plain = F.regexp_replace(lowered, r"[^\p{L}\p{N}]+", " ")
-    return F.when(F.rlike(lowered, F.lit(f"[^{_KNOWN}]")), plain).otherwise(lowered)
+    other = (F.octet_length(lowered) != F.length(lowered)) & F.rlike(lowered, F.lit(f"[^{_KNOWN}]"))
+    return F.when(other, plain).otherwise(lowered)
 
 
 def _parts(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:

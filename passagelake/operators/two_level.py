@@ -29,10 +29,15 @@ from passagelake.sources.tables import read_table, require, write_table
 
 @dataclass
 class TwoLevel:
-    """``cells (cid, c)`` and ``buckets (cid, c, cell)``: centers of both levels."""
+    """``cells (cid, c)`` and ``buckets (cid, c, cell)``: centers of both levels.
+
+    ``sizes`` tells ``(cid, rows)`` as the last pass of training met them, before its centers moved, if
+    all rows of the collection were among them.
+    """
 
     cells: DataFrame
     buckets: DataFrame
+    sizes: list[tuple[int, int]] | None = None
 
     @classmethod
     def read(cls, spark: SparkSession, folder: str, step: str = "the index step") -> TwoLevel:
@@ -94,13 +99,16 @@ def train_two_level(
             buckets = buckets.join(means, "cid", "left").select("cid", F.coalesce("mean", "c").alias("c"), "cell")
         return TwoLevel(cells, read_table(spark, write_table(buckets, f"{folder}/buckets")))
     # Few centers are fetched after each pass, so that no pass is run again.
-    known = buckets.toArrow().sort_by("cid")
+    known, sizes = buckets.toArrow().sort_by("cid"), None
     for _ in range(iters):
         moved = _means(rows, kind, known, metric).toArrow()
         means = dict(zip(moved["cid"].to_pylist(), moved["mean"].to_pylist(), strict=True))
         centers = [means.get(i, c) for i, c in zip(known["cid"].to_pylist(), known["c"].to_pylist(), strict=True)]
         known = known.set_column(1, "c", pa.array(centers, pa.list_(pa.float64())))
-    return TwoLevel(cells, spark.createDataFrame(known, "cid int, c array<double>, cell int"))
+        sizes = list(zip(moved["cid"].to_pylist(), moved["n"].to_pylist(), strict=True))
+    if sizes is not None and sum(n for _, n in sizes) != collection.count():
+        sizes = None
+    return TwoLevel(cells, spark.createDataFrame(known, "cid int, c array<double>, cell int"), sizes)
 
 
 def _known(buckets: DataFrame, small_rows: int) -> pa.Table | None:
@@ -127,7 +135,7 @@ def _in_cells(matrix: np.ndarray, cells: np.ndarray, inside: dict, metric: str)
 
 
 def _means(rows: DataFrame, kind: str, known: pa.Table, metric: str) -> DataFrame:
-    """``(cid, mean)`` of the rows ``(cell, packed)`` nearest to each bucket of their cell."""
+    """``(cid, n, mean)`` of the rows ``(cell, packed)`` nearest to each bucket of their cell."""
     sent, numbers = rows.sparkSession.sparkContext.broadcast(_by_cell(known, metric)), KINDS[kind]
 
     def add_up(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,7 +163,7 @@ def _means(rows: DataFrame, kind: str, known: pa.Table, metric: str) -> DataFram
     merged = merged.groupBy("cid").agg(
         F.sum("n").alias("n"), vector_to_array(Summarizer.sum(array_to_vector("total"))).alias("total")
     )
-    return merged.select("cid", F.transform("total", lambda x: x / F.col("n")).alias("mean"))
+    return merged.select("cid", "n", F.transform("total", lambda x: x / F.col("n")).alias("mean"))
 
 
 def _assign_in_cells(rows: DataFrame, buckets: DataFrame, metric: str) -> DataFrame:

@@ -139,7 +139,7 @@ def _stored_index(rows: DataFrame, dim: int) -> tuple[DataFrame, DataFrame]:
     spark = rows.sparkSession
     index = train_two_level(rows)
     placed = as_arrays(assign_two_level(rows, index))
-    target = create_collection(placed, scratch_path(spark, "collection"), dim)
+    target = create_collection(placed, scratch_path(spark, "collection"), dim, sizes=index.sizes)
     return load_collection(spark, target), index.buckets
 
 

@@ -264,14 +264,20 @@ def stored_keys(ids: DataFrame, path: str) -> DataFrame:
 
 
 def create(
-    rows: DataFrame, path: str, batch_rows: int, firsts: list[int] | None = None, keys: bool = True
+    rows: DataFrame, path: str, batch_rows: int, firsts: list[int] | None = None, keys: bool = True,
+    sizes: list[tuple[int, int]] | None = None,
 ) -> str:
     """Write ``rows`` with their bucket ``cid`` as the collection at ``path``, whatever was there.
 
-    ``firsts`` are the first buckets of the groups, if known; else buckets are packed by their rows.
+    ``firsts`` are the first buckets of the groups, if known; else buckets are packed by their rows, which
+    ``sizes`` tell about; without it they are counted.
     Without ``keys`` there is no filter of ids, and all stored ids count as possible.
     """
     spark, total = rows.sparkSession, None
+    if firsts is None and sizes:
+        firsts = packed(sizes)
+        missing = F.raise_error(F.lit("rows without a bucket have no place in a collection by bucket")).cast("int")
+        rows = rows.withColumn("cid", F.coalesce("cid", missing))
     if firsts is None:
         sizes = [tuple(r) for r in rows.groupBy("cid").agg(F.count("*").alias("n")).collect()]  # one a bucket
         if any(cid is None for cid, _ in sizes):

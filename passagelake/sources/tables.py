@@ -180,17 +180,19 @@ def _refuse(keys: DataFrame, why: str) -> None:
 
 
 def create_collection(
-    collection: DataFrame, target: str, dim: int = EMBED_DIM, batch_rows: int = INSERT_BATCH_ROWS
+    collection: DataFrame, target: str, dim: int = EMBED_DIM, batch_rows: int = INSERT_BATCH_ROWS,
+    sizes: list[tuple[int, int]] | None = None,
 ) -> str:
     """Drop what is at ``target`` and write the collection anew.
 
     Rows are checked while they are written; with ``cid`` present the table is
     laid out by bucket, so that a search reads probed buckets only: at a path in groups of
-    buckets and in versions.  Repeated keys are refused before anything is written.
+    buckets and in versions.  Repeated keys are refused before anything is written.  ``sizes`` are
+    about the rows of each bucket, ``(cid, rows)``, if known; else rows are counted first.
     """
     _refuse(duplicate_keys(collection.select("id")), "repeated in the rows")
     if _is_path(target) and "cid" in collection.columns:
-        return grouped.create(checked(collection, dim).drop("grp"), target, batch_rows)
+        return grouped.create(checked(collection, dim).drop("grp"), target, batch_rows, sizes=sizes)
     _write_collection(collection, target, "overwrite", dim, batch_rows)
     return target
 
